@@ -1,7 +1,7 @@
 """DataFrame operators of the retail jobs."""
 
 from tillroll.operators.baskets import (  # noqa: F401
-    association_rules, baskets, fit_rules, frequent_itemsets,
+    RuleSet, association_rules, baskets, fit_rules, frequent_itemsets, mine_rules,
 )
 from tillroll.operators.clean import clean_transactions, load_customers, load_products  # noqa: F401
 from tillroll.operators.compare import (  # noqa: F401
@@ -12,8 +12,9 @@ from tillroll.operators.recommend import (  # noqa: F401
 )
 from tillroll.operators.segments import (  # noqa: F401
     customer_aggregates, customer_features, customer_segments, customer_similarity,
-    purchase_features, segment_customers, segment_stats, similarity_summary, update_segments,
+    purchase_features, purchase_table, segment_customers, segment_stats, similarity_summary, update_segments,
 )
 from tillroll.operators.segment_recs import (  # noqa: F401
-    general_recommendations, segment_recommendations, segment_transactions,
+    general_recommendations, recommendations_by_segment, segment_baskets,
+    segment_recommendations, segment_transactions,
 )

@@ -8,11 +8,15 @@ at most (average basket size / min_support) items can be frequent.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.schema import BASKET_KEY, ITEMS, RECS, STOCK_CODE
+from tillroll.session import checkpoint_root
 
 # Default thresholds of the recommendation jobs.
 MIN_SUPPORT = 0.01
@@ -54,3 +58,36 @@ def association_rules(model: FPGrowthModel) -> DataFrame:
     r = model.associationRules
     return r.select(F.array_sort(F.col("antecedent")).alias("antecedent"), F.col("consequent"),
                     F.col("confidence"), F.col("lift"), F.col("support"))
+
+
+class RuleSet(NamedTuple):
+    """Frequent itemsets and association rules of one mining run."""
+    itemsets: DataFrame
+    rules: DataFrame
+
+
+def mine_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
+               min_confidence: float = MIN_CONFIDENCE, items_col: str = ITEMS,
+               num_partitions: int | None = None) -> RuleSet:
+    """Fit FPGrowth and return its itemsets and rules as checkpointed tables.
+
+    FPGrowth reads its input three times (count, item frequencies, FP-tree
+    growth) and builds its outputs lazily, so the item column is persisted
+    for the fit, the itemsets are cached while the rules are derived from
+    them, and both results -- small, bounded by the support threshold -- are
+    checkpointed into ``spark.checkpoint.dir``.  Afterwards nothing
+    downstream depends on the basket lineage or on cached blocks.
+    """
+    checkpoint_root(basket_df.sparkSession)
+    items = basket_df.select(items_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = fit_rules(items, min_support, min_confidence, items_col, num_partitions)
+        fi = model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            itemsets = frequent_itemsets(model).checkpoint(eager=True)
+            rules = association_rules(model).checkpoint(eager=True)
+        finally:
+            fi.unpersist()
+    finally:
+        items.unpersist()
+    return RuleSet(itemsets, rules)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT, association_rules, baskets, fit_rules
+from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT, baskets, mine_rules
 from tillroll.operators.recommend import frequently_bought, merge_recommendations
+from tillroll.operators.segments import purchase_table, segment_customers, update_segments
 from tillroll.schema import (
-    COUNTRY, CUSTOMER_ID, DESCRIPTION, INVOICE_DATE, INVOICE_NO, QUANTITY, SEGMENT,
+    BASKET_KEY, ITEMS, COUNTRY, CUSTOMER_ID, DESCRIPTION, INVOICE_DATE, INVOICE_NO, QUANTITY, SEGMENT,
     STOCK_CODE, UNIT_PRICE,
 )
 
@@ -27,27 +29,92 @@ def segment_transactions(tx: DataFrame, segments: DataFrame, segment: str) -> Da
 
 def general_recommendations(tx: DataFrame, min_support: float = MIN_SUPPORT,
                             min_confidence: float = MIN_CONFIDENCE,
-                            num_partitions: int | None = None) -> DataFrame:
-    """(StockCode, recs) mined from all transactions."""
-    model = fit_rules(baskets(tx), min_support, min_confidence, num_partitions=num_partitions)
-    return frequently_bought(association_rules(model))
+                            num_partitions: int | None = None,
+                            basket_df: DataFrame | None = None) -> DataFrame:
+    """(StockCode, recs) mined from all transactions.
+
+    ``basket_df`` reuses baskets already built from ``tx``.
+    """
+    b = basket_df if basket_df is not None else baskets(tx)
+    return frequently_bought(mine_rules(b, min_support, min_confidence, num_partitions=num_partitions).rules)
+
+
+def segment_baskets(basket_df: DataFrame, segments: DataFrame) -> DataFrame:
+    """Baskets tagged with their customer's segment.
+
+    Baskets (not lines) meet the customer table: one shuffle of the much
+    smaller basket table on CustomerID; the customer table is shuffled too
+    unless it is small enough for the planner to broadcast.
+    """
+    seg = segments.select(CUSTOMER_ID, SEGMENT)
+    return basket_df.join(seg, CUSTOMER_ID)
 
 
 def segment_recommendations(tx: DataFrame, segments: DataFrame, segment: str,
                             min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                             fill: DataFrame | None = None,
-                            num_partitions: int | None = None) -> DataFrame:
+                            num_partitions: int | None = None,
+                            basket_df: DataFrame | None = None) -> DataFrame:
     """(StockCode, recs) mined from one segment's purchases, optionally filled
     with general recommendations (R10, R11).
 
-    Support is relative to the segment's own purchases.  The customer join
-    and segment filter come first; no row ``distinct`` is needed because
-    baskets are item sets.
+    Support is relative to the segment's own purchases.  A purchase belongs
+    to a segment through its customer, who is part of the purchase key, so
+    the segment's baskets are the baskets of its customers; no row
+    ``distinct`` is needed because baskets are item sets.
     """
+    b = basket_df if basket_df is not None else baskets(tx)
     seg = segments.filter(F.col(SEGMENT) == F.lit(segment)).select(CUSTOMER_ID)
-    seg_tx = tx.join(seg, CUSTOMER_ID, "left_semi")
-    model = fit_rules(baskets(seg_tx), min_support, min_confidence, num_partitions=num_partitions)
-    recs = frequently_bought(association_rules(model))
+    seg_b = b.join(seg, CUSTOMER_ID, "left_semi")
+    recs = frequently_bought(mine_rules(seg_b, min_support, min_confidence, num_partitions=num_partitions).rules)
     if fill is not None:
         recs = merge_recommendations(recs, fill)
     return recs
+
+
+def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None = None,
+                               previous: DataFrame | None = None,
+                               general: bool = False, fill: DataFrame | None = None,
+                               min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+                               num_partitions: int | None = None,
+                               general_label: str = "gen") -> dict[str, DataFrame]:
+    """Recommendations for several segments from one pass over the lines.
+
+    One aggregation builds the purchase table (item set and features per
+    purchase), persisted.  Unless ``segments`` is given, the customers are
+    segmented from it; the purchases are tagged with their segment once and
+    each segment's mining reads only its own cached baskets.  With
+    ``previous`` (the earlier customer table) the new segments update it
+    first and the updated table assigns the purchases to segments.  With
+    ``general`` all purchases also give the general recommendations, which
+    fill the segment lists unless ``fill`` is given.
+    Returns {label: (StockCode, recs)} plus "segments" (and "customers")
+    when computed here; these stay persisted for the caller.
+    """
+    purchases = purchase_table(tx).persist(StorageLevel.MEMORY_AND_DISK)
+    out: dict[str, DataFrame] = {}
+    try:
+        if segments is None:
+            segments = segment_customers(tx, purchases=purchases).persist(StorageLevel.MEMORY_AND_DISK)
+            out["segments"] = segments
+        if previous is not None:
+            segments = update_segments(previous, segments).persist(StorageLevel.MEMORY_AND_DISK)
+            out["customers"] = segments
+        if general:
+            out[general_label] = general_recommendations(tx, min_support, min_confidence,
+                                                         num_partitions, basket_df=purchases)
+            if fill is None:
+                fill = out[general_label]
+        tagged = segment_baskets(purchases.select(*BASKET_KEY, ITEMS), segments)
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for label in labels:
+                seg_b = tagged.filter(F.col(SEGMENT) == F.lit(label))
+                recs = frequently_bought(mine_rules(seg_b, min_support, min_confidence,
+                                                    num_partitions=num_partitions).rules)
+                out[label] = merge_recommendations(recs, fill) if fill is not None else recs
+        finally:
+            tagged.unpersist()
+    finally:
+        purchases.unpersist()
+    return out

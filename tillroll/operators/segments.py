@@ -18,7 +18,7 @@ from tillroll.functions.columns import (
 )
 from tillroll.schema import (
     AVG_PRICE_PER_PURCHASE, AVG_PRODUCTS_PER_PURCHASE, AVG_QUANTITY_PER_PURCHASE,
-    BASKET_KEY, CUSTOMER_FEATURES, CUSTOMER_ID, NO_OF_CUSTOMERS, PRICE_PER_PURCHASE,
+    BASKET_KEY, CUSTOMER_FEATURES, CUSTOMER_ID, ITEMS, NO_OF_CUSTOMERS, PRICE_PER_PURCHASE,
     PRODUCTS_PER_PURCHASE, PURCHASES_PER_CUSTOMER, QUANTITY, QUANTITY_PER_PURCHASE,
     SCALED_PREFIX, SEGMENT, SEGMENT_OLD, SIMILARITY, STOCK_CODE, UNIT_PRICE,
 )
@@ -37,9 +37,30 @@ def purchase_features(tx: DataFrame) -> DataFrame:
     )
 
 
-def customer_aggregates(tx: DataFrame) -> DataFrame:
-    """Per customer: number of purchases and the three purchase averages (A2)."""
-    return purchase_features(tx).groupBy(CUSTOMER_ID).agg(
+def purchase_table(tx: DataFrame, item_col: str = STOCK_CODE) -> DataFrame:
+    """Per purchase: its sorted item set and the three purchase features.
+
+    One aggregation serves both segmentation and basket mining; the number
+    of distinct products is the size of the item set.  Partitioned by the
+    purchase key, the result feeds every later per-purchase step.
+    """
+    agg = tx.groupBy(*BASKET_KEY).agg(
+        F.array_sort(F.collect_set(item_col)).alias(ITEMS),
+        F.sum(F.col(UNIT_PRICE) * F.col(QUANTITY)).alias(PRICE_PER_PURCHASE),
+        F.sum(QUANTITY).cast("long").alias(QUANTITY_PER_PURCHASE),
+    )
+    return agg.select(*BASKET_KEY, ITEMS, PRICE_PER_PURCHASE,
+                      F.size(ITEMS).cast("long").alias(PRODUCTS_PER_PURCHASE), QUANTITY_PER_PURCHASE)
+
+
+def customer_aggregates(tx: DataFrame, purchases: DataFrame | None = None) -> DataFrame:
+    """Per customer: number of purchases and the three purchase averages (A2).
+
+    ``purchases`` (from :func:`purchase_features` or :func:`purchase_table`)
+    skips the per-purchase aggregation.
+    """
+    pp = purchases if purchases is not None else purchase_features(tx)
+    return pp.groupBy(CUSTOMER_ID).agg(
         F.count(F.lit(1)).alias(PURCHASES_PER_CUSTOMER),
         F.avg(PRICE_PER_PURCHASE).alias(AVG_PRICE_PER_PURCHASE),
         F.avg(PRODUCTS_PER_PURCHASE).alias(AVG_PRODUCTS_PER_PURCHASE),
@@ -48,14 +69,14 @@ def customer_aggregates(tx: DataFrame) -> DataFrame:
 
 
 def customer_features(tx: DataFrame, range_min: float = RANGE_MIN, range_max: float = RANGE_MAX,
-                      degenerate: str = "nan") -> DataFrame:
+                      degenerate: str = "nan", purchases: DataFrame | None = None) -> DataFrame:
     """Per-customer features with their min-max scaled forms.
 
     Columns: CustomerID, then for each feature ``scaled_<name>`` and
     ``<name>``.  Where all customers share a value the scale is degenerate;
     see :func:`min_max_scale`.
     """
-    per_customer = customer_aggregates(tx)
+    per_customer = customer_aggregates(tx, purchases)
     bounds = per_customer.agg(*(
         [F.min(c).alias(f"_min_{c}") for c in CUSTOMER_FEATURES]
         + [F.max(c).alias(f"_max_{c}") for c in CUSTOMER_FEATURES]
@@ -101,9 +122,9 @@ def segment_stats(segments: DataFrame) -> DataFrame:
 
 
 def segment_customers(tx: DataFrame, range_min: float = RANGE_MIN, range_max: float = RANGE_MAX,
-                      degenerate: str = "nan") -> DataFrame:
-    """Transactions to (CustomerID, segment) in one plan (C4 core)."""
-    features = customer_features(tx, range_min, range_max, degenerate)
+                      degenerate: str = "nan", purchases: DataFrame | None = None) -> DataFrame:
+    """Transactions (or their purchase table) to (CustomerID, segment) in one plan (C4 core)."""
+    features = customer_features(tx, range_min, range_max, degenerate, purchases)
     return customer_segments(customer_similarity(features, range_min))
 
 

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT
 from tillroll.operators.clean import clean_transactions, load_customers
-from tillroll.operators.segment_recs import general_recommendations, segment_recommendations
-from tillroll.operators.segments import segment_customers, update_segments
+from tillroll.operators.segment_recs import recommendations_by_segment
 from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import RECS, SEGMENT, STOCK_CODE
 
@@ -34,7 +33,8 @@ def run_pipeline(raw: DataFrame, customers: DataFrame | None = None,
 
     ``customers`` is the previous (CustomerID, segment) table; by default the
     initial load of ``raw`` (every customer unsegmented).  Returns the
-    intermediate and final DataFrames by name.
+    intermediate and final DataFrames by name: clean, segments, customers,
+    gen, and one entry per segment label.
     """
     clean = clean_transactions(raw)
     if materialize:
@@ -43,23 +43,18 @@ def run_pipeline(raw: DataFrame, customers: DataFrame | None = None,
         clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
     if customers is None:
         customers = load_customers(raw)
-    segments = segment_customers(clean)
-    updated = update_segments(customers, segments)
-    general = general_recommendations(clean, min_support, min_confidence)
-    out = {"clean": clean, "segments": segments, "customers": updated, "general": general}
-    for label in SEGMENT_LABELS:
-        out[f"segment_{label}"] = segment_recommendations(clean, updated, label, min_support,
-                                                          min_confidence, fill=general)
+    out = recommendations_by_segment(clean, SEGMENT_LABELS, previous=customers, general=True,
+                                     min_support=min_support, min_confidence=min_confidence,
+                                     general_label=GENERAL_LABEL)
+    out["clean"] = clean
     return out
 
 
 def pipeline_recommendations(raw: DataFrame, **kwargs) -> DataFrame:
     """(segment, StockCode, recs) for the general and every segment run."""
     res = run_pipeline(raw, **kwargs)
-    parts = [res["general"].select(F.lit(GENERAL_LABEL).alias(SEGMENT), STOCK_CODE, RECS)]
-    for label in SEGMENT_LABELS:
-        parts.append(res[f"segment_{label}"].select(F.lit(label).alias(SEGMENT), STOCK_CODE, RECS))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = None
+    for label in (GENERAL_LABEL,) + SEGMENT_LABELS:
+        part = res[label].select(F.lit(label).alias(SEGMENT), STOCK_CODE, RECS)
+        out = part if out is None else out.unionByName(part)
     return out

@@ -134,17 +134,17 @@ def q_baskets(spark, sf_dir):
     return _key_text(b).withColumn(ITEMS, _joined(ITEMS))
 
 
-def _type_model(spark, sf_dir):
-    return ops.fit_rules(ops.baskets(_tx(spark, sf_dir, "p_type")), SUPPORT, CONFIDENCE)
+def _type_rules(spark, sf_dir):
+    return ops.mine_rules(ops.baskets(_tx(spark, sf_dir, "p_type")), SUPPORT, CONFIDENCE)
 
 
 def q_frequent_itemsets(spark, sf_dir):
-    fi = ops.frequent_itemsets(_type_model(spark, sf_dir))
+    fi = _type_rules(spark, sf_dir).itemsets
     return fi.select(_joined("items").alias("items"), "freq")
 
 
 def q_association_rules(spark, sf_dir):
-    r = ops.association_rules(_type_model(spark, sf_dir))
+    r = _type_rules(spark, sf_dir).rules
     return r.select(_joined("antecedent").alias("antecedent"), _joined("consequent").alias("consequent"),
                     "confidence", "lift", "support")
 
@@ -153,27 +153,28 @@ def q_frequently_bought(spark, sf_dir):
     return ops.general_recommendations(_tx(spark, sf_dir), BRAND_SUPPORT, BRAND_CONFIDENCE)
 
 
-def _per_segment(tx, segments, fill=None):
-    parts = [ops.segment_recommendations(tx, segments, s, BRAND_SUPPORT, BRAND_CONFIDENCE, fill=fill)
-             .select(F.lit(s).alias(SEGMENT), STOCK_CODE, RECS) for s in SEGMENT_LABELS]
-    return parts[0].unionByName(parts[1])
+def _per_segment(tx, fill: bool):
+    res = ops.recommendations_by_segment(tx, SEGMENT_LABELS, general=fill,
+                                         min_support=BRAND_SUPPORT, min_confidence=BRAND_CONFIDENCE)
+    out = None
+    for s in SEGMENT_LABELS:
+        part = res[s].select(F.lit(s).alias(SEGMENT), STOCK_CODE, RECS)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_frequently_bought_segment(spark, sf_dir):
-    tx = _tx(spark, sf_dir)
-    return _per_segment(tx, ops.segment_customers(tx))
+    return _per_segment(_tx(spark, sf_dir), fill=False)
 
 
 def q_merge_recommendations(spark, sf_dir):
-    tx = _tx(spark, sf_dir)
-    general = ops.general_recommendations(tx, BRAND_SUPPORT, BRAND_CONFIDENCE)
-    return _per_segment(tx, ops.segment_customers(tx), fill=general)
+    return _per_segment(_tx(spark, sf_dir), fill=True)
 
 
 def q_recommend_for_baskets(spark, sf_dir):
     tx = _tx(spark, sf_dir, "p_type")
     b = ops.baskets(tx)
-    rules = ops.association_rules(ops.fit_rules(b, SUPPORT, CONFIDENCE))
+    rules = ops.mine_rules(b, SUPPORT, CONFIDENCE).rules
     out = ops.recommend(b, rules)
     return _key_text(out).select(*BASKET_KEY, _joined(ITEMS).alias(ITEMS), _joined(RECS).alias(RECS))
 
@@ -181,16 +182,15 @@ def q_recommend_for_baskets(spark, sf_dir):
 # ------------------------------------------------------------ comparison
 
 def _general_vs_segments(spark, sf_dir):
-    tx = _tx(spark, sf_dir)
-    general = ops.general_recommendations(tx, BRAND_SUPPORT, BRAND_CONFIDENCE)
-    segments = ops.segment_customers(tx)
-    g = general.select(F.col(STOCK_CODE).alias(CMP_KEY), F.col(RECS).alias(CMP_VAL1))
-    parts = []
+    res = ops.recommendations_by_segment(_tx(spark, sf_dir), SEGMENT_LABELS, general=True,
+                                         min_support=BRAND_SUPPORT, min_confidence=BRAND_CONFIDENCE)
+    g = res["gen"].select(F.col(STOCK_CODE).alias(CMP_KEY), F.col(RECS).alias(CMP_VAL1))
+    out = None
     for s in SEGMENT_LABELS:
-        seg = (ops.segment_recommendations(tx, segments, s, BRAND_SUPPORT, BRAND_CONFIDENCE, fill=general)
-               .select(F.col(STOCK_CODE).alias(CMP_KEY), F.col(RECS).alias(CMP_VAL2)))
-        parts.append(ops.jaccard_compare(g, seg).withColumn(SEGMENT, F.lit(s)))
-    return parts[0].unionByName(parts[1])
+        seg = res[s].select(F.col(STOCK_CODE).alias(CMP_KEY), F.col(RECS).alias(CMP_VAL2))
+        part = ops.jaccard_compare(g, seg).withColumn(SEGMENT, F.lit(s))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_jaccard_compare(spark, sf_dir):

@@ -5,11 +5,10 @@ the same lines as all-string text with deterministic dirt (cancelled
 invoices, service codes, blanks, malformed numbers and dates) for the
 cleaning and loading jobs.
 
-Join order is chosen for scale: orders meet customer and nation first (an
-orders-sized shuffle on the customer key), lineitem meets part on the part
-key, and the two halves meet on the order key.  That is two shuffles of the
-lineitem-sized side, the least possible when part is too large to
-broadcast.  Small dimension tables (nation, and part while its file is under
+Join order is chosen for scale: orders meet customer and nation first,
+lineitem meets part on the part key, and the two halves meet on the
+invoice text.  The last join leaves the lines partitioned by InvoiceNo,
+which every later purchase-level aggregate reuses.  Small dimension tables (nation, and part while its file is under
 the broadcast threshold) are broadcast by Catalyst from file statistics; AQE
 re-plans at run time from the exchanged sizes.
 """
@@ -37,20 +36,29 @@ def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, Dat
     return {n: table(spark, sf_dir, n) for n in names}
 
 
-def _lines(spark: SparkSession, sf_dir: str, item: str) -> DataFrame:
-    """One row per line item with its order, customer, nation and part columns."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+def _lines(spark: SparkSession, sf_dir: str, item: str, invoice=None) -> DataFrame:
+    """One row per line item with its order, customer, nation and part columns.
+
+    The two halves join on the invoice text itself (``invoice`` maps an
+    order-key column to it; it must be one-to-one).  The join output is then
+    hash-partitioned by InvoiceNo, so grouping by the purchase key (which
+    starts with InvoiceNo) needs no further shuffle.
+    """
+    invoice = invoice or (lambda k: k.cast("string"))
+    orders = table(spark, sf_dir, "orders").select(
+        invoice(F.col("o_orderkey")).alias(INVOICE_NO), "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.col(item).alias("_item"))
     lineitem = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+        invoice(F.col("l_orderkey")).alias(INVOICE_NO), "l_orderkey", "l_partkey", "l_quantity",
+        "l_extendedprice")
 
     buyer = (orders.join(customer, orders.o_custkey == customer.c_custkey)
              .join(nation, customer.c_nationkey == nation.n_nationkey)
-             .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
+             .select(INVOICE_NO, "o_custkey", "o_orderdate", "n_name"))
     bought = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-    return bought.join(buyer, bought.l_orderkey == buyer.o_orderkey)
+    return bought.join(buyer, INVOICE_NO)
 
 
 def transactions(spark: SparkSession, sf_dir: str, item: str = "p_brand") -> DataFrame:
@@ -60,7 +68,7 @@ def transactions(spark: SparkSession, sf_dir: str, item: str = "p_brand") -> Dat
     purchase key.
     """
     return _lines(spark, sf_dir, item).select(
-        F.col("o_orderkey").cast("string").alias(INVOICE_NO),
+        F.col(INVOICE_NO),
         F.col("_item").alias(STOCK_CODE),
         F.col("p_name").alias(DESCRIPTION),
         F.col("l_quantity").cast("int").alias(QUANTITY),
@@ -76,15 +84,19 @@ def transactions(spark: SparkSession, sf_dir: str, item: str = "p_brand") -> Dat
 RAW_DATE_PATTERN = "M/d/yyyy H:mm"
 
 
+def _raw_invoice(k):
+    """Invoice text of the raw view: cancelled orders carry a "C" prefix."""
+    return F.when(k % 23 == 0, F.concat(F.lit("C"), k.cast("string"))).otherwise(k.cast("string"))
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str, item: str = "p_brand") -> DataFrame:
     """All-string purchase lines with deterministic dirt."""
     ok = F.col("l_orderkey")
     pk = F.col("l_partkey")
     ck = F.col("o_custkey")
     qty = F.col("l_quantity").cast("int").cast("string")
-    return _lines(spark, sf_dir, item).select(
-        F.when(ok % 23 == 0, F.concat(F.lit("C"), ok.cast("string")))
-         .otherwise(ok.cast("string")).alias(INVOICE_NO),
+    return _lines(spark, sf_dir, item, invoice=_raw_invoice).select(
+        F.col(INVOICE_NO),
         F.when(pk % 29 == 0, F.lit("POST")).when(pk % 31 == 0, F.lit(""))
          .otherwise(F.col("_item")).alias(STOCK_CODE),
         F.col("p_name").alias(DESCRIPTION),
