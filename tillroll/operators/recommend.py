@@ -10,7 +10,8 @@ after a row-count check, otherwise both sides shuffle on the item.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import merge_lists, split_list_dropping_trailing
@@ -56,38 +57,54 @@ def recommend(basket_df: DataFrame, rules: DataFrame, key_cols=BASKET_KEY, items
     descending, ties by item).  Baskets with no recommendation are dropped
     unless ``keep_empty`` (then ``recs`` is an empty array).
 
-    Plan: each rule (A, c) is exploded into its antecedent items (flag 0)
-    and its consequent (flag 1).  Joined on the item with the exploded
-    basket items, one aggregation per (basket, A, c) counts antecedent hits
-    and notes whether c is present.  With the rules broadcast, nothing
-    beyond the basket aggregation shuffles: the join keeps the basket
-    partitioning and every later aggregation groups by a superset of the
-    basket key.
+    Plan (relational division over the distinct antecedents):
+    1. each distinct antecedent, numbered, is exploded into
+       its items; joined on the item with the exploded basket items, a
+       count per (basket, antecedent) equal to the antecedent size means
+       the antecedent is contained in the basket;
+    2. contained antecedents meet their rules (consequent, confidence);
+       the best confidence per (basket, consequent) is kept;
+    3. per basket the candidates are ordered, then joined back to the basket
+       on its key, where consequents already in the basket are removed.
+    Rule tables are broadcast after a row-count check; then no step after
+    the basket aggregation shuffles: the joins keep the basket
+    partitioning, every aggregation groups by a superset of the basket key,
+    and the final join is on exactly that key.  No step holds more than one
+    basket's candidates (bounded by the number of distinct consequents).
     """
     key_cols = list(key_cols)
-    rule_items = rules.select(
-        F.col("antecedent"), F.explode("consequent").alias("_cons"), F.col("confidence"),
-    ).select(
-        "antecedent", "_cons", "confidence", F.size("antecedent").alias("_n"),
-        F.explode(F.concat(
-            F.transform("antecedent", lambda a: F.struct(a.alias("_item"), F.lit(0).alias("_is_cons"))),
-            F.array(F.struct(F.col("_cons").alias("_item"), F.lit(1).alias("_is_cons"))),
-        )).alias("_ri"),
-    ).select("antecedent", "_cons", "confidence", "_n",
-             F.col("_ri._item").alias("_item"), F.col("_ri._is_cons").alias("_is_cons"))
-    rule_items, _ = broadcast_if_bounded(rule_items, max_broadcast_rules)
+    ante_key = F.array_join(F.col("antecedent"), "\u0001")
+    by_ante = rules.select(ante_key.alias("_ak"), F.col("antecedent"),
+                           F.explode("consequent").alias("_cons"), F.col("confidence"))
+    antes = by_ante.select("_ak", "antecedent").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    if antes.limit(max_broadcast_rules + 1).count() <= max_broadcast_rules:
+        # A bounded table: numbering it in one task is cheap, and an integer
+        # key makes the per-(basket, antecedent) aggregation much lighter.
+        antes = antes.withColumn("_aid", F.row_number().over(Window.orderBy("_ak")))
+    else:
+        antes = antes.withColumn("_aid", F.col("_ak"))
+    ante_items = antes.select("_aid", F.size("antecedent").alias("_n"), F.explode("antecedent").alias("_item"))
+    ante_items, _ = broadcast_if_bounded(ante_items, max_broadcast_rules)
+    conseq = by_ante.join(antes.select("_ak", "_aid"), "_ak").select("_aid", "_cons", "confidence")
+    conseq, _ = broadcast_if_bounded(conseq, max_broadcast_rules)
 
     basket_items = basket_df.select(*key_cols, F.explode(items_col).alias("_item"))
-    hits = (basket_items.join(rule_items, "_item")
-            .groupBy(*key_cols, "antecedent", "_cons", "_n", "confidence")
-            .agg(F.sum(1 - F.col("_is_cons")).alias("_ante_hits"), F.max("_is_cons").alias("_cons_hit")))
-    fired = hits.filter((F.col("_ante_hits") == F.col("_n")) & (F.col("_cons_hit") == 0))
-    per_basket = fired.groupBy(*key_cols).agg(_ranked("confidence", "_cons").alias(RECS))
+    contained = (basket_items.join(ante_items, "_item")
+                 .groupBy(*key_cols, "_aid", "_n").agg(F.count(F.lit(1)).alias("_hits"))
+                 .filter(F.col("_hits") == F.col("_n")))
+    candidates = (contained.join(conseq, "_aid")
+                  .groupBy(*key_cols, "_cons").agg(F.max("confidence").alias("_conf")))
+    per_basket = candidates.groupBy(*key_cols).agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("_conf")).alias("_nc"), F.col("_cons").alias("_it"))))
+        .alias("_ranked"))
     how = "left" if keep_empty else "inner"
-    out = basket_df.join(per_basket, key_cols, how)
-    if keep_empty:
-        out = out.withColumn(RECS, F.coalesce(F.col(RECS), F.array().cast("array<string>")))
-    return out
+    joined = basket_df.join(per_basket, key_cols, how)
+    recs = F.transform(
+        F.filter(F.coalesce(F.col("_ranked"), F.array().cast(per_basket.schema["_ranked"].dataType)),
+                 lambda s: ~F.array_contains(F.col(items_col), s.getField("_it"))),
+        lambda s: s.getField("_it"))
+    out = joined.select(*[F.col(c) for c in basket_df.columns], recs.alias(RECS))
+    return out if keep_empty else out.filter(F.size(RECS) > 0)
 
 
 def merge_recommendations(segment_recs: DataFrame, general_recs: DataFrame) -> DataFrame:

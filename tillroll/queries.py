@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,7 @@ from tillroll.schema import (
     JACCARD_DIS, JACCARD_SIM, PRICE_PER_PURCHASE, RECS, SCALED_PREFIX, SEGMENT, SIMILARITY,
     STOCK_CODE,
 )
+from tillroll.plans.strategies import cut_lineage
 from tillroll.session import apply_job_conf, scratch_path
 from tillroll.sources.delimited import read_delimited_with_schema, write_delimited
 from tillroll.sources.fixtures import raw_transactions, table, transactions
@@ -173,10 +175,17 @@ def q_merge_recommendations(spark, sf_dir):
 
 def q_recommend_for_baskets(spark, sf_dir):
     tx = _tx(spark, sf_dir, "p_type")
-    b = ops.baskets(tx)
-    rules = ops.mine_rules(b, SUPPORT, CONFIDENCE).rules
-    out = ops.recommend(b, rules)
-    return _key_text(out).select(*BASKET_KEY, _joined(ITEMS).alias(ITEMS), _joined(RECS).alias(RECS))
+    # Baskets feed both the mining and the rule application: cached for the
+    # job (the cached scan keeps the purchase partitioning); the result is
+    # written to the checkpoint folder so the cache can be released.
+    b = ops.baskets(tx).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rules = ops.mine_rules(b, SUPPORT, CONFIDENCE).rules
+        out = ops.recommend(b, rules)
+        out = _key_text(out).select(*BASKET_KEY, _joined(ITEMS).alias(ITEMS), _joined(RECS).alias(RECS))
+        return cut_lineage(spark, out, "recommend-for-baskets")
+    finally:
+        b.unpersist()
 
 
 # ------------------------------------------------------------ comparison
