@@ -36,8 +36,8 @@ def fit_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
               num_partitions: int | None = None) -> FPGrowthModel:
     """Fit FPGrowth on a basket column.
 
-    ``num_partitions`` sets the number of FP-tree groups; by default the
-    input's partition count.  Input items must be distinct per row
+    ``num_partitions`` sets the number of FP-tree groups (FPGrowth's own
+    default is the input's partition count).  Input items must be distinct per row
     (``baskets`` guarantees it).
     """
     fp = (FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=min_confidence,
@@ -78,7 +78,12 @@ def mine_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
     checkpointed into ``spark.checkpoint.dir``.  Afterwards nothing
     downstream depends on the basket lineage or on cached blocks.
     """
-    checkpoint_root(basket_df.sparkSession)
+    spark = basket_df.sparkSession
+    checkpoint_root(spark)
+    if not num_partitions:
+        # FP-tree groups: one per core of the cluster.  The input may arrive
+        # in a few coalesced partitions; the groups must not follow it.
+        num_partitions = spark.sparkContext.defaultParallelism
     items = basket_df.select(items_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = fit_rules(items, min_support, min_confidence, items_col, num_partitions)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,21 +102,29 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
         if previous is not None:
             segments = update_segments(previous, segments).persist(StorageLevel.MEMORY_AND_DISK)
             out["customers"] = segments
-        if general:
-            out[general_label] = general_recommendations(tx, min_support, min_confidence,
-                                                         num_partitions, basket_df=purchases)
-            if fill is None:
-                fill = out[general_label]
         tagged = segment_baskets(purchases.select(*BASKET_KEY, ITEMS), segments)
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for label in labels:
-                seg_b = tagged.filter(F.col(SEGMENT) == F.lit(label))
-                recs = frequently_bought(mine_rules(seg_b, min_support, min_confidence,
-                                                    num_partitions=num_partitions).rules)
-                out[label] = merge_recommendations(recs, fill) if fill is not None else recs
+            tagged.count()  # materialise the shared caches once, before the parallel jobs
+            inputs = [(label, tagged.filter(F.col(SEGMENT) == F.lit(label))) for label in labels]
+            if general:
+                inputs.append((general_label, purchases))
+            # The minings are independent Spark jobs: submitted together they
+            # share the cluster instead of queueing their small stages.
+            with ThreadPoolExecutor(max_workers=len(inputs)) as pool:
+                futures = {label: pool.submit(mine_rules, b, min_support, min_confidence,
+                                              num_partitions=num_partitions)
+                           for label, b in inputs}
+                mined = {label: f.result().rules for label, f in futures.items()}
         finally:
             tagged.unpersist()
+        if general:
+            out[general_label] = frequently_bought(mined[general_label])
+            if fill is None:
+                fill = out[general_label]
+        for label in labels:
+            recs = frequently_bought(mined[label])
+            out[label] = merge_recommendations(recs, fill) if fill is not None else recs
     finally:
         purchases.unpersist()
     return out

@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # FPGrowth shuffles and RDD checkpoints serialise JVM objects.
+        .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)

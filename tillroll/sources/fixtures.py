@@ -28,8 +28,28 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table ``name`` under ``sf_dir``.
+
+    The DataFrame (its resolved relation and file listing, no data) is kept
+    per session, as a catalog would, so repeated jobs skip re-listing the
+    files and re-reading the footers.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
+
+
+def forget_tables() -> None:
+    """Drop the remembered table DataFrames (e.g. after the files changed)."""
+    _TABLES.clear()
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
