@@ -20,6 +20,11 @@ JOB_CONF = {
     # reuse a partitioning on its leading, high-cardinality InvoiceNo instead
     # of re-shuffling both sides on all four columns.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A purchase (or customer) holding a large share of all lines is split
+    # across tasks at the join even when that costs a shuffle before the
+    # purchase aggregation: each split pre-aggregates (partial collect_set /
+    # sums) before that shuffle, so no task receives the whole hot group.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
