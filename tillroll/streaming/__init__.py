@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The retail jobs are bounded batch work: no stream source, watermark, stream
+window or stateful operator exists in the original design, so none is added
+here.  Every operator in :mod:`tillroll.operators` is a DataFrame transform;
+the stateless ones (for instance ``clean_transactions``) apply unchanged to a
+``readStream`` DataFrame if a caller wants incremental ingestion.
+"""
