@@ -61,16 +61,19 @@ def association_rules(model: FPGrowthModel) -> DataFrame:
 
 
 class RuleSet(NamedTuple):
-    """Frequent itemsets and association rules of one mining run."""
-    itemsets: DataFrame
+    """Frequent itemsets (None when not kept) and association rules of one mining run."""
+    itemsets: DataFrame | None
     rules: DataFrame
 
 
 def mine_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE, items_col: str = ITEMS,
-               num_partitions: int | None = None) -> RuleSet:
+               num_partitions: int | None = None, with_itemsets: bool = True) -> RuleSet:
     """Fit FPGrowth and return its itemsets and rules as checkpointed tables.
 
+    ``with_itemsets=False`` skips writing the itemsets when only the rules
+    are needed (``RuleSet.itemsets`` is then None).
+
     FPGrowth reads its input three times (count, item frequencies, FP-tree
     growth) and builds its outputs lazily, so the item column is persisted
     for the fit, the itemsets are cached while the rules are derived from
@@ -89,8 +92,8 @@ def mine_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
         model = fit_rules(items, min_support, min_confidence, items_col, num_partitions)
         fi = model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            itemsets = frequent_itemsets(model).checkpoint(eager=True)
             rules = association_rules(model).checkpoint(eager=True)
+            itemsets = frequent_itemsets(model).checkpoint(eager=True) if with_itemsets else None
         finally:
             fi.unpersist()
     finally:

@@ -64,9 +64,12 @@ def centroid_distances(vectors: DataFrame, id_col: str = "vec_id", vec_col: str
     squared similarity to its label's centroid.
 
     The centroid table has one row per label; it is broadcast after a
-    row-count check, otherwise joined by shuffle.
+    row-count check, otherwise joined by shuffle.  It is cached for the
+    check and the join (recomputing it would rescan the vectors); release it
+    with ``spark.catalog.clearCache()`` or by unpersisting after use.
     """
-    cents, _ = broadcast_if_bounded(label_centroids(vectors, vec_col, label_col), max_broadcast_labels)
+    cents, _ = broadcast_if_bounded(label_centroids(vectors, vec_col, label_col), max_broadcast_labels,
+                                    persist=True)
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     joined = vectors.join(cents, label_col)
     return joined.select(

@@ -10,7 +10,6 @@ after a row-count check, otherwise both sides shuffle on the item.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,7 +75,9 @@ def recommend(basket_df: DataFrame, rules: DataFrame, key_cols=BASKET_KEY, items
     ante_key = F.array_join(F.col("antecedent"), "\u0001")
     by_ante = rules.select(ante_key.alias("_ak"), F.col("antecedent"),
                            F.explode("consequent").alias("_cons"), F.col("confidence"))
-    antes = by_ante.select("_ak", "antecedent").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    # Rules are a checkpointed table: everything derived from them is cheap
+    # to recompute, so nothing here is cached.
+    antes = by_ante.select("_ak", "antecedent").distinct()
     if antes.limit(max_broadcast_rules + 1).count() <= max_broadcast_rules:
         # A bounded table: numbering it in one task is cheap, and an integer
         # key makes the per-(basket, antecedent) aggregation much lighter.

@@ -38,7 +38,8 @@ def general_recommendations(tx: DataFrame, min_support: float = MIN_SUPPORT,
     ``basket_df`` reuses baskets already built from ``tx``.
     """
     b = basket_df if basket_df is not None else baskets(tx)
-    return frequently_bought(mine_rules(b, min_support, min_confidence, num_partitions=num_partitions).rules)
+    return frequently_bought(mine_rules(b, min_support, min_confidence, num_partitions=num_partitions,
+                                        with_itemsets=False).rules)
 
 
 def segment_baskets(basket_df: DataFrame, segments: DataFrame) -> DataFrame:
@@ -68,7 +69,8 @@ def segment_recommendations(tx: DataFrame, segments: DataFrame, segment: str,
     b = basket_df if basket_df is not None else baskets(tx)
     seg = segments.filter(F.col(SEGMENT) == F.lit(segment)).select(CUSTOMER_ID)
     seg_b = b.join(seg, CUSTOMER_ID, "left_semi")
-    recs = frequently_bought(mine_rules(seg_b, min_support, min_confidence, num_partitions=num_partitions).rules)
+    recs = frequently_bought(mine_rules(seg_b, min_support, min_confidence, num_partitions=num_partitions,
+                                        with_itemsets=False).rules)
     if fill is not None:
         recs = merge_recommendations(recs, fill)
     return recs
@@ -113,7 +115,7 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
             # share the cluster instead of queueing their small stages.
             with ThreadPoolExecutor(max_workers=len(inputs)) as pool:
                 futures = {label: pool.submit(mine_rules, b, min_support, min_confidence,
-                                              num_partitions=num_partitions)
+                                              num_partitions=num_partitions, with_itemsets=False)
                            for label, b in inputs}
                 mined = {label: f.result().rules for label, f in futures.items()}
         finally:

@@ -14,13 +14,14 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                         persist: bool = True) -> tuple[DataFrame, bool]:
+                         persist: bool = False) -> tuple[DataFrame, bool]:
     """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
 
     The check is a ``limit(max_rows + 1).count()`` job, which stops reading
-    once the bound is exceeded.  ``df`` is persisted first (when asked) so
-    the check and the later join share one computation; a lost executor
-    only means its cached blocks are recomputed from lineage.  Beyond the
+    once the bound is exceeded.  With ``persist`` the table is cached first
+    so the check and the later join share one computation (for tables that
+    are costly to recompute; the caller releases the cache); a lost
+    executor only means its cached blocks are recomputed from lineage.  Beyond the
     bound the plain DataFrame is returned and Spark shuffles both sides
     (AQE may still split skewed partitions).
     """

@@ -180,7 +180,7 @@ def q_recommend_for_baskets(spark, sf_dir):
     # written to the checkpoint folder so the cache can be released.
     b = ops.baskets(tx).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rules = ops.mine_rules(b, SUPPORT, CONFIDENCE).rules
+        rules = ops.mine_rules(b, SUPPORT, CONFIDENCE, with_itemsets=False).rules
         out = ops.recommend(b, rules)
         out = _key_text(out).select(*BASKET_KEY, _joined(ITEMS).alias(ITEMS), _joined(RECS).alias(RECS))
         return cut_lineage(spark, out, "recommend-for-baskets")
