@@ -33,3 +33,10 @@ def test_centroid_distances_match_numpy(spark):
         assert got[vid]["distance"] == pytest.approx(float(np.sqrt(np.sum(d * d))), rel=1e-9)
         assert got[vid]["msd"] == pytest.approx(float(np.sum(d * d) / len(v)), rel=1e-9)
         assert got[vid]["ms_similarity"] == pytest.approx(1.0 / (float(np.sum(d * d) / len(v)) + 1.0), rel=1e-9)
+
+
+def test_centroid_shuffle_path_equals_broadcast(spark):
+    emb = table(spark, SF_SMALL, "embeddings")
+    a = {r["vec_id"]: r["distance"] for r in ops.centroid_distances(emb).collect()}
+    b = {r["vec_id"]: r["distance"] for r in ops.centroid_distances(emb, max_broadcast_labels=0).collect()}
+    assert a == b

@@ -125,3 +125,13 @@ def test_segment_runs_match_single_runs(spark):
                                               fill=ops.general_recommendations(tx, 0.02, 0.15)).collect()}
         assert {r["StockCode"]: r["recs"] for r in res[label].collect()} == single
     assert res["segments"].filter(F.col("segment").isin("1", "2")).count() == res["segments"].count()
+
+
+def test_empty_segment_mines_nothing(spark):
+    tx = transactions(spark, SF_SMALL)
+    nobody = spark.createDataFrame([], "CustomerID string, segment string")
+    recs = ops.segment_recommendations(tx, nobody, "1", 0.02, 0.15)
+    assert recs.count() == 0
+    gen = ops.general_recommendations(tx, 0.02, 0.15)
+    filled = ops.segment_recommendations(tx, nobody, "1", 0.02, 0.15, fill=gen)
+    assert {tuple(r) for r in filled.collect()} == {tuple(r) for r in gen.collect()}
