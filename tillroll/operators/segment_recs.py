@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT, baskets, mine_rules
 from tillroll.operators.recommend import frequently_bought, merge_recommendations
 from tillroll.operators.segments import purchase_table, segment_customers, update_segments
+from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import (
     BASKET_KEY, ITEMS, COUNTRY, CUSTOMER_ID, DESCRIPTION, INVOICE_DATE, INVOICE_NO, QUANTITY, SEGMENT,
     STOCK_CODE, UNIT_PRICE,
@@ -81,7 +82,7 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
                                general: bool = False, fill: DataFrame | None = None,
                                min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                                num_partitions: int | None = None,
-                               general_label: str = "gen") -> dict[str, DataFrame]:
+                               general_label: str = "gen", materialize: bool = False) -> dict[str, DataFrame]:
     """Recommendations for several segments from one pass over the lines.
 
     One aggregation builds the purchase table (item set and features per
@@ -94,8 +95,16 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
     fill the segment lists unless ``fill`` is given.
     Returns {label: (StockCode, recs)} plus "segments" (and "customers")
     when computed here; these stay persisted for the caller.
+
+    ``materialize`` writes the purchase table below ``spark.checkpoint.dir``
+    instead of caching it: at large scale a durable table costs less than
+    executor memory and survives executor loss without recomputation.  Its
+    consumers re-shuffle by customer anyway, so no partitioning is lost.
     """
-    purchases = purchase_table(tx).persist(StorageLevel.MEMORY_AND_DISK)
+    if materialize:
+        purchases = cut_lineage(tx.sparkSession, purchase_table(tx), "purchases")
+    else:
+        purchases = purchase_table(tx).persist(StorageLevel.MEMORY_AND_DISK)
     out: dict[str, DataFrame] = {}
     try:
         if segments is None:

@@ -45,7 +45,7 @@ def run_pipeline(raw: DataFrame, customers: DataFrame | None = None,
         customers = load_customers(raw)
     out = recommendations_by_segment(clean, SEGMENT_LABELS, previous=customers, general=True,
                                      min_support=min_support, min_confidence=min_confidence,
-                                     general_label=GENERAL_LABEL)
+                                     general_label=GENERAL_LABEL, materialize=materialize)
     out["clean"] = clean
     return out
 
