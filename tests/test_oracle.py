@@ -1,6 +1,5 @@
 """Every registered query equals its SQL oracle (DuckDB) on the smallest fixture."""
 
-import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries

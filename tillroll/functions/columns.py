@@ -1,8 +1,9 @@
 """Native Column expressions for the scalar rules of the retail jobs.
 
-All of these compile to Catalyst expressions (whole-stage codegen, no Python
-in the data path).  Higher-order array functions (``zip_with``,
-``aggregate``, ``array_except`` ...) replace per-row Scala/Python loops.
+All of these are JVM-side Catalyst expressions (no Python in the data path).
+Scalar ones join whole-stage code generation; the higher-order array
+functions (``zip_with``, ``aggregate``, ``transform``) replace per-row
+Scala/Python loops and are evaluated by the JVM inside the same stage.
 """
 
 from __future__ import annotations
@@ -10,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillroll.schema import SEGMENT
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -158,7 +157,7 @@ def merge_lists(first, second) -> Column:
 
 
 __all__ = [
-    "SEGMENT", "non_blank", "digits_only", "has_digit", "min_max_scale",
+    "non_blank", "digits_only", "has_digit", "min_max_scale",
     "euclidean_distance", "mean_squared_difference", "mean_squared_similarity",
     "jaccard_similarity", "jaccard_distance", "segment_label", "keep_old_segment",
     "split_list", "split_list_dropping_trailing", "merge_lists",
