@@ -106,7 +106,18 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
     else:
         purchases = purchase_table(tx).persist(StorageLevel.MEMORY_AND_DISK)
     out: dict[str, DataFrame] = {}
+    pool = ThreadPoolExecutor(max_workers=len(labels) + 1)
     try:
+        def mine(b: DataFrame):
+            return mine_rules(b, min_support, min_confidence, num_partitions=num_partitions,
+                              with_itemsets=False)
+
+        futures = {}
+        if general:
+            # The general mining needs only the purchases: it runs while the
+            # customers are segmented.
+            purchases.count()
+            futures[general_label] = pool.submit(mine, purchases)
         if segments is None:
             segments = segment_customers(tx, purchases=purchases).persist(StorageLevel.MEMORY_AND_DISK)
             out["segments"] = segments
@@ -116,17 +127,12 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
         tagged = segment_baskets(purchases.select(*BASKET_KEY, ITEMS), segments)
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tagged.count()  # materialise the shared caches once, before the parallel jobs
-            inputs = [(label, tagged.filter(F.col(SEGMENT) == F.lit(label))) for label in labels]
-            if general:
-                inputs.append((general_label, purchases))
+            tagged.count()  # materialise the shared cache once, before the parallel jobs
             # The minings are independent Spark jobs: submitted together they
             # share the cluster instead of queueing their small stages.
-            with ThreadPoolExecutor(max_workers=len(inputs)) as pool:
-                futures = {label: pool.submit(mine_rules, b, min_support, min_confidence,
-                                              num_partitions=num_partitions, with_itemsets=False)
-                           for label, b in inputs}
-                mined = {label: f.result().rules for label, f in futures.items()}
+            for label in labels:
+                futures[label] = pool.submit(mine, tagged.filter(F.col(SEGMENT) == F.lit(label)))
+            mined = {label: f.result().rules for label, f in futures.items()}
         finally:
             tagged.unpersist()
         if general:
@@ -137,5 +143,6 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
             recs = frequently_bought(mined[label])
             out[label] = merge_recommendations(recs, fill) if fill is not None else recs
     finally:
+        pool.shutdown(wait=True)
         purchases.unpersist()
     return out
