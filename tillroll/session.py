@@ -25,6 +25,10 @@ JOB_CONF = {
     # purchase aggregation: each split pre-aggregates (partial collect_set /
     # sums) before that shuffle, so no task receives the whole hot group.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # When every post-shuffle partition of a join is under this size (a
+    # run-time check), AQE builds per-partition hash maps instead of sorting
+    # both sides; larger or skewed partitions keep the sort-merge join.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
