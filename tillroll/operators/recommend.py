@@ -10,7 +10,7 @@ after a row-count check, otherwise both sides shuffle on the item.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import merge_lists, split_list_dropping_trailing
@@ -57,7 +57,7 @@ def recommend(basket_df: DataFrame, rules: DataFrame, key_cols=BASKET_KEY, items
     unless ``keep_empty`` (then ``recs`` is an empty array).
 
     Plan (relational division over the distinct antecedents):
-    1. each distinct antecedent, numbered, is exploded into
+    1. each distinct antecedent, keyed by a verified 64-bit hash, is exploded into
        its items; joined on the item with the exploded basket items, a
        count per (basket, antecedent) equal to the antecedent size means
        the antecedent is contained in the basket;
@@ -72,21 +72,18 @@ def recommend(basket_df: DataFrame, rules: DataFrame, key_cols=BASKET_KEY, items
     basket's candidates (bounded by the number of distinct consequents).
     """
     key_cols = list(key_cols)
-    ante_key = F.array_join(F.col("antecedent"), "\u0001")
-    by_ante = rules.select(ante_key.alias("_ak"), F.col("antecedent"),
-                           F.explode("consequent").alias("_cons"), F.col("confidence"))
+    by_ante = rules.select(F.col("antecedent"), F.explode("consequent").alias("_cons"), F.col("confidence"))
     # Rules are a checkpointed table: everything derived from them is cheap
     # to recompute, so nothing here is cached.
-    antes = by_ante.select("_ak", "antecedent").distinct()
-    if antes.limit(max_broadcast_rules + 1).count() <= max_broadcast_rules:
-        # A bounded table: numbering it in one task is cheap, and an integer
-        # key makes the per-(basket, antecedent) aggregation much lighter.
-        antes = antes.withColumn("_aid", F.row_number().over(Window.orderBy("_ak")))
-    else:
-        antes = antes.withColumn("_aid", F.col("_ak"))
+    antes = by_ante.select("antecedent").distinct().withColumn("_h", F.xxhash64("antecedent"))
+    # A 64-bit integer key makes the per-(basket, antecedent) aggregation much
+    # lighter than the array itself.  One distributed count proves the hashes
+    # distinct; on a collision the array is the key, so results stay exact.
+    n_antes, n_hashes = antes.agg(F.count(F.lit(1)), F.countDistinct("_h")).first()
+    antes = antes.withColumn("_aid", F.col("_h") if n_antes == n_hashes else F.col("antecedent"))
     ante_items = antes.select("_aid", F.size("antecedent").alias("_n"), F.explode("antecedent").alias("_item"))
     ante_items, _ = broadcast_if_bounded(ante_items, max_broadcast_rules)
-    conseq = by_ante.join(antes.select("_ak", "_aid"), "_ak").select("_aid", "_cons", "confidence")
+    conseq = by_ante.join(antes.select("antecedent", "_aid"), "antecedent").select("_aid", "_cons", "confidence")
     conseq, _ = broadcast_if_bounded(conseq, max_broadcast_rules)
 
     basket_items = basket_df.select(*key_cols, F.explode(items_col).alias("_item"))
