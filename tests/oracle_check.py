@@ -22,11 +22,14 @@ from tillroll.session import local_session  # noqa: E402
 from tillroll.sources.fixtures import TABLES  # noqa: E402
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return f"{round(v, 9):.9f}"
+        return repr(v) if EXACT else f"{round(v, 9):.9f}"
     if isinstance(v, (list, tuple)):
         return "[" + ",".join(_norm(x) for x in v) + "]"
     return "None" if v is None else str(v)
