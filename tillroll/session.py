@@ -29,6 +29,10 @@ JOB_CONF = {
     # run-time check), AQE builds per-partition hash maps instead of sorting
     # both sides; larger or skewed partitions keep the sort-merge join.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Per-purchase item sets (collect_set) stay in the object hash aggregate
+    # for up to 65,536 purchases per task (tens of MB of set buffers) instead
+    # of falling back to sort-based aggregation after 128.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
