@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,6 +108,10 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
     out: dict[str, DataFrame] = {}
     pool = ThreadPoolExecutor(max_workers=len(labels) + 1)
     try:
+        # Decorated here so the pool threads carry this thread's Spark local
+        # properties (job group, scheduler pool, description): cancelling the
+        # caller's job group also cancels the minings.
+        @inheritable_thread_target(tx.sparkSession)
         def mine(b: DataFrame):
             return mine_rules(b, min_support, min_confidence, num_partitions=num_partitions,
                               with_itemsets=False)
