@@ -23,7 +23,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
+    default_parts = cpus if cpus.isdigit() else str(os.cpu_count() or 8)
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", default_parts)),
                           app="tillroll-bench")
     # JVM warm-up (class loading, JIT, code generation) on the smallest
     # fixture, a different data set, untimed per query; its total is reported.
