@@ -135,3 +135,14 @@ def test_empty_segment_mines_nothing(spark):
     gen = ops.general_recommendations(tx, 0.02, 0.15)
     filled = ops.segment_recommendations(tx, nobody, "1", 0.02, 0.15, fill=gen)
     assert {tuple(r) for r in filled.collect()} == {tuple(r) for r in gen.collect()}
+
+
+def test_recommend_requires_array_items(spark):
+    import pytest
+    bad = spark.createDataFrame([("1", "A")], "InvoiceNo string, items string")
+    rules = spark.createDataFrame([(["A"], ["B"], 0.5)], "antecedent array<string>, consequent array<string>, confidence double")
+    with pytest.raises(TypeError):
+        ops.recommend(bad, rules, key_cols=["InvoiceNo"])
+    good = spark.createDataFrame([("1", ["A"]), ("2", ["A", "B"]), ("3", ["C"])], "InvoiceNo string, items array<string>")
+    got = {r["InvoiceNo"]: r["recs"] for r in ops.recommend(good, rules, key_cols=["InvoiceNo"]).collect()}
+    assert got == {"1": ["B"]}

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.columns import merge_lists, split_list_dropping_trailing
 from tillroll.plans.strategies import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
@@ -52,6 +53,7 @@ def recommend(basket_df: DataFrame, rules: DataFrame, key_cols=BASKET_KEY, items
               keep_empty: bool = False, max_broadcast_rules: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Apply rules to baskets: ranked consequents not already in the basket.
 
+    ``items_col`` must be an array column (checked before planning).
     Output: the key columns, ``items_col`` and ``recs`` (array, confidence
     descending, ties by item).  Baskets with no recommendation are dropped
     unless ``keep_empty`` (then ``recs`` is an empty array).
@@ -71,6 +73,9 @@ def recommend(basket_df: DataFrame, rules: DataFrame, key_cols=BASKET_KEY, items
     and the final join is on exactly that key.  No step holds more than one
     basket's candidates (bounded by the number of distinct consequents).
     """
+    item_type = basket_df.schema[items_col].dataType
+    if not isinstance(item_type, T.ArrayType):
+        raise TypeError(f"column {items_col!r} must be an array of items, not {item_type.simpleString()}")
     key_cols = list(key_cols)
     by_ante = rules.select(F.col("antecedent"), F.explode("consequent").alias("_cons"), F.col("confidence"))
     # Rules are a checkpointed table: everything derived from them is cheap
