@@ -15,6 +15,6 @@ from tillroll.operators.segments import (  # noqa: F401
     purchase_features, purchase_table, segment_customers, segment_stats, similarity_summary, update_segments,
 )
 from tillroll.operators.segment_recs import (  # noqa: F401
-    general_recommendations, recommendations_by_segment, segment_baskets,
+    general_recommendations, recommendations_by_segment, release, segment_baskets,
     segment_recommendations, segment_transactions,
 )

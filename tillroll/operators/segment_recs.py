@@ -150,3 +150,12 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
         pool.shutdown(wait=True)
         purchases.unpersist()
     return out
+
+
+def release(result: dict[str, DataFrame], names=("segments", "customers", "clean")) -> None:
+    """Unpersist the cached intermediates of a run (the recommendation lists
+    read checkpointed rules and do not depend on them)."""
+    for name in names:
+        df = result.get(name)
+        if df is not None:
+            df.unpersist()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT
 from tillroll.operators.clean import clean_transactions, load_customers
-from tillroll.operators.segment_recs import recommendations_by_segment
+from tillroll.operators.segment_recs import recommendations_by_segment, release
 from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import RECS, SEGMENT, STOCK_CODE
 
@@ -57,4 +57,5 @@ def pipeline_recommendations(raw: DataFrame, **kwargs) -> DataFrame:
     for label in (GENERAL_LABEL,) + SEGMENT_LABELS:
         part = res[label].select(F.lit(label).alias(SEGMENT), STOCK_CODE, RECS)
         out = part if out is None else out.unionByName(part)
+    release(res)
     return out

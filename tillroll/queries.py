@@ -162,6 +162,7 @@ def _per_segment(tx, fill: bool):
     for s in SEGMENT_LABELS:
         part = res[s].select(F.lit(s).alias(SEGMENT), STOCK_CODE, RECS)
         out = part if out is None else out.unionByName(part)
+    ops.release(res)
     return out
 
 
@@ -199,6 +200,7 @@ def _general_vs_segments(spark, sf_dir):
         seg = res[s].select(F.col(STOCK_CODE).alias(CMP_KEY), F.col(RECS).alias(CMP_VAL2))
         part = ops.jaccard_compare(g, seg).withColumn(SEGMENT, F.lit(s))
         out = part if out is None else out.unionByName(part)
+    ops.release(res)
     return out
 
 
