@@ -1,10 +1,11 @@
 """Registered queries: one callable (spark, sf_dir) -> DataFrame per operator.
 
-Each reads the whole test tables through the fixture views; parameters are
-the defaults of the original jobs (support 0.01, confidence 0.2, scale
-1 ... 100).  Array results are emitted as comma-joined sorted strings and
-order-dependent floating sums rounded to 6 places so they compare with the
-SQL oracle.
+Each reads the whole test tables through the fixture views.  Parameters
+are the defaults of the original jobs (support 0.01, confidence 0.2, scale
+1 ... 100), except the brand-level recommendation queries (see the fixed
+values below).  Array results are emitted as comma-joined sorted strings
+and order-dependent floating sums rounded to 6 places so they compare with
+the SQL oracle.
 """
 
 from __future__ import annotations
@@ -17,12 +18,12 @@ from pyspark.sql import functions as F
 
 from tillroll import operators as ops
 from tillroll.plans.pipeline import SEGMENT_LABELS, pipeline_recommendations
+from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import (
-    AVG_PRICE_PER_PURCHASE, BASKET_KEY, CLEAN_SCHEMA, CMP_KEY, CMP_VAL1, CMP_VAL2, CUSTOMER_FEATURES, INVOICE_DATE, ITEMS,
-    JACCARD_DIS, JACCARD_SIM, PRICE_PER_PURCHASE, RECS, SCALED_PREFIX, SEGMENT, SIMILARITY,
-    STOCK_CODE,
+    AVG_PRICE_PER_PURCHASE, BASKET_KEY, CLEAN_SCHEMA, CMP_KEY, CMP_VAL1, CMP_VAL2, CUSTOMER_FEATURES,
+    INVOICE_DATE, ITEMS, JACCARD_DIS, JACCARD_SIM, PRICE_PER_PURCHASE, RECS, SCALED_PREFIX, SEGMENT,
+    SIMILARITY, STOCK_CODE,
 )
-from tillroll.plans.strategies import cut_lineage
 from tillroll.session import apply_job_conf, scratch_path
 from tillroll.sources.delimited import read_delimited_with_schema, write_delimited
 from tillroll.sources.fixtures import raw_transactions, table, transactions
