@@ -56,17 +56,16 @@ def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, Dat
     return {n: table(spark, sf_dir, n) for n in names}
 
 
-def _lines(spark: SparkSession, sf_dir: str, item: str, invoice=None) -> DataFrame:
-    """One row per line item with its order, customer, nation and part columns.
+def _halves(spark: SparkSession, sf_dir: str, item: str, invoice=None) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the line join, each keyed by the invoice text.
 
-    The two halves join on the invoice text itself (``invoice`` maps an
-    order-key column to it; it must be one-to-one).  The join output is then
-    hash-partitioned by InvoiceNo, so grouping by the purchase key (which
-    starts with InvoiceNo) needs no further shuffle.
+    ``bought``: lineitem with its part columns; ``buyer``: orders with the
+    customer's nation.  ``invoice`` maps an order-key column to the invoice
+    text; it must be one-to-one.
     """
     invoice = invoice or (lambda k: k.cast("string"))
     orders = table(spark, sf_dir, "orders").select(
-        invoice(F.col("o_orderkey")).alias(INVOICE_NO), "o_custkey", "o_orderdate")
+        invoice(F.col("o_orderkey")).alias(INVOICE_NO), "o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.col(item).alias("_item"))
@@ -76,8 +75,19 @@ def _lines(spark: SparkSession, sf_dir: str, item: str, invoice=None) -> DataFra
 
     buyer = (orders.join(customer, orders.o_custkey == customer.c_custkey)
              .join(nation, customer.c_nationkey == nation.n_nationkey)
-             .select(INVOICE_NO, "o_custkey", "o_orderdate", "n_name"))
+             .select(INVOICE_NO, "o_orderkey", "o_custkey", "o_orderdate", "n_name"))
     bought = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
+    return bought, buyer
+
+
+def _lines(spark: SparkSession, sf_dir: str, item: str, invoice=None) -> DataFrame:
+    """One row per line item with its order, customer, nation and part columns.
+
+    The two halves join on the invoice text itself.  The join output is then
+    hash-partitioned by InvoiceNo, so grouping by the purchase key (which
+    starts with InvoiceNo) needs no further shuffle.
+    """
+    bought, buyer = _halves(spark, sf_dir, item, invoice)
     return bought.join(buyer, INVOICE_NO)
 
 
@@ -110,25 +120,39 @@ def _raw_invoice(k):
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str, item: str = "p_brand") -> DataFrame:
-    """All-string purchase lines with deterministic dirt."""
+    """All-string purchase lines with deterministic dirt.
+
+    Each column's dirt is computed on the side of the join that owns its
+    inputs (order-level text on the orders side, line-level text on the
+    lineitem side), so predicates on those columns -- the cleaning and
+    loading filters -- are pushed below the join and drop rows before the
+    shuffle.
+    """
+    bought, buyer = _halves(spark, sf_dir, item, invoice=_raw_invoice)
     ok = F.col("l_orderkey")
     pk = F.col("l_partkey")
-    ck = F.col("o_custkey")
     qty = F.col("l_quantity").cast("int").cast("string")
-    return _lines(spark, sf_dir, item, invoice=_raw_invoice).select(
+    lines = bought.select(
         F.col(INVOICE_NO),
         F.when(pk % 29 == 0, F.lit("POST")).when(pk % 31 == 0, F.lit(""))
          .otherwise(F.col("_item")).alias(STOCK_CODE),
         F.col("p_name").alias(DESCRIPTION),
         F.when(ok % 19 == 0, F.concat(F.lit("-"), qty))
          .when(ok % 37 == 0, F.lit("n/a")).otherwise(qty).alias(QUANTITY),
-        F.when(ok % 53 == 0, F.lit("bad date"))
-         .when(ok % 59 == 0, F.lit(None).cast("string"))
-         .otherwise(F.date_format(F.col("o_orderdate"), RAW_DATE_PATTERN)).alias(INVOICE_DATE),
         F.when(pk % 41 == 0, F.lit("0.0"))
          .otherwise(F.concat(F.floor(F.col("l_extendedprice") / F.col("l_quantity"))
                              .cast("bigint").cast("string"), F.lit(".5"))).alias(UNIT_PRICE),
+    )
+    ok = F.col("o_orderkey")
+    ck = F.col("o_custkey")
+    orders = buyer.select(
+        F.col(INVOICE_NO),
+        F.when(ok % 53 == 0, F.lit("bad date"))
+         .when(ok % 59 == 0, F.lit(None).cast("string"))
+         .otherwise(F.date_format(F.col("o_orderdate"), RAW_DATE_PATTERN)).alias(INVOICE_DATE),
         F.when(ck % 43 == 0, F.lit(None).cast("string")).when(ck % 47 == 0, F.lit(""))
          .otherwise(ck.cast("string")).alias(CUSTOMER_ID),
         F.col("n_name").alias(COUNTRY),
     )
+    return lines.join(orders, INVOICE_NO).select(
+        INVOICE_NO, STOCK_CODE, DESCRIPTION, QUANTITY, INVOICE_DATE, UNIT_PRICE, CUSTOMER_ID, COUNTRY)
