@@ -23,6 +23,8 @@ from tillroll.sources.fixtures import TABLES  # noqa: E402
 
 
 EXACT = os.environ.get("ORACLE_EXACT") == "1"
+# Registered queries emit flat scalar columns only, so values hash the same in any engine.
+FLAT_TYPES = {"string", "int", "bigint", "double", "boolean", "timestamp", "timestamp_ntz", "date"}
 
 
 def _norm(v):
@@ -50,6 +52,9 @@ def duck(sf_dir):
 def check(spark, con, sf_dir, name, fn, sql):
     t0 = time.time()
     df = fn(spark, sf_dir)
+    nested = [f.name for f in df.schema.fields if f.dataType.simpleString() not in FLAT_TYPES]
+    if nested:
+        return f"{name:28s} BAD nested output columns {nested}"
     srows = [tuple(r) for r in df.collect()]
     t1 = time.time()
     s, scols = rows_of(df.columns, srows)
