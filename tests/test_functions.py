@@ -96,3 +96,9 @@ def test_vector_distance(spark):
     from pyspark.ml.linalg import Vectors
     df = spark.createDataFrame([(Vectors.dense([0.0, 0.0]), Vectors.sparse(2, [1], [2.0]))], ["u", "v"])
     assert df.select(tf.vector_euclidean_distance("u", "v")).first()[0] == 2.0
+
+
+def test_split_with_regex_special_separator(spark):
+    rows = [("a|b||",), ("a||b",), ("|",)]
+    got = one(spark, tf.split_list_dropping_trailing("s", "|"), rows, "s string")
+    assert got == [["a", "b"], ["a", "", "b"], []]
