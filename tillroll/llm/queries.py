@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm.fingerprint import edit_likeness
 from tillroll.llm.token_counts import token_counts
 
 
@@ -15,8 +16,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLES: dict[str, str] = {}
