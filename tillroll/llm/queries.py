@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.fingerprint import edit_likeness
 from tillroll.llm.token_counts import token_counts
+from tillroll.llm.warc import pages_round_trip
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages_round_trip(_read(spark, sf_dir, "pages"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"))
 
@@ -21,6 +26,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op3_token_counts": op3_token_counts,
     "op10_fingerprints": op10_fingerprints,
 }
