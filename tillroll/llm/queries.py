@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm import decontaminate, secret_scan
 from tillroll.llm.fingerprint import edit_likeness
 from tillroll.llm.token_counts import token_counts
 from tillroll.llm.warc import pages_round_trip
@@ -21,6 +22,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_read(spark, sf_dir, "documents"), secret_scan.dictionary(spark))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(_read(spark, sf_dir, "documents"))
 
@@ -28,7 +37,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op3_token_counts": op3_token_counts,
+    "op4_secret_scan": op4_secret_scan,
+    "op9_decontaminate": op9_decontaminate,
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_decontaminate": decontaminate.ORACLE_SQL,
+}
