@@ -97,11 +97,11 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = THRESHOLD_PER
 def _shingles_sql(table: str, key: str) -> str:
     return f"""
     SELECT DISTINCT k, unnest(CASE WHEN len(w) >= {WIDTH}
-             THEN list_transform(range(1, len(w) - {WIDTH - 2}), i -> array_to_string(w[i:i + {WIDTH - 1}], ' '))
+             THEN [array_to_string(w[i:i + {WIDTH - 1}], ' ') for i in range(1, len(w) - {WIDTH - 2})]
              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
-    FROM (SELECT {key} AS k, list_filter(string_split_regex(
-            translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
-          FROM {table})"""
+    FROM (SELECT k, [x for x in u if x <> ''] AS w FROM (
+            SELECT {key} AS k, string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                                  '[\\x20\\x09-\\x0D]+') AS u FROM {table}))"""
 
 
 ORACLE_SQL = f"""
