@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, secret_scan
+from tillroll.llm import decontaminate, fm_quality, secret_scan, sentencepiece_viterbi
 from tillroll.llm.fingerprint import edit_likeness
 from tillroll.llm.token_counts import token_counts
 from tillroll.llm.warc import pages_round_trip
@@ -18,6 +18,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_round_trip(_read(spark, sf_dir, "pages"))
 
 
+def op2_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return fm_quality.predictions(docs, fm_quality.train(docs, _read(spark, sf_dir, "labels")))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"))
 
@@ -26,6 +31,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_read(spark, sf_dir, "documents"), secret_scan.dictionary(spark))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_viterbi.round_trip(_read(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -36,8 +45,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_fm_quality": op2_fm_quality,
     "op3_token_counts": op3_token_counts,
     "op4_secret_scan": op4_secret_scan,
+    "op5_sentencepiece": op5_sentencepiece,
     "op9_decontaminate": op9_decontaminate,
     "op10_fingerprints": op10_fingerprints,
 }
