@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, fm_quality, line_dedup, secret_scan, sentencepiece_viterbi
+from tillroll.llm import decontaminate, fm_quality, line_dedup, secret_scan, sentencepiece_viterbi, suffix_dedup
 from tillroll.llm.fingerprint import edit_likeness
 from tillroll.llm.token_counts import token_counts
 from tillroll.llm.warc import pages_round_trip
@@ -39,6 +39,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(_read(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_report(_read(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_line_dedup": op6_line_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_fingerprints": op10_fingerprints,
 }
