@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, fm_quality, line_dedup, secret_scan, sentencepiece_viterbi, suffix_dedup
+from tillroll.llm import decontaminate, fm_quality, line_dedup, ngram_join, secret_scan, sentencepiece_viterbi, suffix_dedup
 from tillroll.llm.fingerprint import edit_likeness
 from tillroll.llm.token_counts import token_counts
 from tillroll.llm.warc import pages_round_trip
@@ -43,6 +43,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_report(_read(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(_read(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_line_dedup": op6_line_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_fingerprints": op10_fingerprints,
 }
