@@ -15,7 +15,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from __spark_entry__ import queries  # noqa: E402
+from tillroll.queries import QUERIES  # noqa: E402
 from tillroll.session import local_session  # noqa: E402
 
 
@@ -31,14 +31,14 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     t0 = time.perf_counter()
     if warm_dir and os.path.isdir(warm_dir) and warm_dir.rstrip("/") != sf_dir:
-        for name, fn in queries().items():
+        for name, fn in QUERIES.items():
             if wanted and name not in wanted:
                 continue
             fn(spark, warm_dir).write.format("noop").mode("overwrite").save()
             spark.catalog.clearCache()
     warmup = round(time.perf_counter() - t0, 3)
     times: dict[str, float] = {}
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if wanted and name not in wanted:
             continue
         t0 = time.perf_counter()

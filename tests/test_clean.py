@@ -65,3 +65,21 @@ def test_load_customers_literal_null(spark):
     assert set(segs.values()) == {"null"}
     real_null = ops.load_customers(raw_df(spark), unsegmented=None).collect()
     assert {r["segment"] for r in real_null} == {None}
+
+
+def test_fractional_quantities_are_truncated(spark):
+    """As the original string-to-int cast: the fraction is cut off, other text gives null."""
+    values = ["3.7", "3.", "3", "0.9", "-3.7", "n/a", "1.2.3", "", None, "7.5x", "2e3"]
+    raw = spark.createDataFrame([("1", "A1", "d", v, "1/2/2010 3:04", "1.5", "9", "UK") for v in values],
+                                "InvoiceNo string, StockCode string, Description string, Quantity string, "
+                                "InvoiceDate string, UnitPrice string, CustomerID string, Country string")
+    assert sorted(r.Quantity for r in ops.clean_transactions(raw).collect()) == [3, 3, 3]
+
+
+def test_table_sees_appended_files(spark, tmp_path):
+    from tillroll.sources.fixtures import table
+    path = f"{tmp_path}/part.parquet"
+    spark.range(10).write.parquet(path)
+    assert table(spark, str(tmp_path), "part").count() == 10
+    spark.range(25).write.mode("append").parquet(path)
+    assert table(spark, str(tmp_path), "part").count() == 35

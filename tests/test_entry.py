@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tillroll.oracle import build
+from tillroll.queries import QUERIES
 
 from conftest import SF_SMALL
 
@@ -13,8 +15,9 @@ def test_entry_rows(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+def test_every_query_of_the_library_has_an_oracle():
+    assert set(QUERIES) == set(build()) <= set(queries())
+    assert set(build()) <= set(oracle_sql())
 
 
 PLAN_QUERIES = ["clean_transactions", "load_products", "customer_segments", "update_segments",

@@ -102,3 +102,29 @@ def test_split_with_regex_special_separator(spark):
     rows = [("a|b||",), ("a||b",), ("|",)]
     got = one(spark, tf.split_list_dropping_trailing("s", "|"), rows, "s string")
     assert got == [["a", "b"], ["a", "", "b"], []]
+
+
+@pytest.mark.parametrize("sep", ["|", ".", "||", ",", "$", "\\", "\\E", "a"])
+def test_separators_are_literal(spark, sep):
+    texts = [sep.join(x) for x in (["p", "q", ""], ["", "p"], ["", ""], ["p"])] + ["", "p" + sep + "q\n", "p" + sep + "\n"]
+    got = one(spark, tf.split_list("s", sep), [(t,) for t in texts], "s string")
+    assert got == [t.split(sep) for t in texts]
+    got = one(spark, tf.split_list_dropping_trailing("s", sep), [(t,) for t in texts], "s string")
+
+    def dropped(t):
+        parts = t.split(sep)
+        while len(parts) > 1 and parts[-1] == "":
+            parts.pop()
+        return parts if parts != [""] or t == "" else []
+    assert got == [dropped(t) for t in texts]
+
+
+def test_vector_distance_needs_equal_sizes(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tillroll.functions.vectors import vector_euclidean_distance
+    df = spark.createDataFrame([(Vectors.dense(1.0, 2.0), Vectors.sparse(2, [1], [6.0]))], ["a", "b"])
+    assert df.select(vector_euclidean_distance("a", "b")).first()[0] == math.sqrt(17)
+    bad = spark.createDataFrame([(Vectors.dense(1.0, 2.0, 9.0), Vectors.dense(1.0, 2.0))], ["a", "b"])
+    with pytest.raises(Exception, match="different sizes: 3 and 2"):
+        bad.select(vector_euclidean_distance("a", "b")).collect()

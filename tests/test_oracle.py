@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from tillroll.oracle import build
+from tillroll.queries import QUERIES
 from oracle_check import check, duck
 
 from conftest import SF_SMALL
@@ -13,7 +14,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    msg = check(spark, con, SF_SMALL, name, queries()[name], oracle_sql().get(name))
+    msg = check(spark, con, SF_SMALL, name, QUERIES[name], build()[name])
     assert " OK " in msg, msg

@@ -128,17 +128,27 @@ def keep_old_segment(old, new) -> Column:
 
 # ------------------------------------------------------------ list strings
 
+def _quoted(sep: str) -> str:
+    """``sep`` as a regular expression that matches just this text."""
+    if not sep:
+        raise ValueError("the separator must not be empty")
+    return r"\Q" + sep.replace(r"\E", r"\E\\E\Q") + r"\E"
+
+
 def split_list(c, sep: str = ",") -> Column:
-    """Split a delimited string into an array, keeping trailing empty items."""
-    return F.split(_c(c), sep, -1)
+    """Split a delimited string into an array, keeping trailing empty items.
+
+    ``sep`` is taken literally, whatever its characters.
+    """
+    return F.split(_c(c), _quoted(sep), -1)
 
 
 def split_list_dropping_trailing(c, sep: str = ",") -> Column:
     """Split like the JVM's ``String.split``: trailing empty items are dropped
     (an empty input still gives one empty item)."""
     c = _c(c)
-    esc = "\\" + sep if sep in ".[]{}()\\*+?^$|" else sep
-    trimmed = F.regexp_replace(c, f"({esc})+$", "")
+    esc = _quoted(sep)
+    trimmed = F.regexp_replace(c, rf"({esc})+\z", "")
     return (F.when(c == F.lit(""), F.array(F.lit("")))
             .when(trimmed == F.lit(""), F.array().cast("array<string>"))
             .otherwise(F.split(trimmed, esc, -1)))

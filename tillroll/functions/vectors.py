@@ -10,11 +10,16 @@ from tillroll.functions.columns import euclidean_distance
 
 
 def vector_euclidean_distance(v1, v2) -> Column:
-    """Euclidean distance of two ML vectors.
+    """Euclidean distance of two ML vectors of the same size.
 
     ``vector_to_array`` is a JVM-side conversion; the distance itself is the
-    array form.  Vectors of different sizes compare over the common prefix.
+    array form.  Vectors of different sizes raise an error (the array form
+    would compare their common prefix); a null vector gives null.
     """
     a = vector_to_array(F.col(v1) if isinstance(v1, str) else v1, "float64")
     b = vector_to_array(F.col(v2) if isinstance(v2, str) else v2, "float64")
-    return euclidean_distance(a, b)
+    sizes = F.concat(F.lit("vectors of different sizes: "), F.size(a).cast("string"), F.lit(" and "),
+                     F.size(b).cast("string"))
+    return (F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
+            .when(F.size(a) != F.size(b), F.raise_error(sizes).cast("double"))
+            .otherwise(euclidean_distance(a, b)))

@@ -22,12 +22,15 @@ UNSEGMENTED = "null"
 def _typed(raw: DataFrame) -> DataFrame:
     """Quantity to int and UnitPrice to double; malformed text gives null.
 
-    ``try_cast`` keeps ANSI mode on: "n/a" and "3.7" become null instead of
-    failing the job (the old non-ANSI cast truncated "3.7" to 3).
+    A fractional quantity is truncated ("3.7" gives 3), as the original
+    string-to-int cast did: the fraction's digits are cut off before the
+    cast.  ``try_cast`` keeps ANSI mode on: "n/a" becomes null instead of
+    failing the job.
     """
+    whole = rf"regexp_replace({QUANTITY}, r'\.[0-9]*\z', '')"
     return raw.select(
         F.col(INVOICE_NO), F.col(STOCK_CODE), F.col(DESCRIPTION),
-        F.expr(f"try_cast({QUANTITY} AS INT)").alias(QUANTITY),
+        F.expr(f"try_cast({whole} AS INT)").alias(QUANTITY),
         F.col(INVOICE_DATE),
         F.expr(f"try_cast({UNIT_PRICE} AS DOUBLE)").alias(UNIT_PRICE),
         F.col(CUSTOMER_ID), F.col(COUNTRY),

@@ -34,7 +34,9 @@ def raw_sql(item: str = "p_brand") -> str:
        CASE WHEN l_partkey % 29 = 0 THEN 'POST' WHEN l_partkey % 31 = 0 THEN '' ELSE {item} END AS StockCode,
        p_name AS Description,
        CASE WHEN l_orderkey % 19 = 0 THEN concat('-', CAST(CAST(l_quantity AS INTEGER) AS VARCHAR))
-            WHEN l_orderkey % 37 = 0 THEN 'n/a' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS Quantity,
+            WHEN l_orderkey % 37 = 0 THEN 'n/a'
+            WHEN l_orderkey % 67 = 0 THEN concat(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR), '.7')
+            ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS Quantity,
        CASE WHEN l_orderkey % 53 = 0 THEN 'bad date' WHEN l_orderkey % 59 = 0 THEN NULL
             ELSE strftime(o_orderdate, '%-m/%-d/%Y %-H:%M') END AS InvoiceDate,
        CASE WHEN l_partkey % 41 = 0 THEN '0.0'
@@ -47,7 +49,8 @@ def raw_sql(item: str = "p_brand") -> str:
 
 def clean_sql(raw: str) -> str:
     return f"""SELECT * FROM (
-      SELECT InvoiceNo, StockCode, Description, TRY_CAST(Quantity AS INTEGER) AS Quantity, InvoiceDate,
+      SELECT InvoiceNo, StockCode, Description,
+             TRY_CAST(regexp_replace(Quantity, '[.][0-9]*$', '') AS INTEGER) AS Quantity, InvoiceDate,
              TRY_CAST(UnitPrice AS DOUBLE) AS UnitPrice, CustomerID, Country FROM {raw}) t
     WHERE StockCode IS NOT NULL AND StockCode <> '' AND InvoiceDate IS NOT NULL AND InvoiceDate <> ''
       AND CustomerID IS NOT NULL AND CustomerID <> ''

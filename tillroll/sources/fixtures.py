@@ -28,28 +28,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table ``name`` under ``sf_dir``.
-
-    The DataFrame (its resolved relation and file listing, no data) is kept
-    per session, as a catalog would, so repeated jobs skip re-listing the
-    files and re-reading the footers.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
-
-
-def forget_tables() -> None:
-    """Drop the remembered table DataFrames (e.g. after the files changed)."""
-    _TABLES.clear()
+    """The parquet table ``name`` under ``sf_dir``, with its files as they are now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
@@ -138,7 +119,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str, item: str = "p_brand") ->
          .otherwise(F.col("_item")).alias(STOCK_CODE),
         F.col("p_name").alias(DESCRIPTION),
         F.when(ok % 19 == 0, F.concat(F.lit("-"), qty))
-         .when(ok % 37 == 0, F.lit("n/a")).otherwise(qty).alias(QUANTITY),
+         .when(ok % 37 == 0, F.lit("n/a"))
+         .when(ok % 67 == 0, F.concat(qty, F.lit(".7"))).otherwise(qty).alias(QUANTITY),
         F.when(pk % 41 == 0, F.lit("0.0"))
          .otherwise(F.concat(F.floor(F.col("l_extendedprice") / F.col("l_quantity"))
                              .cast("bigint").cast("string"), F.lit(".5"))).alias(UNIT_PRICE),
