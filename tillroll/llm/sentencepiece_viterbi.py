@@ -26,6 +26,8 @@ to the input, except for the model's own normalisation (none in the model used h
 
 from __future__ import annotations
 
+import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +40,11 @@ MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: kinds of pieces
-# Words whose ids a worker keeps between batches.
-KEPT_WORDS = 600_000
+END = ""
+# What a worker keeps between batches: words in each of two generations, compared pairs, merged strings.
+KEPT_WORDS = 250_000
+KEPT_PAIRS = 600_000
+KEPT_MERGES = 200_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -89,16 +94,25 @@ class Model:
         self.id_of = {self.pieces[i]: i for i in usable}
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         self.byte_ids = {int(self.pieces[i][3:5], 16): i for i, k in enumerate(self.kinds) if k == BYTE}
-        self.longest = max(map(len, self.id_of), default=1)
         self.chars = {c for p in self.id_of for c in p}
         if any(MARK in p.lstrip(MARK) for p in self.id_of):
             raise ValueError("pieces that reach over words need another way of cutting texts")
-        # Proper prefixes of pieces: no longer piece starts with a string outside of these.
-        self.open = {p[:k] for p in self.id_of for k in range(1, len(p))}
-        # Every char is a start for merges, whether or not it is a piece.
+        # Single characters without a piece are symbols too: they get ids past the pieces.
+        self.symbols = {c: self.id_of.get(c, len(self.pieces) + k) for k, c in enumerate(sorted(self.chars))}
+        self.text_of = dict(enumerate(self.pieces)) | {i: c for c, i in self.symbols.items()}
+        # The pieces as a trie: a node maps a character to the next node, END to its piece.
+        self.trie: dict = {}
+        for piece, i in self.id_of.items():
+            node = self.trie
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[END] = i
         self._merged: dict[str, tuple[str, ...]] = {}
-        self._fits: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, list[int]] = {}
+        self._fits: dict[int, bool] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.bytes_of = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN
+                         else p.replace(MARK, " ").encode() for p, k in zip(self.pieces, self.kinds)]
 
     # ------------------------------------------------------------- merges (BPE)
 
@@ -115,79 +129,81 @@ class Model:
                 if at < 0:
                     break
                 parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            if len(self._merged) > 1_000_000:
+            if len(self._merged) > KEPT_MERGES:
                 self._merged.clear()
             self._merged[word] = tuple(parts)
         return self._merged[word]
 
-    def fits(self, left: str, right: str) -> bool:
-        """Whether the merges leave ``left + right`` as these two pieces."""
-        key = (left, right)
-        known = self._fits.get(key)
-        if known is None:
-            if len(self._fits) > 2_000_000:
-                self._fits.clear()
-            known = self._fits[key] = self.merges(left + right) == key
+    def fits(self, left: int, right: int) -> bool:
+        """Whether the merges leave two pieces, put together, as these two."""
+        if len(self._fits) > KEPT_PAIRS:
+            self._fits.clear()
+        pair = (self.text_of[left], self.text_of[right])
+        known = self._fits[left << 32 | right] = self.merges(pair[0] + pair[1]) == pair
         return known
 
     # ------------------------------------------------------------- forward pass
 
     def encode_words(self, words: list[str]) -> None:
-        """Puts the ids of sorted distinct words (of known characters) into ``self.words``."""
-        bpe, ids, open_, longest, scores = self.mode == BPE, self.id_of, self.open, self.longest, self.scores
-        last: list[str] = [""]         # last[i]: last piece of the best segmentation of word[:i]
-        total: list[float] = [0.0]     # its sum of scores
-        live: list[list[int]] = [[0]]  # starts of word[s:i] that begin a longer piece
-        known = self._fits
+        """Puts the ids (as bytes) of sorted distinct words of known characters into ``self.words``."""
+        bpe, trie, symbols, scores, pairs = self.mode == BPE, self.trie, self.symbols, self.scores, self._fits
+        last: list[int] = [-1]        # last[i]: last piece of the best segmentation of word[:i]
+        size: list[int] = [0]         # its length
+        total: list[float] = [0.0]    # the sum of scores
+        live: list[list] = [[(trie, 0)]]  # trie nodes of word[s:i], with s, that longer pieces start with
         before = ""
         for word in words:
             n = len(word)
             k, most = 0, min(n, len(before))
             while k < most and word[k] == before[k]:
                 k += 1
-            del last[k + 1:], total[k + 1:], live[k + 1:]
+            del last[k + 1:], size[k + 1:], total[k + 1:], live[k + 1:]
             for i in range(k + 1, n + 1):
-                starts = live[i - 1]
-                here = word[i - 1]      # a single character always is a symbol
-                best_score = total[i - 1] + (scores[ids[here]] if here in ids else -1e9)
-                chosen, going = None, []
-                for s in starts:        # longest first
-                    piece = word[s:i]
-                    if piece in open_:
-                        going.append(s)
-                    if chosen is None or not bpe:
-                        if piece in ids:
-                            if bpe:
-                                if s:
-                                    fits = known.get((last[s], piece))
-                                    if fits is None:
-                                        fits = self.fits(last[s], piece)
-                                else:
-                                    fits = len(self.merges(piece)) == 1
-                                if fits:
-                                    chosen = piece
-                            else:
-                                score = total[s] + scores[ids[piece]]
-                                if chosen is None or score > best_score:
-                                    chosen, best_score = piece, score
-                last.append(chosen if chosen is not None else here)
-                total.append(best_score)
-                going.append(i)
+                c = word[i - 1]
+                chosen, length, best, going = -1, 1, 0.0, []
+                for node, s in live[i - 1]:  # longest first
+                    node = node.get(c)
+                    if node is None:
+                        continue
+                    going.append((node, s))
+                    piece = node.get(END)
+                    if piece is None:
+                        continue
+                    if not bpe:
+                        score = total[s] + scores[piece]
+                        if chosen < 0 or score > best:
+                            chosen, length, best = piece, i - s, score
+                    elif chosen < 0:
+                        if s:
+                            fits = pairs.get(last[s] << 32 | piece)
+                            if fits is None:
+                                fits = self.fits(last[s], piece)
+                        else:
+                            fits = len(self.merges(self.pieces[piece])) == 1
+                        if fits:
+                            chosen, length = piece, i - s
+                if chosen < 0:
+                    chosen, best = symbols[c], total[i - 1] - 1e9
+                last.append(chosen)
+                size.append(length)
+                total.append(best)
+                going.append((trie, i))
                 live.append(going)
             before = word
             out, i = [], n
             while i:
                 out.append(last[i])
-                i -= len(last[i])
-            self.words[word] = [j for p in reversed(out) for j in self.piece_ids(p)]
+                i -= size[i]
+            self.words[word] = self.packed(out[::-1])
 
-    def piece_ids(self, piece: str) -> list[int]:
-        known = self.id_of.get(piece)
-        if known is not None:
-            return [known]
-        if self.byte_ids:
-            return [self.byte_ids[b] for b in piece.encode("utf-8")]
-        return [self.unknown]
+    def packed(self, symbols: list[int]) -> bytes:
+        """Ids as bytes, symbols without a piece by their bytes or as the unknown id."""
+        if max(symbols) >= len(self.pieces):
+            symbols = [j for i in symbols for j in ([i] if i < len(self.pieces) else self.fallback(self.text_of[i]))]
+        return array("i", symbols).tobytes()
+
+    def fallback(self, char: str) -> list[int]:
+        return [self.byte_ids[b] for b in char.encode("utf-8")] if self.byte_ids else [self.unknown]
 
     # ------------------------------------------------------------- texts
 
@@ -207,33 +223,30 @@ class Model:
             self._splitter = re.compile(f"{MARK}+[{known}]*|[{known}]+|[^{MARK}{known}]+")
         return self._splitter
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode_packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each."""
         cut = [self.cut(t) for t in texts]
-        if len(self.words) > KEPT_WORDS:
-            self.words.clear()
-        new = {w for ws in cut for w in ws} - self.words.keys()
-        outside = [w for w in new if w[0] != MARK and w[0] not in self.chars]
-        for w in outside:
-            self.words[w] = [j for c in w for j in self.piece_ids(c)]
-        self.encode_words(sorted(new.difference(outside)))
-        return [[j for w in ws for j in self.words[w]] for ws in cut]
-
-    def decode(self, ids: list[int]) -> str:
-        parts, raw = [], bytearray()
-        for i in ids:
-            if self.kinds[i] == BYTE:
-                raw.append(int(self.pieces[i][3:5], 16))
-                continue
-            if raw:
-                parts.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            if self.kinds[i] == UNKNOWN:
-                parts.append(" ⁇ ")
-            elif self.kinds[i] != CONTROL:
-                parts.append(self.pieces[i])
-        if raw:
-            parts.append(raw.decode("utf-8", "replace"))
-        text = "".join(parts).replace(MARK, " ")
+        if len(self.words) > KEPT_WORDS:  # words in use move on to the new generation
+            self.older, self.words = self.words, {}
+        words, older = self.words, self.older
+        new = []
+        for w in set().union(*cut):
+            if w not in words:
+                if w in older:
+                    words[w] = older[w]
+                elif w[0] != MARK and w[0] not in self.chars:
+                    words[w] = array("i", [j for c in w for j in self.fallback(c)]).tobytes()
+                else:
+                    new.append(w)
+        new.sort()
+        self.encode_words(new)
+        return [b"".join(map(words.__getitem__, ws)) for ws in cut]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [array("i", x).tolist() for x in self.encode_packed(texts)]
+
+    def decode(self, ids) -> str:
+        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
@@ -253,10 +266,10 @@ def _encode(batches: Iterator[pa.RecordBatch], data, text: int, names: list[str]
     for whole in batches:
         for at in range(0, whole.num_rows, _ROWS):
             b = whole.slice(at, _ROWS)
-            ids = model.encode([t or "" for t in b.column(text).to_pylist()])
-            lengths = np.cumsum([0, *map(len, ids)])
-            flat = np.fromiter((j for x in ids for j in x), np.int32, int(lengths[-1]))
-            made = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
+            ids = model.encode_packed([t or "" for t in b.column(text).to_pylist()])
+            lengths = np.cumsum([0, *(len(x) // 4 for x in ids)])
+            flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+            made = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([*b.columns, made, pa.array(np.diff(lengths), pa.int64())], names=names)
 
 
@@ -269,11 +282,29 @@ def _decode(batches: Iterator[pa.RecordBatch], data, ids: int, names: list[str])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=names)
 
 
+def _checked(batches: Iterator[pa.RecordBatch], data) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) through _encode and _decode, as digests."""
+    names = ["doc_id", "text", "ids", "n_tokens", "decoded"]
+    for b in _decode(_encode(batches, data, 1, names[:4]), data, 2, names):
+        digest = [hashlib.sha256(x.values.to_numpy().tobytes()).hexdigest() for x in b.column(2)]
+        texts = b.column(4).to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(3), pa.array(digest, pa.string()),
+             pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
+             pa.array([x == y for x, y in zip(texts, b.column(1).to_pylist())], pa.bool_())],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"])
+
+
+def _broadcast(docs: DataFrame, model_path: str):
+    """The driver reads the model (under 1 MB), as executors may not see its folder."""
+    with open(model_path, "rb") as f:
+        return docs.sparkSession.sparkContext.broadcast(f.read())
+
+
 def _with(docs: DataFrame, model_path: str, source: str, run, made: list[T.StructField]) -> DataFrame:
-    """Adds columns by ``run``; the driver reads the model (under 1 MB) and broadcasts it."""
+    """Adds columns by ``run``."""
     docs = docs.drop(*[f.name for f in made])
-    with open(model_path, "rb") as f:
-        data = docs.sparkSession.sparkContext.broadcast(f.read())
+    data = _broadcast(docs, model_path)
     schema = T.StructType([*docs.schema.fields, *made])
     at, names = docs.columns.index(source), schema.names
     return docs.mapInArrow(lambda it: run(it, data, at, names), schema)
@@ -292,9 +323,9 @@ def decode(docs: DataFrame, model_path: str = DEFAULT_MODEL, ids_col: str = "tok
 
 
 def round_trip(docs: DataFrame, model_path: str = DEFAULT_MODEL) -> DataFrame:
-    """Per document: its tokens, a digest of their ids and whether they decode to the text."""
+    """Per document: its tokens, digests of their ids (as 32-bit little-endian numbers) and of the text
+    they decode to, and whether this is the text.  Encodes and decodes in one pass of one worker."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    back = decode(encode(rows, model_path), model_path)
-    return back.select("doc_id", "n_tokens", F.sha2(F.concat_ws(",", "token_ids"), 256).alias("ids_sha256"),
-                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
-                       (F.col("decoded") == F.col("text")).alias("exact"))
+    data = _broadcast(docs, model_path)
+    return rows.mapInArrow(lambda it: _checked(it, data),
+                           "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean")
