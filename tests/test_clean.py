@@ -29,7 +29,7 @@ def raw_df(spark):
 def test_clean_rows(spark):
     out = ops.clean_transactions(raw_df(spark))
     got = sorted(r["InvoiceNo"] for r in out.collect())
-    assert got == ["1", "14", "8"]
+    assert got == ["1", "14", "7", "8"]
     row = {r["InvoiceNo"]: r for r in out.collect()}["8"]
     assert row["Quantity"] == 3 and row["UnitPrice"] == 1.0
     assert dict(out.dtypes)["Quantity"] == "int" and dict(out.dtypes)["InvoiceDate"] == "string"

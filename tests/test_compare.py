@@ -38,5 +38,25 @@ def test_centroid_distances_match_numpy(spark):
 def test_centroid_shuffle_path_equals_broadcast(spark):
     emb = table(spark, SF_SMALL, "embeddings")
     a = {r["vec_id"]: r["distance"] for r in ops.centroid_distances(emb).collect()}
-    b = {r["vec_id"]: r["distance"] for r in ops.centroid_distances(emb, max_broadcast_labels=0).collect()}
+    b = {r["vec_id"]: r["distance"] for r in ops.centroid_distances(emb, max_broadcast_bytes=0).collect()}
     assert a == b
+
+
+def test_wide_tables_are_not_broadcast(spark):
+    """The bound is on bytes: few rows, but wide ones, take the shuffle join."""
+    from pyspark.sql import functions as F
+
+    from tillroll.plans.strategies import broadcast_if_bounded
+    wide = spark.range(200).select("id", F.array_repeat(F.lit(1.5), 4096).alias("v"))
+    texts = spark.range(200).select("id", F.repeat(F.lit("x"), 40_000).alias("t"))
+    nested = spark.range(200).select(F.array(F.struct(F.repeat(F.lit("x"), 40_000).alias("t"))).alias("a"))
+    for df in (wide, texts, nested):
+        assert not broadcast_if_bounded(df, 1 << 20)[1]
+        assert broadcast_if_bounded(df, 64 << 20)[1]
+    assert broadcast_if_bounded(spark.range(10), 1 << 20)[1] and not broadcast_if_bounded(spark.range(10**6), 1 << 20)[1]
+
+
+def test_centroid_distances_leave_nothing_cached(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    ops.centroid_distances(table(spark, SF_SMALL, "embeddings")).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

@@ -11,12 +11,19 @@ def as_dict(df):
     return {(r["segment"], r["StockCode"]): r["recs"] for r in df.collect()}
 
 
-def test_pipeline_materialized_equals_persisted(spark):
-    raw = raw_transactions(spark, SF_SMALL)
-    a = as_dict(pipeline_recommendations(raw, min_support=0.02, min_confidence=0.15))
-    b = as_dict(pipeline_recommendations(raw, min_support=0.02, min_confidence=0.15, materialize=True))
-    assert a == b and len(a) > 0
-    assert {s for s, _ in a} <= {GENERAL_LABEL, *SEGMENT_LABELS}
+def test_pipeline_leaves_nothing_cached_and_clears_its_scratch(spark):
+    from pathlib import Path
+
+    from tillroll.session import clear_scratch, scratch_root
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    a = as_dict(pipeline_recommendations(raw_transactions(spark, SF_SMALL), min_support=0.014, min_confidence=0.117))
+    assert {s for s, _ in a} == {GENERAL_LABEL, *SEGMENT_LABELS}
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    # One stored copy of the item sets.
+    assert len(list(root.glob("purchases-*"))) >= 1 and not list(root.glob("tagged*"))
+    clear_scratch(spark)
+    assert not root.exists()
 
 
 def test_pipeline_parts(spark):

@@ -4,6 +4,7 @@ import itertools
 import math
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll import operators as ops
@@ -99,7 +100,7 @@ def test_recommend_equals_brute_force(spark):
     assert got == expected and len(got) > 0
     # forced shuffle path (no broadcast) gives the same
     got2 = {tuple(r[c] for c in ("InvoiceNo", "InvoiceDate", "CustomerID", "Country")): r["recs"]
-            for r in ops.recommend(b, rs.rules, max_broadcast_rules=0).collect()}
+            for r in ops.recommend(b, rs.rules, max_broadcast_bytes=0).collect()}
     assert got2 == expected
     kept = ops.recommend(b, rs.rules, keep_empty=True)
     assert kept.count() == b.count()
@@ -146,3 +147,38 @@ def test_recommend_requires_array_items(spark):
     good = spark.createDataFrame([("1", ["A"]), ("2", ["A", "B"]), ("3", ["C"])], "InvoiceNo string, items array<string>")
     got = {r["InvoiceNo"]: r["recs"] for r in ops.recommend(good, rules, key_cols=["InvoiceNo"]).collect()}
     assert got == {"1": ["B"]}
+
+
+@pytest.mark.parametrize("sf", [SF_SMALL, "/root/testdata/sf0.01"])
+def test_thresholds_of_the_rule_queries_reject(spark, sf):
+    """Of the sets of three and the rules with two items some pass and some do not."""
+    from tillroll.queries import TYPE_CONFIDENCE, TYPE_SUPPORT
+    b = ops.baskets(transactions(spark, sf, "p_type"))
+    every = ops.mine_rules(b, 0.01, 0.01)
+    some = ops.mine_rules(b, TYPE_SUPPORT, TYPE_CONFIDENCE)
+    size = lambda df, col, n: df.where(F.size(col) == n).count()
+    assert 0 < size(some.itemsets, "items", 3) < size(every.itemsets, "items", 3)
+    for n in (1, 2):
+        kept = size(some.rules, "antecedent", n)
+        frequent = every.rules.where((F.size("antecedent") == n) & (F.col("support") >= TYPE_SUPPORT)).count()
+        assert 0 < kept < frequent
+
+
+def test_pair_rules_equal_one_item_rules(spark):
+    b = ops.baskets(transactions(spark, SF_SMALL))
+    pairs = sorted(map(tuple, ops.mine_pair_rules(b, 0.01, 0.1).collect()))
+    rules = sorted(map(tuple, ops.one_item_rules(ops.mine_rules(b, 0.01, 0.1).rules).collect()))
+    assert pairs == rules and len(pairs) > 100
+
+
+def test_recommend_looks_antecedents_up_once(spark):
+    """One row per basket and antecedent at most: under its rarest item; no joins after the aggregation."""
+    b = ops.baskets(transactions(spark, SF_SMALL, "p_type"))
+    rules = ops.mine_rules(b, 0.01, 0.2).rules
+    index = ops.rule_index(rules)
+    assert index.count() == rules.select("antecedent").distinct().count()
+    counts = {r[0]: r[1] for r in b.select(F.explode("items")).groupBy("col").count().collect()}
+    for r in index.collect():
+        assert counts[r["_item"]] == min(counts[x] for x in r["_ante"])
+    plan = ops.recommend(b, rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 1 and "SortMergeJoin [_item" not in plan

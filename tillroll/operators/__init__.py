@@ -1,20 +1,20 @@
 """DataFrame operators of the retail jobs."""
 
 from tillroll.operators.baskets import (  # noqa: F401
-    RuleSet, association_rules, baskets, fit_rules, frequent_itemsets, mine_rules,
+    RuleSet, association_rules, baskets, fit_rules, frequent_itemsets, mine_pair_rules, mine_rules,
 )
 from tillroll.operators.clean import clean_transactions, load_customers, load_products  # noqa: F401
 from tillroll.operators.compare import (  # noqa: F401
-    centroid_distances, jaccard_compare, jaccard_summary, label_centroids,
+    centroid_distances, jaccard_compare, jaccard_summary, label_centroids, vector_centroid_distances,
 )
 from tillroll.operators.recommend import (  # noqa: F401
-    frequently_bought, merge_recommendations, one_item_rules, recommend,
+    frequently_bought, merge_recommendations, one_item_rules, recommend, rule_index,
 )
 from tillroll.operators.segments import (  # noqa: F401
-    customer_aggregates, customer_features, customer_segments, customer_similarity,
-    purchase_features, purchase_table, segment_customers, segment_stats, similarity_summary, update_segments,
+    Segmentation, customer_aggregates, customer_features, customer_segments, customer_similarity,
+    purchase_features, purchase_table, segment_customers, segment_stats, segmentation_job, similarity_summary, update_segments,
 )
 from tillroll.operators.segment_recs import (  # noqa: F401
-    general_recommendations, recommendations_by_segment, release, segment_baskets,
+    general_recommendations, recommendations_by_segment, segment_baskets,
     segment_recommendations, segment_transactions,
 )

@@ -3,11 +3,15 @@
 Mining uses Spark ML's ``FPGrowth`` (parallel FP-growth: item counts, then
 conditional transactions hashed to ``num_partitions`` groups, one FP-tree
 per group).  Its frequent-item list is bounded by the support threshold:
-at most (average basket size / min_support) items can be frequent.
+at most (average basket size / min_support) items can be frequent.  The
+itemsets are not: up to all subsets of the frequent items may pass, so
+full rule tables are written in parallel and only pairs are used where
+one-item rules are enough (``mine_pair_rules``).
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark import StorageLevel
@@ -15,6 +19,7 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import BASKET_KEY, ITEMS, RECS, STOCK_CODE
 from tillroll.session import checkpoint_root
 
@@ -66,36 +71,68 @@ class RuleSet(NamedTuple):
     rules: DataFrame
 
 
+@contextmanager
+def _fitted(basket_df: DataFrame, min_support: float, min_confidence: float, items_col: str,
+            num_partitions: int | None, stored: bool):
+    """A fitted model, whose input stays cached meanwhile unless it is ``stored``.
+
+    FPGrowth reads its input three times (count, item frequencies, FP-tree
+    growth) and builds its outputs lazily.  An input that is a written table
+    (or a cheap join of such) is read again; any other is persisted.
+    """
+    if not num_partitions:
+        # FP-tree groups follow the shuffle setting: the input may arrive in a
+        # few coalesced partitions, and a job may start on few executors.
+        num_partitions = int(basket_df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    items = basket_df.select(items_col)
+    if not stored:
+        items = items.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield fit_rules(items, min_support, min_confidence, items_col, num_partitions)
+    finally:
+        if not stored:
+            items.unpersist()
+
+
+def mine_pair_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+                    items_col: str = ITEMS, num_partitions: int | None = None, stored: bool = False) -> DataFrame:
+    """Rules with one item on either side, (_item, _cons, confidence), from itemsets of one and two.
+
+    The itemsets of these sizes are written once; the rules are a join of
+    pairs with single items, so no rule of a larger set is ever derived.
+    """
+    spark = basket_df.sparkSession
+    with _fitted(basket_df, min_support, min_confidence, items_col, num_partitions, stored) as model:
+        sets = cut_lineage(spark, model.freqItemsets.where(F.size("items") <= 2), "item-pairs")
+    single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("_item"), F.col("freq").alias("_n"))
+    pairs = sets.where(F.size("items") == 2).select("freq", F.explode(F.array(
+        F.struct(F.col("items")[0].alias("a"), F.col("items")[1].alias("c")),
+        F.struct(F.col("items")[1].alias("a"), F.col("items")[0].alias("c")))).alias("p"))
+    rules = pairs.select(F.col("p.a").alias("_item"), F.col("p.c").alias("_cons"), "freq").join(single, "_item")
+    return (rules.select("_item", "_cons", (F.col("freq").cast("double") / F.col("_n").cast("double")).alias("confidence"))
+            .where(F.col("confidence") >= min_confidence))
+
+
 def mine_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE, items_col: str = ITEMS,
-               num_partitions: int | None = None, with_itemsets: bool = True) -> RuleSet:
+               num_partitions: int | None = None, with_itemsets: bool = True, stored: bool = False) -> RuleSet:
     """Fit FPGrowth and return its itemsets and rules as checkpointed tables.
 
     ``with_itemsets=False`` skips writing the itemsets when only the rules
-    are needed (``RuleSet.itemsets`` is then None).
+    are needed (``RuleSet.itemsets`` is then None).  ``stored`` tells that
+    the input is a written table, which needs no cache.
 
-    FPGrowth reads its input three times (count, item frequencies, FP-tree
-    growth) and builds its outputs lazily, so the item column is persisted
-    for the fit, the itemsets are cached while the rules are derived from
-    them, and both results -- small, bounded by the support threshold -- are
-    checkpointed into ``spark.checkpoint.dir``.  Afterwards nothing
-    downstream depends on the basket lineage or on cached blocks.
+    The itemsets are cached while the rules are derived from them, and both
+    results are checkpointed into ``spark.checkpoint.dir``, by all tasks in
+    parallel.  Afterwards nothing downstream depends on the basket lineage
+    or on cached blocks.
     """
-    spark = basket_df.sparkSession
-    checkpoint_root(spark)
-    if not num_partitions:
-        # FP-tree groups: one per core of the cluster.  The input may arrive
-        # in a few coalesced partitions; the groups must not follow it.
-        num_partitions = spark.sparkContext.defaultParallelism
-    items = basket_df.select(items_col).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = fit_rules(items, min_support, min_confidence, items_col, num_partitions)
+    checkpoint_root(basket_df.sparkSession)
+    with _fitted(basket_df, min_support, min_confidence, items_col, num_partitions, stored) as model:
         fi = model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rules = association_rules(model).checkpoint(eager=True)
             itemsets = frequent_itemsets(model).checkpoint(eager=True) if with_itemsets else None
         finally:
             fi.unpersist()
-    finally:
-        items.unpersist()
     return RuleSet(itemsets, rules)

@@ -18,7 +18,8 @@ from tillroll.functions.columns import (
     euclidean_distance, jaccard_similarity, mean_squared_difference, mean_squared_similarity,
     split_list,
 )
-from tillroll.plans.strategies import broadcast_if_bounded
+from tillroll.functions.vectors import vector_euclidean_distance
+from tillroll.plans.strategies import DEFAULT_BROADCAST_BYTES, broadcast_if_bounded, cut_lineage
 from tillroll.schema import CMP_KEY, CMP_VAL1, CMP_VAL2, JACCARD_DIS, JACCARD_SIM
 
 
@@ -46,6 +47,19 @@ def jaccard_summary(compared: DataFrame, by: list[str] | None = None) -> DataFra
     return compared.groupBy(*by).agg(*aggs) if by else compared.agg(*aggs)
 
 
+def vector_centroid_distances(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
+                              label_col: str = "label", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Per vector: Euclidean distance to its label's centroid, both as ML vectors.
+
+    A vector whose size is not its centroid's raises an error.
+    """
+    cents = cut_lineage(vectors.sparkSession, label_centroids(vectors, vec_col, label_col), "centroids")
+    cents, _ = broadcast_if_bounded(cents, max_broadcast_bytes)
+    joined = vectors.join(cents, label_col)
+    distance = vector_euclidean_distance(array_to_vector(F.col(vec_col)), array_to_vector(F.col("centroid")))
+    return joined.select(id_col, label_col, distance.alias("distance"))
+
+
 def label_centroids(vectors: DataFrame, vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(label, centroid array<double>): element-wise mean per label.
 
@@ -59,17 +73,16 @@ def label_centroids(vectors: DataFrame, vec_col: str = "embedding", label_col: s
 
 
 def centroid_distances(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-                       label_col: str = "label", max_broadcast_labels: int = 100_000) -> DataFrame:
+                       label_col: str = "label", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Per vector: Euclidean distance, mean squared difference and mean
     squared similarity to its label's centroid.
 
-    The centroid table has one row per label; it is broadcast after a
-    row-count check, otherwise joined by shuffle.  It is cached for the
-    check and the join (recomputing it would rescan the vectors); release it
-    with ``spark.catalog.clearCache()`` or by unpersisting after use.
+    The centroid table has one row per label; it is written once and
+    broadcast after a check of its bytes (labels times width), otherwise
+    joined by shuffle.
     """
-    cents, _ = broadcast_if_bounded(label_centroids(vectors, vec_col, label_col), max_broadcast_labels,
-                                    persist=True)
+    cents = cut_lineage(vectors.sparkSession, label_centroids(vectors, vec_col, label_col), "centroids")
+    cents, _ = broadcast_if_bounded(cents, max_broadcast_bytes)
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     joined = vectors.join(cents, label_col)
     return joined.select(

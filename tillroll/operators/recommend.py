@@ -1,11 +1,11 @@
 """Confidence-ranked recommendations from association rules.
 
 Rules are applied with joins, not by collecting them to the driver: a rule
-fires for a basket when every antecedent item is in the basket (relational
-division: join on item, count hits per (basket, rule), compare with the
-antecedent size) and its consequent is not.  Rules are a derived table
-whose size is bounded by the support threshold; they are broadcast only
-after a row-count check, otherwise both sides shuffle on the item.
+fires for a basket when every antecedent item is in the basket and its
+consequent is not.  Each antecedent is looked up by its rarest item only, so
+a basket meets an antecedent once at most, and containment is a test of the
+basket's array.  The rule index is broadcast only after a check of its
+bytes, otherwise both sides shuffle on the item.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.functions.columns import merge_lists, split_list_dropping_trailing
-from tillroll.plans.strategies import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
+from tillroll.plans.strategies import DEFAULT_BROADCAST_BYTES, broadcast_if_bounded, cut_lineage
 from tillroll.schema import BASKET_KEY, ITEMS, KEY, RECS, RECS2, STOCK_CODE
 
 
@@ -40,74 +40,73 @@ def frequently_bought(rules: DataFrame, as_array: bool = False) -> DataFrame:
     Equivalent to applying the rules to each product as a one-item basket:
     only rules whose antecedent is exactly that product can fire, and their
     consequent is never the product itself.  Products with no rule are
-    absent (R6).  Output (StockCode, recs) with recs comma-joined, or an
-    array with ``as_array=True``.
+    absent (R6).  ``rules`` are association rules, or one-item rules as
+    ``mine_pair_rules`` gives them.  Output (StockCode, recs) with recs
+    comma-joined, or an array with ``as_array=True``.
     """
-    ranked = (one_item_rules(rules).groupBy("_item")
-              .agg(_ranked("confidence", "_cons").alias(RECS)))
+    single = rules if "_item" in rules.columns else one_item_rules(rules)
+    ranked = single.groupBy("_item").agg(_ranked("confidence", "_cons").alias(RECS))
     recs = F.col(RECS) if as_array else F.array_join(F.col(RECS), ",")
     return ranked.select(F.col("_item").alias(STOCK_CODE), recs.alias(RECS))
 
 
+def rule_index(rules: DataFrame) -> DataFrame:
+    """(_item, _ante, _fires): each distinct antecedent with its rules, under its rarest item.
+
+    An item's support is the confidence of any rule that concludes it divided
+    by the rule's lift; an item that none concludes counts as rarest.  Which
+    item is taken only matters for how often an antecedent is looked up.
+    """
+    rows = rules.select("antecedent", F.explode("consequent").alias("_cons"), "confidence",
+                        *(["lift"] if "lift" in rules.columns else []))
+    fires = rows.groupBy(F.col("antecedent").alias("_ante")).agg(
+        F.collect_list(F.struct((-F.col("confidence")).alias("_nc"), F.col("_cons").alias("_it"))).alias("_fires"))
+    items = fires.select("_ante", F.explode("_ante").alias("_item"))
+    if "lift" in rows.columns:
+        support = rows.groupBy(F.col("_cons").alias("_item")).agg(F.max(F.col("confidence") / F.col("lift")).alias("_support"))
+        items = items.join(support, "_item", "left")
+    else:
+        items = items.withColumn("_support", F.lit(0.0))
+    rarest = items.groupBy("_ante").agg(F.min(F.struct(F.coalesce("_support", F.lit(0.0)).alias("s"), "_item")).alias("_r"))
+    return fires.join(rarest, "_ante").select(F.col("_r._item").alias("_item"), "_ante", "_fires")
+
+
 def recommend(basket_df: DataFrame, rules: DataFrame, key_cols=BASKET_KEY, items_col: str = ITEMS,
-              keep_empty: bool = False, max_broadcast_rules: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              keep_empty: bool = False, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Apply rules to baskets: ranked consequents not already in the basket.
 
     ``items_col`` must be an array column (checked before planning).
-    Output: the key columns, ``items_col`` and ``recs`` (array, confidence
+    Output: the columns of ``basket_df`` and ``recs`` (array, confidence
     descending, ties by item).  Baskets with no recommendation are dropped
-    unless ``keep_empty`` (then ``recs`` is an empty array).
-
-    Plan (relational division over the distinct antecedents):
-    1. each distinct antecedent, keyed by a verified 64-bit hash, is exploded into
-       its items; joined on the item with the exploded basket items, a
-       count per (basket, antecedent) equal to the antecedent size means
-       the antecedent is contained in the basket;
-    2. contained antecedents meet their rules (consequent, confidence);
-       the best confidence per (basket, consequent) is kept;
-    3. per basket the candidates are ordered, then joined back to the basket
-       on its key, where consequents already in the basket are removed.
-    Rule tables are broadcast after a row-count check; then no step after
-    the basket aggregation shuffles: the joins keep the basket
-    partitioning, every aggregation groups by a superset of the basket key,
-    and the final join is on exactly that key.  No step holds more than one
-    basket's candidates (bounded by the number of distinct consequents).
+    unless ``keep_empty`` (then ``recs`` is an empty array).  One row per
+    value of ``key_cols`` is expected.
+
+    Plan: the baskets' items meet the antecedents whose rarest item they are;
+    those contained in the basket give their consequents, and one aggregate
+    per basket ranks them (an item's first place is its best confidence).
+    With the index broadcast nothing after the basket aggregation shuffles.
+    No step holds more than one basket's candidates.
     """
     item_type = basket_df.schema[items_col].dataType
     if not isinstance(item_type, T.ArrayType):
         raise TypeError(f"column {items_col!r} must be an array of items, not {item_type.simpleString()}")
     key_cols = list(key_cols)
-    by_ante = rules.select(F.col("antecedent"), F.explode("consequent").alias("_cons"), F.col("confidence"))
-    # Rules are a checkpointed table: everything derived from them is cheap
-    # to recompute, so nothing here is cached.
-    antes = by_ante.select("antecedent").distinct().withColumn("_h", F.xxhash64("antecedent"))
-    # A 64-bit integer key makes the per-(basket, antecedent) aggregation much
-    # lighter than the array itself.  One distributed count proves the hashes
-    # distinct; on a collision the array is the key, so results stay exact.
-    n_antes, n_hashes = antes.agg(F.count(F.lit(1)), F.countDistinct("_h")).first()
-    antes = antes.withColumn("_aid", F.col("_h") if n_antes == n_hashes else F.col("antecedent"))
-    ante_items = antes.select("_aid", F.size("antecedent").alias("_n"), F.explode("antecedent").alias("_item"))
-    ante_items, _ = broadcast_if_bounded(ante_items, max_broadcast_rules)
-    conseq = by_ante.join(antes.select("antecedent", "_aid"), "antecedent").select("_aid", "_cons", "confidence")
-    conseq, _ = broadcast_if_bounded(conseq, max_broadcast_rules)
-
-    basket_items = basket_df.select(*key_cols, F.explode(items_col).alias("_item"))
-    contained = (basket_items.join(ante_items, "_item")
-                 .groupBy(*key_cols, "_aid", "_n").agg(F.count(F.lit(1)).alias("_hits"))
-                 .filter(F.col("_hits") == F.col("_n")))
-    candidates = (contained.join(conseq, "_aid")
-                  .groupBy(*key_cols, "_cons").agg(F.max("confidence").alias("_conf")))
-    per_basket = candidates.groupBy(*key_cols).agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("_conf")).alias("_nc"), F.col("_cons").alias("_it"))))
-        .alias("_ranked"))
-    how = "left" if keep_empty else "inner"
-    joined = basket_df.join(per_basket, key_cols, how)
-    recs = F.transform(
-        F.filter(F.coalesce(F.col("_ranked"), F.array().cast(per_basket.schema["_ranked"].dataType)),
-                 lambda s: ~F.array_contains(F.col(items_col), s.getField("_it"))),
-        lambda s: s.getField("_it"))
-    out = joined.select(*[F.col(c) for c in basket_df.columns], recs.alias(RECS))
-    return out if keep_empty else out.filter(F.size(RECS) > 0)
+    others = [c for c in basket_df.columns if c not in key_cols]
+    # A small written table: the check and the join read it, not the rules' lineage.
+    index = cut_lineage(basket_df.sparkSession, rule_index(rules), "rule-index")
+    index, _ = broadcast_if_bounded(index, max_broadcast_bytes)
+
+    items = basket_df.select(*basket_df.columns, F.explode_outer(items_col).alias("_item"))
+    has = lambda x: F.array_contains(F.col(items_col), x)
+    met = items.join(index, "_item", "left" if keep_empty else "inner")
+    fired = F.when(F.forall("_ante", has), F.filter("_fires", lambda s: ~has(s.getField("_it"))))
+    met = met.select(*basket_df.columns, fired.alias("_fired"))
+    if not keep_empty:
+        met = met.where(F.size("_fired") > 0)
+    per_basket = met.groupBy(*key_cols).agg(
+        *[F.first(c).alias(c) for c in others], F.array_sort(F.flatten(F.collect_list("_fired"))).alias("_ranked"))
+    recs = F.array_distinct(F.transform("_ranked", lambda s: s.getField("_it")))
+    return per_basket.select(*basket_df.columns, recs.alias(RECS))
 
 
 def merge_recommendations(segment_recs: DataFrame, general_recs: DataFrame) -> DataFrame:

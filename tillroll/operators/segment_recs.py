@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT, baskets, mine_rules
+from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT, baskets, mine_pair_rules
 from tillroll.operators.recommend import frequently_bought, merge_recommendations
 from tillroll.operators.segments import purchase_table, segment_customers, update_segments
 from tillroll.plans.strategies import cut_lineage
@@ -39,8 +39,7 @@ def general_recommendations(tx: DataFrame, min_support: float = MIN_SUPPORT,
     ``basket_df`` reuses baskets already built from ``tx``.
     """
     b = basket_df if basket_df is not None else baskets(tx)
-    return frequently_bought(mine_rules(b, min_support, min_confidence, num_partitions=num_partitions,
-                                        with_itemsets=False).rules)
+    return frequently_bought(mine_pair_rules(b, min_support, min_confidence, num_partitions=num_partitions))
 
 
 def segment_baskets(basket_df: DataFrame, segments: DataFrame) -> DataFrame:
@@ -70,8 +69,7 @@ def segment_recommendations(tx: DataFrame, segments: DataFrame, segment: str,
     b = basket_df if basket_df is not None else baskets(tx)
     seg = segments.filter(F.col(SEGMENT) == F.lit(segment)).select(CUSTOMER_ID)
     seg_b = b.join(seg, CUSTOMER_ID, "left_semi")
-    recs = frequently_bought(mine_rules(seg_b, min_support, min_confidence, num_partitions=num_partitions,
-                                        with_itemsets=False).rules)
+    recs = frequently_bought(mine_pair_rules(seg_b, min_support, min_confidence, num_partitions=num_partitions))
     if fill is not None:
         recs = merge_recommendations(recs, fill)
     return recs
@@ -82,80 +80,54 @@ def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None
                                general: bool = False, fill: DataFrame | None = None,
                                min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                                num_partitions: int | None = None,
-                               general_label: str = "gen", materialize: bool = False) -> dict[str, DataFrame]:
+                               general_label: str = "gen") -> dict[str, DataFrame]:
     """Recommendations for several segments from one pass over the lines.
 
     One aggregation builds the purchase table (item set and features per
-    purchase), persisted.  Unless ``segments`` is given, the customers are
-    segmented from it; the purchases are tagged with their segment once and
-    each segment's mining reads only its own cached baskets.  With
-    ``previous`` (the earlier customer table) the new segments update it
-    first and the updated table assigns the purchases to segments.  With
-    ``general`` all purchases also give the general recommendations, which
-    fill the segment lists unless ``fill`` is given.
+    purchase), written below ``spark.checkpoint.dir``: the only stored copy
+    of the item sets, durable, and read by every step.  Unless ``segments``
+    is given, the customers are segmented from it.  With ``previous`` (the
+    earlier customer table) the new segments update it first and the updated
+    table assigns the purchases to segments; this small table is written too.
+    With ``general`` all purchases also give the general recommendations,
+    which fill the segment lists unless ``fill`` is given.
     Returns {label: (StockCode, recs)} plus "segments" (and "customers")
-    when computed here; these stay persisted for the caller.
-
-    ``materialize`` writes the purchase table below ``spark.checkpoint.dir``
-    instead of caching it: at large scale a durable table costs less than
-    executor memory and survives executor loss without recomputation.  Its
-    consumers re-shuffle by customer anyway, so no partitioning is lost.
+    when computed here.  Nothing stays cached; ``clear_scratch`` deletes the
+    written tables once the results are stored.
     """
-    if materialize:
-        purchases = cut_lineage(tx.sparkSession, purchase_table(tx), "purchases")
-    else:
-        purchases = purchase_table(tx).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = tx.sparkSession
+    purchases = cut_lineage(spark, purchase_table(tx), "purchases")
     out: dict[str, DataFrame] = {}
     pool = ThreadPoolExecutor(max_workers=len(labels) + 1)
     try:
         # Decorated here so the pool threads carry this thread's Spark local
         # properties (job group, scheduler pool, description): cancelling the
         # caller's job group also cancels the minings.
-        @inheritable_thread_target(tx.sparkSession)
+        @inheritable_thread_target(spark)
         def mine(b: DataFrame):
-            return mine_rules(b, min_support, min_confidence, num_partitions=num_partitions,
-                              with_itemsets=False)
+            return mine_pair_rules(b, min_support, min_confidence, num_partitions=num_partitions, stored=True)
 
         futures = {}
         if general:
-            # The general mining needs only the purchases: it runs while the
-            # customers are segmented.
-            purchases.count()
+            # Needs only the purchases: runs while the customers are segmented.
             futures[general_label] = pool.submit(mine, purchases)
         if segments is None:
-            segments = segment_customers(tx, purchases=purchases).persist(StorageLevel.MEMORY_AND_DISK)
-            out["segments"] = segments
+            segments = out["segments"] = cut_lineage(spark, segment_customers(tx, purchases=purchases), "segments")
         if previous is not None:
-            segments = update_segments(previous, segments).persist(StorageLevel.MEMORY_AND_DISK)
-            out["customers"] = segments
-        tagged = segment_baskets(purchases.select(*BASKET_KEY, ITEMS), segments)
-        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            tagged.count()  # materialise the shared cache once, before the parallel jobs
-            # The minings are independent Spark jobs: submitted together they
-            # share the cluster instead of queueing their small stages.
-            for label in labels:
-                futures[label] = pool.submit(mine, tagged.filter(F.col(SEGMENT) == F.lit(label)))
-            mined = {label: f.result().rules for label, f in futures.items()}
-        finally:
-            tagged.unpersist()
-        if general:
-            out[general_label] = frequently_bought(mined[general_label])
-            if fill is None:
-                fill = out[general_label]
+            segments = out["customers"] = cut_lineage(spark, update_segments(previous, segments), "customers")
+        # The minings are independent Spark jobs: submitted together they
+        # share the cluster instead of queueing their small stages.
         for label in labels:
-            recs = frequently_bought(mined[label])
-            out[label] = merge_recommendations(recs, fill) if fill is not None else recs
+            members = segments.filter(F.col(SEGMENT) == F.lit(label)).select(CUSTOMER_ID)
+            futures[label] = pool.submit(mine, purchases.select(*BASKET_KEY, ITEMS).join(members, CUSTOMER_ID, "left_semi"))
+        mined = {label: f.result() for label, f in futures.items()}
     finally:
         pool.shutdown(wait=True)
-        purchases.unpersist()
+    if general:
+        out[general_label] = frequently_bought(mined[general_label])
+        if fill is None:
+            fill = out[general_label]
+    for label in labels:
+        recs = frequently_bought(mined[label])
+        out[label] = merge_recommendations(recs, fill) if fill is not None else recs
     return out
-
-
-def release(result: dict[str, DataFrame], names=("segments", "customers", "clean")) -> None:
-    """Unpersist the cached intermediates of a run (the recommendation lists
-    read checkpointed rules and do not depend on them)."""
-    for name in names:
-        df = result.get(name)
-        if df is not None:
-            df.unpersist()

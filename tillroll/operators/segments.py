@@ -10,12 +10,15 @@ an unpartitioned window.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import (
     euclidean_distance, keep_old_segment, min_max_scale, segment_label,
 )
+from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import (
     AVG_PRICE_PER_PURCHASE, AVG_PRODUCTS_PER_PURCHASE, AVG_QUANTITY_PER_PURCHASE,
     BASKET_KEY, CUSTOMER_FEATURES, CUSTOMER_ID, ITEMS, NO_OF_CUSTOMERS, PRICE_PER_PURCHASE,
@@ -76,7 +79,10 @@ def customer_features(tx: DataFrame, range_min: float = RANGE_MIN, range_max: fl
     ``<name>``.  Where all customers share a value the scale is degenerate;
     see :func:`min_max_scale`.
     """
-    per_customer = customer_aggregates(tx, purchases)
+    return _scaled(customer_aggregates(tx, purchases), range_min, range_max, degenerate)
+
+
+def _scaled(per_customer: DataFrame, range_min: float, range_max: float, degenerate: str) -> DataFrame:
     bounds = per_customer.agg(*(
         [F.min(c).alias(f"_min_{c}") for c in CUSTOMER_FEATURES]
         + [F.max(c).alias(f"_max_{c}") for c in CUSTOMER_FEATURES]
@@ -128,6 +134,34 @@ def segment_customers(tx: DataFrame, range_min: float = RANGE_MIN, range_max: fl
     return customer_segments(customer_similarity(features, range_min))
 
 
+class Segmentation(NamedTuple):
+    """The outputs of one segmentation run."""
+    features: DataFrame
+    similarity: DataFrame
+    stats: DataFrame
+    segments: DataFrame
+    customers: DataFrame | None
+
+
+def segmentation_job(tx: DataFrame, customers: DataFrame | None = None, range_min: float = RANGE_MIN,
+                     range_max: float = RANGE_MAX, degenerate: str = "nan",
+                     purchases: DataFrame | None = None) -> Segmentation:
+    """Features, similarity, segment sizes, segments and updated customers from one pass (C4).
+
+    The lines are aggregated once.  What they give per customer, one row each,
+    is written to the shared folder, and all five outputs read that table, so
+    none repeats the pass.  ``customers`` is the earlier (CustomerID, segment)
+    table; without it there are no updated customers.
+    """
+    spark = tx.sparkSession
+    per_customer = cut_lineage(spark, customer_aggregates(tx, purchases), "customer-aggregates")
+    features = _scaled(per_customer, range_min, range_max, degenerate)
+    similarity = customer_similarity(features, range_min)
+    segments = customer_segments(similarity)
+    updated = update_segments(customers, segments) if customers is not None else None
+    return Segmentation(features, similarity, segment_stats(segments), segments, updated)
+
+
 def update_segments(customers: DataFrame, segments: DataFrame) -> DataFrame:
     """New segment where one was computed, the previous one otherwise.
 

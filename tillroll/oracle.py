@@ -12,6 +12,10 @@ SUPPORT = 0.01
 CONFIDENCE = 0.2
 BRAND_SUPPORT = 0.02
 BRAND_CONFIDENCE = 0.15
+TYPE_SUPPORT = 0.117
+TYPE_CONFIDENCE = 0.487
+SEGMENT_SUPPORT, SEGMENT_CONFIDENCE = 0.017, 0.13
+RAW_SUPPORT, RAW_CONFIDENCE = 0.014, 0.117
 
 _FROM = """lineitem JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey
@@ -147,10 +151,11 @@ def _merge_expr(s: str, g: str) -> str:
             f"lambda x: NOT list_contains(string_split({s}, ','), x))), ',') END")
 
 
-def _segment_recs_ctes(tx: str, segs: str, p: str, label: str) -> str:
+def _segment_recs_ctes(tx: str, segs: str, p: str, label: str, support: float = SEGMENT_SUPPORT,
+                       confidence: float = SEGMENT_CONFIDENCE) -> str:
     return (f"{p}tx AS (SELECT * FROM {tx} WHERE CustomerID IN "
             f"(SELECT CustomerID FROM {segs} WHERE segment = '{label}')),\n  "
-            + pair_rules_ctes(f"{p}tx", p))
+            + pair_rules_ctes(f"{p}tx", p, support, confidence))
 
 
 def _filled(p: str, gen: str) -> str:
@@ -167,7 +172,7 @@ def _jaccard(v1: str, v2: str) -> str:
 def _gen_vs_segments() -> str:
     return f"""WITH tx AS ({tx_sql()}),
   {segment_ctes('tx')},
-  {pair_rules_ctes('tx', 'g_')},
+  {pair_rules_ctes('tx', 'g_', SEGMENT_SUPPORT, SEGMENT_CONFIDENCE)},
   {_segment_recs_ctes('tx', 'seg', 's1_', '1')},
   {_segment_recs_ctes('tx', 'seg', 's2_', '2')},
   f1r AS ({_filled('s1_', 'g_fb')}),
@@ -184,6 +189,11 @@ def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["clean_transactions"] = f"WITH {raw} {clean_sql('raw')}"
     q["delimited_round_trip"] = q["clean_transactions"]
+    q["read_delimited_strings"] = f"""WITH {raw}, ct AS ({clean_sql('raw')})
+    SELECT InvoiceNo, StockCode, Description, CAST(Quantity AS VARCHAR) AS Quantity, InvoiceDate,
+           CAST(UnitPrice AS VARCHAR) AS UnitPrice, CustomerID, Country FROM ct"""
+    q["single_file"] = (f"WITH {tx}, {segment_ctes('tx')} SELECT segment, count(*) AS noOfCustomers, "
+                        f"CAST(1 AS BIGINT) AS n_files FROM seg GROUP BY segment")
     q["load_products"] = f"""WITH {raw}, ld AS ({loadable_sql('raw')})
     SELECT StockCode, max({{'ts': ts, 'd': Description}}).d AS Description,
            max({{'ts': ts, 'p': UnitPrice}}).p AS UnitPrice
@@ -213,6 +223,18 @@ def build() -> dict[str, str]:
       {segment_ctes('ct')}
     SELECT DISTINCT c.CustomerID, coalesce(s.segment, c.segment) AS segment
     FROM cust c LEFT JOIN seg s ON c.CustomerID = s.CustomerID"""
+    q["replace_own_input"] = q["update_segments"]
+    q["segmentation_job"] = f"""WITH {raw}, ld AS ({loadable_sql('raw')}),
+      cust AS (SELECT DISTINCT CustomerID, 'null' AS segment FROM ld),
+      ct AS ({clean_sql('raw')}),
+      {segment_ctes('ct')}
+    SELECT 'features' AS output, CustomerID AS key, round(scaled_avgPricePerPurchasePerCustomer, 6) AS num,
+           CAST(NULL AS VARCHAR) AS txt FROM sc
+    UNION ALL SELECT 'similarity', CustomerID, round(similarity, 6), NULL FROM sim
+    UNION ALL SELECT 'stats', segment, CAST(count(*) AS DOUBLE), NULL FROM seg GROUP BY segment
+    UNION ALL SELECT 'segments', CustomerID, NULL, segment FROM seg
+    UNION ALL SELECT DISTINCT 'customers', c.CustomerID, CAST(NULL AS DOUBLE), coalesce(s.segment, c.segment)
+      FROM cust c LEFT JOIN seg s ON c.CustomerID = s.CustomerID"""
     q["segment_transactions"] = f"""WITH {tx}, {segment_ctes('tx')}
     SELECT DISTINCT t.InvoiceNo, t.StockCode, t.Description, t.Quantity, t.UnitPrice, t.CustomerID,
            CAST(t.InvoiceDate AS VARCHAR) AS InvoiceDate, t.Country, s.segment
@@ -222,9 +244,9 @@ def build() -> dict[str, str]:
            array_to_string(list_sort(list_distinct(list(StockCode))), ',') AS items
     FROM tx GROUP BY InvoiceNo, InvoiceDate, CustomerID, Country"""
     tx_type = f"tx AS ({tx_sql('p_type')})"
-    q["frequent_itemsets"] = (f"WITH RECURSIVE {tx_type}, {itemset_ctes('tx')} "
+    q["frequent_itemsets"] = (f"WITH RECURSIVE {tx_type}, {itemset_ctes('tx', TYPE_SUPPORT, TYPE_CONFIDENCE)} "
                               f"SELECT array_to_string(items, ',') AS items, freq FROM fi")
-    q["association_rules"] = (f"WITH RECURSIVE {tx_type}, {itemset_ctes('tx')} "
+    q["association_rules"] = (f"WITH RECURSIVE {tx_type}, {itemset_ctes('tx', TYPE_SUPPORT, TYPE_CONFIDENCE)} "
                               f"SELECT array_to_string(antecedent, ',') AS antecedent, consequent, "
                               f"confidence, lift, support FROM ru")
     q["recommend_for_baskets"] = f"""WITH RECURSIVE {tx_type}, {itemset_ctes('tx')},
@@ -245,11 +267,18 @@ def build() -> dict[str, str]:
       {_segment_recs_ctes('tx', 'seg', 's2_', '2')}
     SELECT '1' AS segment, StockCode, recs FROM s1_fb UNION ALL SELECT '2', StockCode, recs FROM s2_fb"""
     q["merge_recommendations"] = f"""WITH {tx}, {segment_ctes('tx')},
-      {pair_rules_ctes('tx', 'g_')},
+      {pair_rules_ctes('tx', 'g_', SEGMENT_SUPPORT, SEGMENT_CONFIDENCE)},
       {_segment_recs_ctes('tx', 'seg', 's1_', '1')},
       {_segment_recs_ctes('tx', 'seg', 's2_', '2')}
     SELECT '1' AS segment, * FROM ({_filled('s1_', 'g_fb')}) a
     UNION ALL SELECT '2' AS segment, * FROM ({_filled('s2_', 'g_fb')}) b"""
+    q["segment_target"] = f"""WITH {tx}, {segment_ctes('tx')},
+      {pair_rules_ctes('tx', 'g_', SEGMENT_SUPPORT, SEGMENT_CONFIDENCE)},
+      {_segment_recs_ctes('tx', 'seg', 's1_', '1')},
+      {_segment_recs_ctes('tx', 'seg', 's2_', '2')}
+    SELECT 'gen' AS segment, StockCode, recs FROM g_fb
+    UNION ALL SELECT '1' AS segment, * FROM ({_filled('s1_', 'g_fb')}) a
+    UNION ALL SELECT '2' AS segment, * FROM ({_filled('s2_', 'g_fb')}) b"""
     q["jaccard_compare"] = (_gen_vs_segments() + " SELECT segment, KEY, round(jaccard_similarity, 6) "
                             "AS jaccard_similarity, round(1.0 - jaccard_similarity, 6) AS jaccard_distance FROM cmp")
     q["jaccard_summary"] = (_gen_vs_segments() + " SELECT segment, round(avg(1.0 - jaccard_similarity), 6) "
@@ -265,6 +294,7 @@ def build() -> dict[str, str]:
                                            lambda p: (p[2] - p[1]) * (p[2] - p[1]))) AS sq
             FROM ev JOIN ce ON ev.label = ce.label)"""
     q["embedding_euclidean"] = cent + " SELECT vec_id, label, round(sqrt(sq), 6) AS distance FROM d"
+    q["embedding_vector_euclidean"] = q["embedding_euclidean"]
     q["embedding_msd"] = (cent + " SELECT vec_id, label, round(sq / len(v), 6) AS msd, "
                           "round(1.0 / (sq / len(v) + 1.0), 6) AS ms_similarity FROM d")
     q["pipeline_recommendations"] = f"""WITH {raw}, ld AS ({loadable_sql('raw')}),
@@ -273,9 +303,9 @@ def build() -> dict[str, str]:
       {segment_ctes('ct')},
       upd AS (SELECT DISTINCT c.CustomerID, coalesce(s.segment, c.segment) AS segment
               FROM cust c LEFT JOIN seg s ON c.CustomerID = s.CustomerID),
-      {pair_rules_ctes('ct', 'g_')},
-      {_segment_recs_ctes('ct', 'upd', 's1_', '1')},
-      {_segment_recs_ctes('ct', 'upd', 's2_', '2')}
+      {pair_rules_ctes('ct', 'g_', RAW_SUPPORT, RAW_CONFIDENCE)},
+      {_segment_recs_ctes('ct', 'upd', 's1_', '1', RAW_SUPPORT, RAW_CONFIDENCE)},
+      {_segment_recs_ctes('ct', 'upd', 's2_', '2', RAW_SUPPORT, RAW_CONFIDENCE)}
     SELECT 'gen' AS segment, StockCode, recs FROM g_fb
     UNION ALL SELECT '1' AS segment, * FROM ({_filled('s1_', 'g_fb')}) a
     UNION ALL SELECT '2' AS segment, * FROM ({_filled('s2_', 'g_fb')}) b"""

@@ -1,23 +1,20 @@
 """The chained recommendation pipeline (C7): clean -> segment -> general
 recommendations -> per-segment recommendations filled with the general ones.
 
-Everything is one lazily built set of DataFrames; the cleaned transactions
-feed four consumers, so they are cut from the raw lineage once (written
-below ``spark.checkpoint.dir`` when ``materialize`` is set, otherwise
-persisted).  Segment labels are the fixed outcomes of the segment rule, so
-no data is collected to decide what to run.
+The cleaned lines are read once, by the purchase aggregation; what that gives
+is written below ``spark.checkpoint.dir`` and feeds segmentation and all
+minings.  Segment labels are the fixed outcomes of the segment rule, so no
+data is collected to decide what to run.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT
 from tillroll.operators.clean import clean_transactions, load_customers
-from tillroll.operators.segment_recs import recommendations_by_segment, release
-from tillroll.plans.strategies import cut_lineage
+from tillroll.operators.segment_recs import recommendations_by_segment
 from tillroll.schema import RECS, SEGMENT, STOCK_CODE
 
 # The labels the segment rule produces, and the label used here
@@ -27,25 +24,20 @@ GENERAL_LABEL = "gen"
 
 
 def run_pipeline(raw: DataFrame, customers: DataFrame | None = None,
-                 min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-                 spark: SparkSession | None = None, materialize: bool = False) -> dict[str, DataFrame]:
+                 min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> dict[str, DataFrame]:
     """Run the whole chain on raw purchase lines.
 
     ``customers`` is the previous (CustomerID, segment) table; by default the
     initial load of ``raw`` (every customer unsegmented).  Returns the
-    intermediate and final DataFrames by name: clean, segments, customers,
-    gen, and one entry per segment label.
+    intermediate and final DataFrames by name: clean (lazy), segments,
+    customers, gen, and one entry per segment label.
     """
     clean = clean_transactions(raw)
-    if materialize:
-        clean = cut_lineage(spark or raw.sparkSession, clean, "clean-transactions")
-    else:
-        clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
     if customers is None:
         customers = load_customers(raw)
     out = recommendations_by_segment(clean, SEGMENT_LABELS, previous=customers, general=True,
                                      min_support=min_support, min_confidence=min_confidence,
-                                     general_label=GENERAL_LABEL, materialize=materialize)
+                                     general_label=GENERAL_LABEL)
     out["clean"] = clean
     return out
 
@@ -57,5 +49,4 @@ def pipeline_recommendations(raw: DataFrame, **kwargs) -> DataFrame:
     for label in (GENERAL_LABEL,) + SEGMENT_LABELS:
         part = res[label].select(F.lit(label).alias(SEGMENT), STOCK_CODE, RECS)
         out = part if out is None else out.unionByName(part)
-    release(res)
     return out

@@ -2,33 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.session import scratch_path
 
-# Default row bound for broadcasting a derived table (rules, centroids ...).
-# At ~100 bytes per row this stays far below executor memory.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Default bound for broadcasting a derived table (rules, centroids ...), in estimated bytes.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                         persist: bool = False) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
+def _value_bytes(kind: T.DataType, value: Column) -> Column | int:
+    """Estimated bytes of a value: 8 for a fixed-width one, lengths for text and arrays."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        inner = kind.elementType
+        if isinstance(inner, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+            each = F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + _as_column(_value_bytes(inner, x)).cast("long"))
+            return F.coalesce(each, F.lit(0)) + 8
+        return F.greatest(F.size(value), F.lit(0)) * 8 + 8
+    if isinstance(kind, T.StructType):
+        parts = [_as_column(_value_bytes(f.dataType, value.getField(f.name))) for f in kind.fields]
+        return sum(parts, F.lit(8))
+    return 8
 
-    The check is a ``limit(max_rows + 1).count()`` job, which stops reading
-    once the bound is exceeded.  With ``persist`` the table is cached first
-    so the check and the later join share one computation (for tables that
-    are costly to recompute; the caller releases the cache); a lost
-    executor only means its cached blocks are recomputed from lineage.  Beyond the
-    bound the plain DataFrame is returned and Spark shuffles both sides
-    (AQE may still split skewed partitions).
+
+def _as_column(n) -> Column:
+    return F.lit(n) if isinstance(n, int) else n
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """Estimated bytes of a row."""
+    return sum((_as_column(_value_bytes(f.dataType, F.col(f.name))).cast("long") for f in schema.fields), F.lit(8).cast("long"))
+
+
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Broadcast ``df`` only when its rows add up to at most ``max_bytes``, by their estimated width.
+
+    The check reads at most as many rows as could fit (each has 8 bytes at least), so it
+    stops early on a large table.  Beyond the bound the plain DataFrame is returned and
+    Spark shuffles both sides (AQE may still split skewed partitions).  ``df`` should be
+    cheap to read twice: a written table, or derived from one.
     """
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    most = max_bytes // 8 + 1
+    rows, total = df.limit(most).agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))).first()
+    if rows < most and total <= max_bytes:
         return F.broadcast(df), True
     return df, False
 
@@ -38,7 +57,8 @@ def cut_lineage(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parqu
 
     A written table survives executor loss (unlike a local checkpoint) and
     ends the lineage, so later stages never recompute what came before.
+    ``tillroll.session.clear_scratch`` deletes what a session has written so.
     """
     path = scratch_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    return spark.read.schema(df.schema).format(fmt).load(path)

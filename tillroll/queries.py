@@ -12,20 +12,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll import operators as ops
-from tillroll.plans.pipeline import SEGMENT_LABELS, pipeline_recommendations
+from tillroll.plans.pipeline import GENERAL_LABEL, SEGMENT_LABELS, pipeline_recommendations
 from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import (
-    AVG_PRICE_PER_PURCHASE, BASKET_KEY, CLEAN_SCHEMA, CMP_KEY, CMP_VAL1, CMP_VAL2, CUSTOMER_FEATURES,
-    INVOICE_DATE, ITEMS, JACCARD_DIS, JACCARD_SIM, PRICE_PER_PURCHASE, RECS, SCALED_PREFIX, SEGMENT,
+    AVG_PRICE_PER_PURCHASE, BASKET_KEY, CLEAN_SCHEMA, CMP_KEY, CMP_VAL1, CMP_VAL2, CUSTOMER_FEATURES, CUSTOMER_ID,
+    INVOICE_DATE, ITEMS, JACCARD_DIS, JACCARD_SIM, NO_OF_CUSTOMERS, PRICE_PER_PURCHASE, RAW_COLUMNS, RECS, SCALED_PREFIX, SEGMENT,
     SIMILARITY, STOCK_CODE,
 )
 from tillroll.session import apply_job_conf, scratch_path
-from tillroll.sources.delimited import read_delimited_with_schema, write_delimited
+from tillroll.sources.delimited import (
+    read_delimited, read_delimited_with_schema, read_partitioned_recommendations, replace_table, write_delimited,
+    write_partitioned_recommendations,
+)
 from tillroll.sources.fixtures import raw_transactions, table, transactions
 
 # Thresholds.  Item-type rules use the original jobs' defaults
@@ -36,6 +39,15 @@ SUPPORT = 0.01
 CONFIDENCE = 0.2
 BRAND_SUPPORT = 0.02
 BRAND_CONFIDENCE = 0.15
+# Itemset and rule checks: between the smallest and the largest values of
+# three-item sets and of rules with one and two items, so both thresholds
+# keep some and reject some, at every fixture size.
+TYPE_SUPPORT = 0.117
+TYPE_CONFIDENCE = 0.487
+# Segment runs, on clean and on raw lines: customers of segment "1" buy
+# smaller baskets, and these values keep a part of its pairs.
+SEGMENT_SUPPORT, SEGMENT_CONFIDENCE = 0.017, 0.13
+RAW_SUPPORT, RAW_CONFIDENCE = 0.014, 0.117
 
 
 def _r6(c):
@@ -78,6 +90,47 @@ def q_delimited_round_trip(spark, sf_dir):
     return read_delimited_with_schema(spark, path, CLEAN_SCHEMA)
 
 
+def q_read_delimited_strings(spark, sf_dir):
+    """Clean lines written with a header and read back with every column as text."""
+    path = scratch_path(spark, "clean-csv")
+    write_delimited(_key_text(ops.clean_transactions(_raw(spark, sf_dir))), path, sep="|", header=True)
+    return read_delimited(spark, path, RAW_COLUMNS, sep="|", header=True)
+
+
+def q_single_file(spark, sf_dir):
+    """Segment sizes written as one file and read back, with the number of files."""
+    path = scratch_path(spark, "stats-single")
+    write_delimited(ops.segment_stats(ops.segment_customers(_tx(spark, sf_dir))), path, single_file=True)
+    schema = T.StructType([T.StructField(SEGMENT, T.StringType()), T.StructField(NO_OF_CUSTOMERS, T.LongType())])
+    back = read_delimited_with_schema(spark, path, schema)
+    return back.withColumn("n_files", F.lit(len(back.inputFiles())).cast("long"))
+
+
+def q_segment_target(spark, sf_dir):
+    """Recommendations per segment, written run by run into one table by segment.
+
+    The general run's rows are written twice, so the second write must replace
+    its own partition and leave the others.
+    """
+    res = ops.recommendations_by_segment(_tx(spark, sf_dir), SEGMENT_LABELS, general=True,
+                                         min_support=SEGMENT_SUPPORT, min_confidence=SEGMENT_CONFIDENCE)
+    path = scratch_path(spark, "recs-by-segment")
+    for label in (GENERAL_LABEL, *SEGMENT_LABELS, GENERAL_LABEL):
+        write_partitioned_recommendations(res[label].withColumn(SEGMENT, F.lit(label)), path)
+    return read_partitioned_recommendations(spark, path)
+
+
+def q_replace_own_input(spark, sf_dir):
+    """The customer table, replaced by its own update."""
+    raw = _raw(spark, sf_dir)
+    path = scratch_path(spark, "customers-tsv")
+    write_delimited(ops.load_customers(raw), path)
+    schema = T.StructType([T.StructField(CUSTOMER_ID, T.StringType()), T.StructField(SEGMENT, T.StringType())])
+    stored = read_delimited_with_schema(spark, path, schema)
+    updated = ops.update_segments(stored, ops.segment_customers(ops.clean_transactions(raw)))
+    return replace_table(spark, updated, path, scratch_path(spark, "customers-staging"), schema)
+
+
 # ------------------------------------------------------------ segmentation
 
 def q_purchase_features(spark, sf_dir):
@@ -121,6 +174,22 @@ def q_update_segments(spark, sf_dir):
     return ops.update_segments(ops.load_customers(raw), ops.segment_customers(ops.clean_transactions(raw)))
 
 
+def q_segmentation_job(spark, sf_dir):
+    """The five outputs of one segmentation run, told apart by ``output``."""
+    raw = _raw(spark, sf_dir)
+    run = ops.segmentation_job(ops.clean_transactions(raw), ops.load_customers(raw))
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def rows(df, output, key, num, txt):
+        return df.select(F.lit(output).alias("output"), F.col(key).alias("key"), num.alias("num"), txt.alias("txt"))
+    price = _r6(F.col(SCALED_PREFIX + AVG_PRICE_PER_PURCHASE))
+    return (rows(run.features, "features", CUSTOMER_ID, price, text)
+            .unionByName(rows(run.similarity, "similarity", CUSTOMER_ID, _r6(F.col(SIMILARITY)), text))
+            .unionByName(rows(run.stats, "stats", SEGMENT, F.col(NO_OF_CUSTOMERS).cast("double"), text))
+            .unionByName(rows(run.segments, "segments", CUSTOMER_ID, none, F.col(SEGMENT)))
+            .unionByName(rows(run.customers, "customers", CUSTOMER_ID, none, F.col(SEGMENT))))
+
+
 def q_segment_transactions(spark, sf_dir):
     tx = _tx(spark, sf_dir)
     return _key_text(ops.segment_transactions(tx, ops.segment_customers(tx), "1"))
@@ -138,7 +207,7 @@ def q_baskets(spark, sf_dir):
 
 
 def _type_rules(spark, sf_dir):
-    return ops.mine_rules(ops.baskets(_tx(spark, sf_dir, "p_type")), SUPPORT, CONFIDENCE)
+    return ops.mine_rules(ops.baskets(_tx(spark, sf_dir, "p_type")), TYPE_SUPPORT, TYPE_CONFIDENCE)
 
 
 def q_frequent_itemsets(spark, sf_dir):
@@ -158,12 +227,11 @@ def q_frequently_bought(spark, sf_dir):
 
 def _per_segment(tx, fill: bool):
     res = ops.recommendations_by_segment(tx, SEGMENT_LABELS, general=fill,
-                                         min_support=BRAND_SUPPORT, min_confidence=BRAND_CONFIDENCE)
+                                         min_support=SEGMENT_SUPPORT, min_confidence=SEGMENT_CONFIDENCE)
     out = None
     for s in SEGMENT_LABELS:
         part = res[s].select(F.lit(s).alias(SEGMENT), STOCK_CODE, RECS)
         out = part if out is None else out.unionByName(part)
-    ops.release(res)
     return out
 
 
@@ -176,32 +244,24 @@ def q_merge_recommendations(spark, sf_dir):
 
 
 def q_recommend_for_baskets(spark, sf_dir):
-    tx = _tx(spark, sf_dir, "p_type")
-    # Baskets feed both the mining and the rule application: cached for the
-    # job (the cached scan keeps the purchase partitioning); the result is
-    # written to the checkpoint folder so the cache can be released.
-    b = ops.baskets(tx).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rules = ops.mine_rules(b, SUPPORT, CONFIDENCE, with_itemsets=False).rules
-        out = ops.recommend(b, rules)
-        out = _key_text(out).select(*BASKET_KEY, _joined(ITEMS).alias(ITEMS), _joined(RECS).alias(RECS))
-        return cut_lineage(spark, out, "recommend-for-baskets")
-    finally:
-        b.unpersist()
+    # Baskets feed both the mining and the rule application: written once.
+    b = cut_lineage(spark, ops.baskets(_tx(spark, sf_dir, "p_type")), "baskets")
+    rules = ops.mine_rules(b, SUPPORT, CONFIDENCE, with_itemsets=False, stored=True).rules
+    out = ops.recommend(b, rules)
+    return _key_text(out).select(*BASKET_KEY, _joined(ITEMS).alias(ITEMS), _joined(RECS).alias(RECS))
 
 
 # ------------------------------------------------------------ comparison
 
 def _general_vs_segments(spark, sf_dir):
     res = ops.recommendations_by_segment(_tx(spark, sf_dir), SEGMENT_LABELS, general=True,
-                                         min_support=BRAND_SUPPORT, min_confidence=BRAND_CONFIDENCE)
+                                         min_support=SEGMENT_SUPPORT, min_confidence=SEGMENT_CONFIDENCE)
     g = res["gen"].select(F.col(STOCK_CODE).alias(CMP_KEY), F.col(RECS).alias(CMP_VAL1))
     out = None
     for s in SEGMENT_LABELS:
         seg = res[s].select(F.col(STOCK_CODE).alias(CMP_KEY), F.col(RECS).alias(CMP_VAL2))
         part = ops.jaccard_compare(g, seg).withColumn(SEGMENT, F.lit(s))
         out = part if out is None else out.unionByName(part)
-    ops.release(res)
     return out
 
 
@@ -227,6 +287,12 @@ def q_embedding_euclidean(spark, sf_dir):
     return d.select("vec_id", "label", _r6(F.col("distance")).alias("distance"))
 
 
+def q_embedding_vector_euclidean(spark, sf_dir):
+    apply_job_conf(spark)
+    d = ops.vector_centroid_distances(table(spark, sf_dir, "embeddings"))
+    return d.select("vec_id", "label", _r6(F.col("distance")).alias("distance"))
+
+
 def q_embedding_msd(spark, sf_dir):
     d = _centroid(spark, sf_dir)
     return d.select("vec_id", "label", _r6(F.col("msd")).alias("msd"),
@@ -236,8 +302,8 @@ def q_embedding_msd(spark, sf_dir):
 # ------------------------------------------------------------ pipeline
 
 def q_pipeline_recommendations(spark, sf_dir):
-    return pipeline_recommendations(_raw(spark, sf_dir), min_support=BRAND_SUPPORT,
-                                    min_confidence=BRAND_CONFIDENCE)
+    return pipeline_recommendations(_raw(spark, sf_dir), min_support=RAW_SUPPORT,
+                                    min_confidence=RAW_CONFIDENCE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -245,6 +311,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_products": q_load_products,
     "load_customers": q_load_customers,
     "delimited_round_trip": q_delimited_round_trip,
+    "read_delimited_strings": q_read_delimited_strings,
+    "single_file": q_single_file,
+    "segment_target": q_segment_target,
+    "replace_own_input": q_replace_own_input,
     "purchase_features": q_purchase_features,
     "customer_features": q_customer_features,
     "customer_similarity": q_customer_similarity,
@@ -252,6 +322,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_segments": q_customer_segments,
     "segment_stats": q_segment_stats,
     "update_segments": q_update_segments,
+    "segmentation_job": q_segmentation_job,
     "segment_transactions": q_segment_transactions,
     "baskets": q_baskets,
     "frequent_itemsets": q_frequent_itemsets,
@@ -263,6 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jaccard_compare": q_jaccard_compare,
     "jaccard_summary": q_jaccard_summary,
     "embedding_euclidean": q_embedding_euclidean,
+    "embedding_vector_euclidean": q_embedding_vector_euclidean,
     "embedding_msd": q_embedding_msd,
     "pipeline_recommendations": q_pipeline_recommendations,
 }

@@ -72,18 +72,3 @@ CUSTOMERS_SCHEMA = T.StructType([
     T.StructField(CUSTOMER_ID, T.StringType(), True),
     T.StructField(SEGMENT, T.StringType(), True),
 ])
-
-RECS_SCHEMA = T.StructType([
-    T.StructField(KEY, T.StringType(), True),
-    T.StructField(RECS, T.StringType(), True),
-])
-
-COMPARE_SCHEMA_1 = T.StructType([
-    T.StructField(CMP_KEY, T.StringType(), True),
-    T.StructField(CMP_VAL1, T.StringType(), True),
-])
-
-COMPARE_SCHEMA_2 = T.StructType([
-    T.StructField(CMP_KEY, T.StringType(), True),
-    T.StructField(CMP_VAL2, T.StringType(), True),
-])

@@ -63,6 +63,14 @@ def write_partitioned_recommendations(df: DataFrame, path: str, partition_col: s
        .csv(path))
 
 
+def read_partitioned_recommendations(spark: SparkSession, path: str, partition_col: str = "segment",
+                                     sep: str = TAB) -> DataFrame:
+    """(StockCode, recs) and the partition column, as text, of a table by segment."""
+    schema = T.StructType([T.StructField("StockCode", T.StringType()), T.StructField("recs", T.StringType()),
+                           T.StructField(partition_col, T.StringType())])
+    return spark.read.option("sep", sep).schema(schema).csv(path)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
                mode: str = "overwrite") -> None:
     """Replace a database table with ``df``.  Connection settings come from the caller."""
@@ -77,6 +85,8 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str, staging_path: s
     Spark cannot overwrite a path it is still reading, so ``df`` is first
     written to ``staging_path`` (fully materialised), then re-read from there
     and written over ``path``.  Returns the table as read back from ``path``.
+    The staging copy stays for the caller to delete, as the only whole copy
+    while ``path`` is being written.
     """
     write_delimited(df, staging_path, sep=sep)
     staged = read_delimited_with_schema(spark, staging_path, schema, sep=sep)
