@@ -38,8 +38,8 @@ def general_recommendations(tx: DataFrame, min_support: float = MIN_SUPPORT,
 
     ``basket_df`` reuses baskets already built from ``tx``.
     """
-    b = basket_df if basket_df is not None else baskets(tx)
-    return frequently_bought(mine_pair_rules(b, min_support, min_confidence, num_partitions=num_partitions))
+    b = cut_lineage(tx.sparkSession, basket_df if basket_df is not None else baskets(tx), "baskets")
+    return frequently_bought(mine_pair_rules(b, min_support, min_confidence, num_partitions=num_partitions, stored=True))
 
 
 def segment_baskets(basket_df: DataFrame, segments: DataFrame) -> DataFrame:
@@ -69,7 +69,8 @@ def segment_recommendations(tx: DataFrame, segments: DataFrame, segment: str,
     b = basket_df if basket_df is not None else baskets(tx)
     seg = segments.filter(F.col(SEGMENT) == F.lit(segment)).select(CUSTOMER_ID)
     seg_b = b.join(seg, CUSTOMER_ID, "left_semi")
-    recs = frequently_bought(mine_pair_rules(seg_b, min_support, min_confidence, num_partitions=num_partitions))
+    seg_b = cut_lineage(tx.sparkSession, seg_b, "segment-baskets")
+    recs = frequently_bought(mine_pair_rules(seg_b, min_support, min_confidence, num_partitions=num_partitions, stored=True))
     if fill is not None:
         recs = merge_recommendations(recs, fill)
     return recs

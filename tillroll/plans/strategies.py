@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.session import scratch_path
+from tillroll.session import scratch_path, splitting_skew
 
 # Default bound for broadcasting a derived table (rules, centroids ...), in estimated bytes.
 DEFAULT_BROADCAST_BYTES = 64 << 20
@@ -57,8 +57,11 @@ def cut_lineage(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parqu
 
     A written table survives executor loss (unlike a local checkpoint) and
     ends the lineage, so later stages never recompute what came before.
+    Skewed joins below are split, so a purchase with a large share of all
+    lines is pre-aggregated by several tasks, without any session setting.
     ``tillroll.session.clear_scratch`` deletes what a session has written so.
     """
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").format(fmt).save(path)
+    with splitting_skew(spark):
+        df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.schema(df.schema).format(fmt).load(path)

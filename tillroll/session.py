@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,11 +61,47 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def apply_job_conf(spark: SparkSession) -> None:
-    """Apply the job settings to an existing session (runtime SQL confs only)."""
+    """Apply the job settings to an existing session (runtime SQL confs only).
+
+    For a session of one's own; the operators do not need it (see
+    :func:`splitting_skew`).
+    """
     for k, v in JOB_CONF.items():
         spark.conf.set(k, v)
 
 
+# Needed where a hot purchase must be split at a join below its aggregate.
+_SPLIT_SKEW = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true",
+               "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
+_splitting: dict[int, tuple[int, dict[str, str | None]]] = {}
+_lock = threading.Lock()
+
+
+@contextmanager
+def splitting_skew(spark: SparkSession):
+    """Jobs run inside split skewed joins even below an aggregate, whatever the session says.
+
+    The caller's settings come back when the last of the threads inside leaves.
+    """
+    with _lock:
+        inside, before = _splitting.get(id(spark), (0, {}))
+        if not inside:
+            before = {k: spark.conf.get(k, None) for k in _SPLIT_SKEW}
+            for k, v in _SPLIT_SKEW.items():
+                spark.conf.set(k, v)
+        _splitting[id(spark)] = (inside + 1, before)
+    try:
+        yield
+    finally:
+        with _lock:
+            inside, before = _splitting.pop(id(spark))
+            if inside > 1:
+                _splitting[id(spark)] = (inside - 1, before)
+            else:
+                for k, v in before.items():
+                    spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
