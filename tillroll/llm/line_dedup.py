@@ -127,7 +127,8 @@ def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_key_words:
     # A key may be in a third of all lines: its later holders spread over SALTS tasks.
     first = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     later = keys.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
-    links = later.join(first, ["_h", "_k", "_salt"]).where("_id > first")
+    # The same plan at every size: by shuffle, as neither side has a bound.
+    links = later.join(first.hint("merge"), ["_h", "_k", "_salt"]).where("_id > first")
     # Lines of one document only: bounded by its length.
     per_doc = links.groupBy("_id").agg(
         F.collect_list(F.struct("first", "theirs", F.col("_line").alias("line"), F.col("_words").alias("words"))).alias("_links"))
@@ -142,7 +143,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_key_words: int
     rows = docs.select(*cols, F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_line_dedup_key"))
     rows = mark_probable(rows, drops.select(F.col("_id").alias("_line_dedup_key")), "_line_dedup_key")
     hit = rows.where("_hit").join(
-        drops.select(F.col("_id").alias("_line_dedup_key"), F.col("_drop").alias("_line_dedup_drop")), "_line_dedup_key", "left")
+        drops.select(F.col("_id").alias("_line_dedup_key"), F.col("_drop").alias("_line_dedup_drop")).hint("merge"),
+        "_line_dedup_key", "left")
     count = T.StructField("_line_dedup_n", T.IntegerType())
     schema = T.StructType([*docs.select(*cols).schema.fields, count])
     at = cols.index(text_col)
