@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontaminate, fm_quality, line_dedup, ngram_join, sentencepiece_viterbi
-from tillroll.llm.common import NULL_ID, mark_probable, written
+from tillroll.llm.common import NULL_ID, mark_probable, ship_package, written
 from tillroll.session import scratch_path
 
 _SCORE = "_fm_quality_score"
@@ -27,6 +27,7 @@ _KEY = "_pipeline_key"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

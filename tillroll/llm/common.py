@@ -10,6 +10,10 @@ their names, cannot clash.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +40,23 @@ def public_id(name: str = "doc_id") -> Column:
     return F.when(F.col("_id") != F.lit(NULL_ID), F.col("_id")).alias(name)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the executors this package, once an application, where it is not installed on them."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="tillroll-package-")) / "tillroll.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: survives lost executors, read many times."""
     path = scratch_path(spark, name)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import decontaminate, fm_quality, line_dedup, ngram_join, secret_scan, sentencepiece_viterbi, suffix_dedup
+from tillroll.llm.common import ship_package
 from tillroll.llm.fingerprint import edit_likeness
 from tillroll.llm.token_counts import token_counts
 from tillroll.llm.warc import pages_round_trip
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
