@@ -88,6 +88,20 @@ def test_ngram_join(make, corpus, pivots, monkeypatch):
     assert got_by_id(ngram_join.classes(make(corpus))) == plain_classes(corpus)
 
 
+def test_cells_bound_differences():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    for n in (1, 5, 300, 3000):
+        pool = np.unique(rng.integers(0, 2**64, 2 * n, dtype=np.uint64))
+        for _ in range(20):
+            x = np.sort(rng.choice(pool, rng.integers(1, n + 1), replace=False))
+            y = np.sort(rng.choice(pool, rng.integers(1, n + 1), replace=False))
+            bound = ngram_join.least_difference(ngram_join.fine_cells(x), ngram_join.fine_cells(y))
+            assert abs(len(x) - len(y)) <= bound <= len(np.setxor1d(x, y))
+    same = np.zeros(300, np.uint64)
+    assert ngram_join.least_difference(ngram_join.fine_cells(same), ngram_join.fine_cells(same)) == 0
+
+
 def test_ngram_join_chains_and_frequent_shingles(make, monkeypatch):
     """A chain of texts, each near the next only, and a passage in most texts."""
     import random

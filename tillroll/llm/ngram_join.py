@@ -14,15 +14,21 @@ separate nothing.  Regions are therefore formed where documents can be near at a
    documents with a shingle in their signature are a region, and its pivot is one of them.
    A document is in as many regions as it could have links in: these are the copies of
    boundary documents.
-3. In each region all documents are compared with its pivot, and those linked to it are its
-   core.  A pair of others is compared only if it may link: if its documents are in
-   different classes so far, and by the triangle inequality their distances to the pivot
-   differ by at most r.  Regions with such pairs go on recursively without the pivots they
-   have used, up to PIVOTS new ones a round, those of the smallest classes first; a region
-   whose documents are all in one class is done.  No region emits all its pairs.
-4. Distances to CELLS virtual pivots (the empty set, within each of CELLS parts of all
+3. Every document is first compared with the pivot that most of its regions share, its
+   Voronoi cell, and then with those pivots of its other regions that are in another class
+   by then; so in each region all documents are compared with its pivot, or in one class
+   with it.  Those linked to a pivot are its core.  A pair of others is compared only if it
+   may link: if its documents are in different classes so far, and by the triangle
+   inequality their distances to the pivot differ by at most r.  Regions with such pairs go
+   on recursively without the pivots they have used, up to PIVOTS new ones a round, those of
+   the smallest classes first; a region whose documents are all in one class is done.  No
+   region emits all its pairs.  To be compared, the texts of a cell meet its pivot's text
+   in one task, or in one task for each CELL_TEXTS of them.
+4. Distances to virtual pivots (the empty set, within each of a number of parts of all
    shingles) are the numbers of a set's shingles in these parts.  They bound the distance
-   of a pair from below, exactly; only pairs that pass are compared by their sets.
+   of a pair from below, exactly: first with CELLS parts for all documents, then, for pairs
+   that pass, with as many as a quarter of the set's size, which tells unrelated long texts
+   apart too.  Only pairs that pass both are compared by their sets.
 
 Every pair that can link is compared, or is in one class already: the classes are exact.
 What is frequent is found by counts within tasks; it only orders shingles, the same way for
@@ -46,8 +52,9 @@ from tillroll.llm.common import NULL_ID, keyed, mark_probable, mix, public_id, s
 PERCENT = 75
 WIDTH = 5
 CELLS = 64
-PIVOTS = 32
+PIVOTS = 128
 SALTS = 16
+CELL_TEXTS = 256
 FREQUENT = 50_000       # shingles put last, at most
 COUNTED_DOCS = 4096     # documents whose shingles a task counts at once
 FREQUENT_SHARE = 0.0025
@@ -61,11 +68,32 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
             yield ids[at + k], s
 
 
+def fine_cells(s: np.ndarray) -> bytes:
+    """Numbers of shingles (255 at most) in as many equal parts as the next power of two to a quarter
+    of the set's size, CELLS at least."""
+    bits = max(CELLS.bit_length() - 1, (max(len(s), 1) // 4).bit_length())
+    count = np.bincount((s >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(count, 255).astype(np.uint8).tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of two sets' symmetric difference from their fine cells."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if max(a.max(initial=0), b.max(initial=0)) == 255 and len(a) != len(b):
+        return 0  # sums of cut numbers would not bound anything
+    a, b = a.astype(np.int32), b.astype(np.int32)
+    while len(a) > len(b):
+        a = a.reshape(-1, 2).sum(1)
+    while len(b) > len(a):
+        b = b.reshape(-1, 2).sum(1)
+    return int(np.abs(a - b).sum())
+
+
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: size, two sums that identify the set, cells.  And shingles that many documents
     of the task have, as rows without cells: hash and count."""
-    names = ["_id", "n", "h1", "h2", "cells"]
-    kinds = [pa.int64()] * 4 + [pa.binary()]
+    names = ["_id", "n", "h1", "h2", "cells", "fine"]
+    kinds = [pa.int64()] * 4 + [pa.binary()] * 2
     held: list[np.ndarray] = []
 
     def frequent() -> pa.RecordBatch:
@@ -80,7 +108,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, s in _sets(batch):
             cells = np.minimum(np.bincount((s >> _U(58)).astype(np.int64), minlength=CELLS), 65535).astype(np.uint16)
             out.append((doc, len(s), int(mix(s).sum(dtype=_U).astype(np.int64)),
-                        int(mix(s ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U).astype(np.int64)), cells.tobytes()))
+                        int(mix(s ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U).astype(np.int64)), cells.tobytes(), fine_cells(s)))
             held.append(s)
             if len(held) >= COUNTED_DOCS:
                 yield frequent()
@@ -113,14 +141,6 @@ def _signatures(batches: Iterator[pa.RecordBatch], frequent, percent: int) -> It
                                           pa.array(np.repeat(np.array(ids, np.int64), sizes))], names=["sig", "_id"])
 
 
-def _as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [(doc, s.tobytes()) for doc, s in _sets(batch)]
-        ids, sets = zip(*rows) if rows else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.large_binary()).cast(pa.binary())],
-                                         names=["_id", "shingles"])
-
-
 def _cell_array(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, CELLS).astype(np.int32)
 
@@ -140,23 +160,38 @@ def _may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield b.select([0, 1])
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _may_link_finely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, n of a, n of b, fine cells of a, of b): as _may_link."""
     for b in batches:
-        shared, either = [], []
-        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-            x, y = np.frombuffer(x, _U), np.frombuffer(y, _U)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            shared.append(both)
-            either.append(len(x) + len(y) - both)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shared, pa.int64()), pa.array(either, pa.int64())],
-                                         names=["a", "b", "shared", "either"])
+        total = b.column(2).to_numpy() + b.column(3).to_numpy()
+        least = np.array([least_difference(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())], np.int64)
+        yield b.filter(pa.array((100 + percent) * least <= (100 - percent) * total)).select([0, 1])
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, part, b, text) sorted so that the pivot a, without b, comes before its documents b."""
+    pivot, own = None, np.zeros(0, _U)
+    for batch in batches:
+        out: list[tuple] = []
+        keys = zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)))
+        texts = batch.select([2, 3])
+        for (a, part, b), (_, s) in zip(keys, _sets(texts)):
+            if b is None:
+                pivot, own = (a, part), s
+            else:
+                assert pivot == (a, part)
+                both = len(np.intersect1d(own, s, assume_unique=True))
+                out.append((a, b, both, len(own) + len(s) - both))
+        cols = zip(*out) if out else [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "shared", "either"])
 
 
 class _Join:
     def __init__(self, rows: DataFrame, percent: int):
         self.rows, self.percent, self.spark = rows, percent, rows.sparkSession
-        made = written(self.spark, rows.mapInArrow(_summaries, "_id long, n long, h1 long, h2 long, cells binary"), "summaries")
-        self.docs = made.where("cells IS NOT NULL")
+        made = written(self.spark, rows.mapInArrow(_summaries, "_id long, n long, h1 long, h2 long, cells binary, fine binary"), "summaries")
+        self.docs = made.where("cells IS NOT NULL").drop("fine")
+        self.fine = made.where("cells IS NOT NULL").select("_id", "n", "fine")
         often = (made.where("cells IS NULL").groupBy("_id").agg(F.sum("n").alias("n"))
                  .orderBy(F.desc("n"), "_id").limit(FREQUENT).select("_id").collect())
         self.frequent = self.spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in often], np.int64).astype(_U)))
@@ -170,7 +205,8 @@ class _Join:
         return salted.join(first, ["n", "h1", "h2", "salt"]).where("_id > kept").select("_id", "kept")
 
     def regions(self, copies: DataFrame) -> DataFrame:
-        """``sig``, ``_id``, ``pivot`` of the regions with two documents or more."""
+        """``sig``, ``_id``, ``pivot``, ``more`` (a third document) of regions with two documents or more,
+        without the pivots' own rows."""
         marked = mark_probable(self.rows, copies.select("_id"))
         rest = marked.where("NOT _hit").drop("_hit").unionByName(
             marked.where("_hit").drop("_hit").join(copies.select("_id"), "_id", "left_anti"))
@@ -178,54 +214,86 @@ class _Join:
         sigs = rest.mapInArrow(lambda it: _signatures(it, frequent, percent), "sig long, _id long")
         over = "OVER (PARTITION BY sig ORDER BY _id)"
         return sigs.select("sig", "_id", F.expr(f"first(_id) {over}").alias("pivot"),
-                           F.expr(f"lead(_id) {over}").alias("after")).where("_id != pivot OR after IS NOT NULL").drop("after")
+                           F.expr(f"lag(_id, 2) {over} IS NOT NULL OR lead(_id) {over} IS NOT NULL").alias("more")
+                           ).where("_id != pivot")
 
-    def compare(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Shared and united shingles of those pairs (a, b) that may link."""
+    def may_link(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The distinct pairs (a, b) that the distance bounds let pass."""
         of = lambda k: self.docs.select(F.col("_id").alias(k), F.col("n").alias(f"n{k}"), F.col("cells").alias(f"c{k}"))
         percent = self.percent
-        near = (pairs.distinct().join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
+        near = (pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
                 .mapInArrow(lambda it: _may_link(it, percent), "a long, b long"))
-        near = written(self.spark, near, f"{name}-pairs")
-        ids = near.select(F.col("a").alias("_id")).unionByName(near.select(F.col("b").alias("_id"))).distinct()
-        texts = mark_probable(self.rows, ids).where("_hit").drop("_hit").join(ids, "_id", "left_semi")
-        sets = written(self.spark, texts.mapInArrow(_as_sets, "_id long, shingles binary"), f"{name}-sets")
-        both = (near.join(sets.select(F.col("_id").alias("a"), F.col("shingles").alias("x")), "a")
-                .join(sets.select(F.col("_id").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y"))
-        return written(self.spark, both.mapInArrow(_compared, "a long, b long, shared long, either long"), name)
+        near = written(self.spark, near, f"{name}-coarse")
+
+        def fine(k: str) -> DataFrame:
+            some = mark_probable(self.fine, near.select(F.col(k).alias("_id"))).where("_hit")
+            return some.select(F.col("_id").alias(k), F.col("n").alias(f"n{k}"), F.col("fine").alias(f"f{k}"))
+        return (near.join(fine("a"), "a").join(fine("b"), "b").select("a", "b", "na", "nb", "fa", "fb")
+                .mapInArrow(lambda it: _may_link_finely(it, percent), "a long, b long"))
+
+    def compare(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Shared and united shingles of the pairs (a written table of distinct a, b)."""
+        sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m"))
+        part = F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / CELL_TEXTS)).cast("int").alias("part")
+        dealt = written(self.spark, pairs.join(sizes, "a").select("a", "b", part), f"{name}-dealt")
+
+        def with_text(rows: DataFrame, key: str) -> DataFrame:
+            ids = rows.select(F.col(key).alias("_id"))
+            texts = mark_probable(self.rows, ids).where("_hit").select(F.col("_id").alias(key), "_text")
+            return rows.join(texts, key)
+        others = with_text(dealt, "b").select("a", "part", "b", "_text")
+        pivots = with_text(dealt.select("a", "part").distinct(), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "_text")
+        cells = others.unionByName(pivots).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+        return written(self.spark, cells.mapInArrow(_compared, "a long, b long, shared long, either long"), name)
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """Copies (``_id``, ``kept``) and the class of each document in a link (``_id``, ``class``)."""
         copies = written(self.spark, self.copies(), "copies")
         regions = written(self.spark, self.regions(copies), "regions")
-        distances = self.compare(regions.where("_id != pivot").select(F.col("pivot").alias("a"), F.col("_id").alias("b")), "round0")
         linked = F.col("shared") * 100 >= F.col("either") * self.percent
-        classes = components(distances.where(linked).select("a", "b"))
+
+        def classes_of(distances: DataFrame) -> DataFrame:
+            return components(distances.where(linked).select("a", "b"))
+
+        counted = regions.groupBy(F.col("pivot").alias("a"), F.col("_id").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+        counted = written(self.spark, counted, "pivot-counts")
+        near = written(self.spark, self.may_link(counted.select("a", "b"), "pivots").join(counted, ["a", "b"]), "pivots")
+        best = near.groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
+        best = written(self.spark, best, "cells")
+        distances = self.compare(best, "distances0")
+        classes = classes_of(distances)
+        of = lambda k: classes.select(F.col("_id").alias(k), F.col("class").alias(f"class{k}"))
+        rest = (near.select("a", "b").join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+                .where("coalesce(classa, a) != coalesce(classb, b)").select("a", "b"))
+        rest = written(self.spark, rest, "other-pivots")
+        if not rest.isEmpty():
+            distances = distances.unionByName(self.compare(rest, "distances1"))
+            classes = classes_of(distances)
         # Distances to a region's own first pivot, where known.
         own = distances.select(F.col("a").alias("pivot"), F.col("b").alias("_id"), (1 - F.col("shared") / F.col("either")).alias("d"))
-        left = regions.where("_id != pivot").join(own, ["pivot", "_id"], "left").select("sig", "_id", "d")
+        left = regions.where("more").join(own, ["pivot", "_id"], "left").select("sig", "_id", "d")
         r = 1 - self.percent / 100 + 1e-9
-        k = 0
+        k = 1
         while True:
             k += 1
             open_ = left.join(classes, "_id", "left").select("sig", "_id", "d", F.coalesce("class", "_id").alias("class"))
             several = open_.groupBy("sig").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("sig")
-            open_ = written(self.spark, open_.join(several, "sig"), f"round{k}-open")
+            open_ = written(self.spark, open_.join(several, "sig"), f"open{k}")
             if open_.isEmpty():
                 return copies, classes
             sizes = open_.groupBy("sig", "class").agg(F.count(F.lit(1)).alias("size"))
             ranked = written(self.spark, open_.join(sizes, ["sig", "class"]).withColumn(
-                "rank", F.expr("row_number() OVER (PARTITION BY sig ORDER BY size, class, _id)")), f"round{k}-ranked")
+                "rank", F.expr("row_number() OVER (PARTITION BY sig ORDER BY size, class, _id)")), f"ranked{k}")
             pivots = ranked.where(F.col("rank") <= PIVOTS).select(
                 "sig", F.col("_id").alias("p"), F.col("class").alias("pc"), F.col("d").alias("pd"), F.col("rank").alias("pr"))
             pairs = (ranked.join(pivots, "sig").where("rank > pr AND class != pc")
                      .where(F.col("d").isNull() | F.col("pd").isNull() | (F.abs(F.col("d") - F.col("pd")) <= r))
                      .select(F.least("p", "_id").alias("a"), F.greatest("p", "_id").alias("b")).distinct())
             pairs = pairs.join(distances.select("a", "b"), ["a", "b"], "left_anti")
-            more = self.compare(pairs, f"round{k}")
-            distances = distances.unionByName(more)
-            if not more.where(linked).isEmpty():
-                classes = components(distances.where(linked).select("a", "b"))
+            near = written(self.spark, self.may_link(pairs, f"near{k}"), f"near{k}")
+            if not near.isEmpty():
+                distances = distances.unionByName(self.compare(near, f"distances{k}"))
+                classes = classes_of(distances)
             left = ranked.where(F.col("rank") > PIVOTS).select("sig", "_id", "d")
 
 
