@@ -1,19 +1,17 @@
-"""Line dedup by pairwise alignment: blocks of lines that an earlier document has too are
-deleted from the later one.
-
-Method: every line occurrence gets a key, the hash of the line and its number among equal
-lines of its document, so keys are unique within a document.  A key links each document
-that has it with the first one that has it, never all pairs among them, so a line of n
-documents costs n - 1 links however frequent it is, and no line has to be left out as too
-frequent; a rare line is what tells a pair apart, so lines of fewer than ``min_key_words``
-words (empty lines, bullets) do not link by themselves.  Each pair of documents that share
-linking lines is aligned by patience diff: the common lines that keep their order in both
-(a longest increasing subsequence), grown over short equal lines between and around them.
-An aligned block, adjoining lines on both sides, of at least ``min_words`` words is deleted
-from the later document (the larger id).
-
-Every shared line is so compared with the first document that has it, which the pair
-(first, later) aligns; what is deleted is judged on the input, not on what is left.
+"""Line dedup: blocks of lines that an earlier document has too are deleted from the later one.
+
+A block is a run of adjoining lines of a document that some earlier document (smaller id) has
+as adjoining lines too, grown over equal lines on both sides (blank and repeated ones as well)
+and of at least ``min_words`` words.  These are all blocks that an alignment of any two
+documents could keep, and those that moved, which an alignment loses; no line is too frequent.
+
+Method: pairs of documents are not formed.  For every line the shortest run that begins there,
+and the shortest that ends there, with ``min_words`` words are hashed.  A block is the union of
+those inside it: from a line of it, either the run to its last line or the run back from its
+last line that holds the line is inside.  So a line goes exactly if such a run around it is in
+an earlier document, and the first document with the run tells that whatever the others hold:
+one row for each distinct run, n - 1 links for n documents with it.  What is deleted is judged
+on the input, not on what is left.
 
 Results for odd input: see ``common.keyed``; a document without text has no lines and stays;
 lines are split at line feeds, and a text all of whose lines go becomes empty; documents
@@ -26,37 +24,58 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import NULL_ID, keyed, mark_probable, written
+from tillroll.llm.common import MUL, NULL_ID, keyed, mark_probable, mix, powers, written
 
 MIN_WORDS = 10
 MIN_KEY_WORDS = 3
 SALTS = 16
 
 
-def line_keys(rows: DataFrame) -> DataFrame:
-    """``_id``, ``_line`` (number), ``_h`` (hash), ``_k`` (its number among equal lines of the
-    text), ``_words`` of every line."""
-    return rows.mapInArrow(_line_keys, "_id long, _line int, _h long, _k int, _words int")
+def block_keys(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``_id``, ``_from``, ``_to`` (line numbers, the last one included) and ``_h`` (hash) of every
+    shortest run of lines with ``min_words`` words."""
+    return rows.mapInArrow(lambda it: _block_keys(it, min_words), "_id long, _from int, _to int, _h long")
+
 
+def shortest_runs(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of the shortest runs from each line on and up to each line, without repeats."""
+    n = len(words)
+    total = np.concatenate(([0], np.cumsum(words)))
+    line = np.arange(n)
+    to = np.searchsorted(total, total[:-1] + max(min_words, 1), side="left") - 1
+    start = np.searchsorted(total, total[1:] - max(min_words, 1), side="right") - 1
+    on, back = to < n, start >= 0
+    runs = np.unique(np.concatenate((line[on] * n + to[on], start[back] * n + line[back])))
+    return runs // max(n, 1), runs % max(n, 1)
 
-def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _block_keys(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     import xxhash
-    names = ["_id", "_line", "_h", "_k", "_words"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+    names = ["_id", "_from", "_to", "_h"]
     for batch in batches:
-        out: list[list[int]] = [[], [], [], [], []]
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names]
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seen: dict[str, int] = {}
-            for i, line in enumerate(text.split("\n") if text else ()):
-                k = seen[line] = seen.get(line, -1) + 1
-                for col, v in zip(out, (doc, i, xxhash.xxh3_64_intdigest(line) - (1 << 63), k, len(line.split()))):
-                    col.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=names)
+            if not text:
+                continue
+            lines = text.split("\n")
+            first, last = shortest_runs(np.array([len(x.split()) for x in lines], np.int64), min_words)
+            if not len(first):
+                continue
+            h = np.array([xxhash.xxh3_64_intdigest(x) for x in lines], np.uint64)
+            # A polynomial over the run's lines, moved to power 0.
+            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * powers(MUL, len(h)), dtype=np.uint64)))
+            key = mix(mix((total[last + 1] - total[first]) * powers(pow(MUL, -1, 1 << 64), len(h))[first])
+                      + (last - first).astype(np.uint64))
+            for col, v in zip(out, (np.full(len(first), doc, np.int64), first, last, key.view(np.int64))):
+                col.append(v)
+        kinds = [np.int64, np.int32, np.int32, np.int64]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t)) for c, t in zip(out, kinds)], names=names)
 
 
 def aligned(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -81,7 +100,8 @@ def aligned(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def deletions(links: list[tuple[int, int, int, int]], min_words: int, min_key_words: int) -> list[int]:
-    """Lines of a document to delete.  ``links``: (other document, its line, own line, words)."""
+    """Lines that an alignment with each linked document would delete; the tests use it, the operator
+    finds these lines by their runs.  ``links``: (other document, its line, own line, words)."""
     out: set[int] = set()
     by_doc: dict[int, list[tuple[int, int]]] = {}
     words: dict[int, int] = {}
@@ -101,44 +121,33 @@ def deletions(links: list[tuple[int, int, int, int]], min_words: int, min_key_wo
     return sorted(out)
 
 
-def _deleted(batches: Iterator[pa.RecordBatch], min_words: int, min_key_words: int) -> Iterator[pa.RecordBatch]:
+def _deleted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, lines = [], []
-        for doc, links in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            drop = deletions([(x["first"], x["theirs"], x["line"], x["words"]) for x in links], min_words,
-                             min_key_words)
-            if drop:
-                ids.append(doc)
-                lines.append(drop)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.list_(pa.int32()))],
-                                         names=["_id", "_drop"])
-
-
-def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_key_words: int = MIN_KEY_WORDS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        lines = [sorted({k for x in runs for k in range(x["_from"], x["_to"] + 1)}) for runs in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.list_(pa.int32()))], names=["_id", "_drop"])
+
+
+def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_id`` and ``_drop`` (line numbers) of the documents that lose lines."""
     spark = docs.sparkSession
-    keys = written(spark, line_keys(keyed(docs, id_col, text_col)), "lines")
-    # First holder of each key that more than one document has; one row a key, pre-aggregated.
-    first = (keys.groupBy("_h", "_k").agg(F.min(F.struct("_id", "_line")).alias("_first"), F.max("_id").alias("_last"),
-                                          F.max("_words").alias("_words"))
-             .where("_last > _first._id")
-             .select("_h", "_k", F.col("_first._id").alias("first"), F.col("_first._line").alias("theirs")))
-    # A key may be in a third of all lines: its later holders spread over SALTS tasks.
+    keys = written(spark, block_keys(keyed(docs, id_col, text_col), min_words), "blocks")
+    # First holder of each run that more than one document has; one row a run, pre-aggregated.
+    first = (keys.groupBy("_h").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
+             .where("_last > _first").select("_h", "_first"))
+    # A run may be in a third of all documents: its later holders spread over SALTS tasks.
     first = first.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     later = keys.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
     # The same plan at every size: by shuffle, as neither side has a bound.
-    links = later.join(first.hint("merge"), ["_h", "_k", "_salt"]).where("_id > first")
-    # Lines of one document only: bounded by its length.
-    per_doc = links.groupBy("_id").agg(
-        F.collect_list(F.struct("first", "theirs", F.col("_line").alias("line"), F.col("_words").alias("words"))).alias("_links"))
-    return per_doc.mapInArrow(lambda it: _deleted(it, min_words, min_key_words), "_id long, _drop array<int>")
+    links = later.join(first.hint("merge"), ["_h", "_salt"]).where("_id > _first")
+    # Runs of one document only: bounded by its length.
+    per_doc = links.groupBy("_id").agg(F.collect_list(F.struct("_from", "_to")).alias("_runs"))
+    return per_doc.mapInArrow(_deleted, "_id long, _drop array<int>")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, min_key_words: int = MIN_KEY_WORDS, id_col: str = "doc_id",
-                text_col: str = "text", dropped_col: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
+                dropped_col: str | None = None) -> DataFrame:
     """``docs``, all columns, with the lines deleted from the text; ``dropped_col``: how many."""
-    drops = written(docs.sparkSession, duplicate_lines(docs, min_words, min_key_words, id_col, text_col), "deletions")
+    drops = written(docs.sparkSession, duplicate_lines(docs, min_words, id_col, text_col), "deletions")
     cols = [c for c in docs.columns if c != dropped_col]
     rows = docs.select(*cols, F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_line_dedup_key"))
     rows = mark_probable(rows, drops.select(F.col("_id").alias("_line_dedup_key")), "_line_dedup_key")
