@@ -82,3 +82,9 @@ def test_shortest_runs():
     first, last = line_dedup.shortest_runs(np.array([10, 0, 3, 0, 8]), 10)
     assert list(zip(first.tolist(), last.tolist())) == [(0, 0), (0, 1), (0, 2), (0, 3), (1, 4), (2, 4)]
     assert len(line_dedup.shortest_runs(np.array([4, 5]), 10)[0]) == 0
+
+
+def test_repeated_lines_do_not_break_a_block(make):
+    x, y = "first line of six words here", "second line of six words here"
+    assert left(make, [(1, f"{x}\n\n{y}"), (2, f"Intro\n\n{x}\n\n{y}")])[2] == "Intro\n"
+    assert left(make, [(1, f"{x}\n--\n{y}\n--"), (2, f"--\n--\n{x}\n--\n{y}\n--\nend")])[2] == "--\n--\nend"
