@@ -88,3 +88,13 @@ def test_repeated_lines_do_not_break_a_block(make):
     x, y = "first line of six words here", "second line of six words here"
     assert left(make, [(1, f"{x}\n\n{y}"), (2, f"Intro\n\n{x}\n\n{y}")])[2] == "Intro\n"
     assert left(make, [(1, f"{x}\n--\n{y}\n--"), (2, f"--\n--\n{x}\n--\n{y}\n--\nend")])[2] == "--\n--\nend"
+
+
+def test_short_lines_and_scripts_without_spaces(make):
+    table = "\n".join(f"row {k}" if k % 2 else f"r{k}" for k in range(60))
+    han, thai = "漢字かな交じりの文章は空白なしで書かれる。", "ภาษาไทยเขียนติดกันไม่เว้นวรรค"
+    rows = [(1, table), (2, "head\n" + table + "\ntail"), (3, han), (4, "a\n" + han), (5, thai), (6, thai + "\nb"),
+            (7, "漢字"), (8, "漢字")]
+    got = left(make, rows)
+    assert got == dict(rows) | {2: "head\ntail", 4: "a", 6: "b"}
+    assert got == {i: t for i, t in common_blocks(rows, lambda x: sum(line_dedup.line_sizes(x))).items()}

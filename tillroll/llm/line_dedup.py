@@ -2,7 +2,8 @@
 
 A block is a run of adjoining lines of a document that some earlier document (smaller id) has
 as adjoining lines too, grown over equal lines on both sides (blank and repeated ones as well)
-and of at least ``min_words`` words.  These are all blocks that an alignment of any two
+and of at least ``min_words`` words; two characters of scripts without spaces (Chinese,
+Japanese, Thai, Lao, Khmer, Burmese) count as a word more.  These are all blocks that an alignment of any two
 documents could keep, and those that moved, which an alignment loses; no line is too frequent.
 
 Method: pairs of documents are not formed.  For every line the shortest run that begins there,
@@ -21,6 +22,7 @@ number; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -35,6 +37,17 @@ from tillroll.llm.common import MUL, NULL_ID, keyed, mark_probable, mix, powers,
 MIN_WORDS = 10
 MIN_KEY_WORDS = 3
 SALTS = 16
+# Thai, Lao, Burmese, Khmer, kana and Han characters.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+                      "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
+
+def line_sizes(text: str) -> list[int]:
+    """Words of each line; two characters of scripts without spaces count as a word more."""
+    lines = text.split("\n")
+    if text.isascii() or not UNSPACED.search(text):
+        return [len(x.split()) for x in lines]
+    return [len(x.split()) + len(UNSPACED.findall(x)) // 2 for x in lines]
 
 
 def block_keys(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -64,7 +77,7 @@ def _block_keys(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[p
             if not text:
                 continue
             lines = text.split("\n")
-            first, last = shortest_runs(np.array([len(x.split()) for x in lines], np.int64), min_words)
+            first, last = shortest_runs(np.array(line_sizes(text), np.int64), min_words)
             if not len(first):
                 continue
             h = np.array([xxhash.xxh3_64_intdigest(x) for x in lines], np.uint64)
