@@ -21,6 +21,7 @@ counted in a row whose ``section`` is null.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,9 +33,9 @@ from pyspark.sql import functions as F
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 RULES = ("largest", "start")
-# Runs of one kind of character longer than this are cut before the merges, whose time
-# grows with the square of a run; real text has no such runs.
-LONGEST_RUN = 1 << 14
+# White space, as the pattern's \s.  Longer runs of it overflow the pattern's look-ahead, so their
+# pre-token, all of the run but what may join the next word, goes to the merges directly.
+SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % (1 << 14))
 SCHEMA = ("doc_id long, section int, start long, end long, n_tokens long, n_tokens_share double, "
           "n_crossing long")
 
@@ -54,14 +55,22 @@ def _encoder(ranks: bytes):
     return _ENCODERS[key]
 
 
+def encode(text: str, enc) -> list[int]:
+    """Token ids of the whole ``text``."""
+    ids, at = [], 0
+    for m in SPACES.finditer(text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        ids += enc.encode_ordinary(text[at:m.start()])
+        ids += enc._encode_single_piece(text[m.start():end])
+        at = end
+    return ids + enc.encode_ordinary(text[at:])
+
+
 def token_spans(text: str, enc, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each token of ``text`` in characters."""
     if not text:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if len(text) > LONGEST_RUN:
-        ids = np.concatenate([np.asarray(enc.encode_ordinary(p), np.int64) for p in _cut_runs(text)])
-    else:
-        ids = np.asarray(enc.encode_ordinary(text), np.int64)
+    ids = np.asarray(encode(text, enc), np.int64)
     ends = np.cumsum(size[ids])
     raw = np.frombuffer(text.encode("utf-8"), np.uint8)
     if len(raw) == len(text):
@@ -70,17 +79,6 @@ def token_spans(text: str, enc, size: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return char[ends - size[ids]] - 1, char[ends - 1]
 
 
-def _cut_runs(text: str) -> list[str]:
-    """``text`` in parts that no pre-token crosses, unless a run is over LONGEST_RUN."""
-    import re
-    out, at = [], 0
-    for m in re.finditer(rf"[^\W\d_]{{{LONGEST_RUN},}}|\d{{{LONGEST_RUN},}}|\s{{{LONGEST_RUN},}}|[^\w\s]{{{LONGEST_RUN},}}", text):
-        out.append(text[at:m.start()])
-        out += [text[i:min(i + LONGEST_RUN, m.end())] for i in range(m.start(), m.end(), LONGEST_RUN)]
-        at = m.end()
-    return [p for p in [*out, text[at:]] if p]
-
-
 def line_edges(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Lines, each with its line break, as character intervals."""
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
