@@ -1,11 +1,12 @@
 """Document fingerprints by a homomorphic multiset hash (DataFrame functions only).
 
 A text is cut into paragraphs and these at clause ends (each segment keeps its closing
-mark, so the segments add up to the text).  Every segment hashes to a wide vector; a
+mark, but not the white space around it).  Every segment hashes to a wide vector; a
 fingerprint is the sum of the vectors of all segments, each coordinate modulo a power of
-two, and the number of segments.  So it does not depend on their order, equal texts have
-equal fingerprints, and a segment is inserted or deleted by adding or subtracting its
-vector (``add`` and ``subtract``) without the text.
+two, the number of segments, and counts of the text's white space.  So it does not depend
+on their order, equal texts have equal fingerprints, and a segment is inserted or deleted
+by adding or subtracting its vector (``add`` and ``subtract``) without the text.
+White space is counted by kind in coordinates of its own: line feeds, spaces, others.
 
 Coordinates: EXACT of them are 32-bit hash words modulo 2**32, for equality; PACKED hold
 three counters of 20 bits, each the number of segments with a certain hash bit, summed
@@ -35,7 +36,11 @@ LANE = (1 << LANE_BITS) - 1
 _EVERY_LANE = 1 | 1 << LANE_BITS | 1 << 2 * LANE_BITS
 MOD_EXACT, MOD_PACKED, MOD_COUNT = (1 << 32) - 1, (1 << 60) - 1, (1 << 32) - 1
 N_EXACT, N_PACKED = 2 * EXACT_HASHES, LANES * PACKED_HASHES
-SEGMENT_END = r"(?<=[.!?,;:|\s])(?<=[.!?,;:|\n]\s{0,9})(?![.!?,;:|\s])"
+N_SPACE = 3        # line feeds, spaces, other white space
+SPACE = r" \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+MARKS = ".!?,;:|"
+# A line break with the white space around it, or the place after a mark with what white space follows.
+SEGMENT_END = rf"(?<![{SPACE}])[{SPACE}&&[^\n]]*+\n[{SPACE}]*+|(?<=[{MARKS}])(?![{MARKS}])[{SPACE}]*+"
 MAX_RANGES = 4096
 
 
@@ -50,7 +55,7 @@ def _coordinates(segment: str) -> list[Column]:
     return out
 
 
-_MASKS = [MOD_COUNT] + [MOD_EXACT] * N_EXACT + [MOD_PACKED] * N_PACKED
+_MASKS = [MOD_COUNT] + [MOD_EXACT] * N_EXACT + [MOD_PACKED] * N_PACKED + [MOD_COUNT] * N_SPACE
 
 
 def _masks() -> Column:
@@ -59,10 +64,15 @@ def _masks() -> Column:
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """``keys`` and ``vector`` (array of longs) of each row; rows with equal keys are summed up."""
-    seg = texts.select(*keys, F.explode_outer(F.split(F.col(text), SEGMENT_END)).alias("_seg"))
+    space = [F.regexp_count(text, F.lit(p)).cast("long") for p in ("\\n", " ", f"[{SPACE}&&[^ \\n]]")]
+    # The counts go with the first segment.
+    seg = (texts.select(*keys, F.array(*space).alias("_space"), F.posexplode_outer(F.split(F.col(text), SEGMENT_END)))
+           .select(*keys, F.when(F.col("pos") == 0, F.col("_space")).alias("_space"),
+                   F.regexp_replace("col", f"^[{SPACE}]++|(?<![{SPACE}])[{SPACE}]++$", "").alias("_seg")))
     has = F.length("_seg") > 0
-    coords = _coordinates("_seg")
-    sums = seg.groupBy(*keys).agg(*[F.sum(F.when(has, c).otherwise(0)).alias(f"_c{i}") for i, c in enumerate(coords)])
+    coords = [F.when(has, c).otherwise(0) for c in _coordinates("_seg")]
+    coords += [F.coalesce(F.get("_space", F.lit(i)), F.lit(0)) for i in range(N_SPACE)]
+    sums = seg.groupBy(*keys).agg(*[F.sum(c).alias(f"_c{i}") for i, c in enumerate(coords)])
     vector = F.array(*[F.col(f"_c{i}").bitwiseAND(m) for i, m in enumerate(_MASKS)])
     return sums.select(*keys, vector.alias("vector"))
 
@@ -79,7 +89,7 @@ def subtract(a: Column, b: Column) -> Column:
 
 def as_text(vector: Column) -> Column:
     """The vector as lower-case hex digits of fixed width."""
-    width = [8] * (1 + N_EXACT) + [15] * N_PACKED
+    width = [8] * (1 + N_EXACT) + [15] * N_PACKED + [8] * N_SPACE
     padded = F.zip_with(vector, F.array(*[F.lit(w) for w in width]),
                         lambda v, w: F.call_function("lpad", F.lower(F.hex(v)), w, F.lit("0")))
     return F.array_join(padded, "")
