@@ -33,3 +33,37 @@ def test_a_paragraph_more_is_one_insertion(make, spark):
     a, b, c, gap = v.first()
     n = len(a) - fingerprint.N_SPACE
     assert b[0] == a[0] + 1 and not any(gap[:n])
+
+
+def unmarked():
+    rng = random.Random(7)
+    words = [f"{a}{b}{c}" for a in "bcdfgt" for b in "aeiou" for c in "lmnrstk"]
+    han = [chr(c) for c in range(0x4E00, 0x9F00, 7)]
+    make_text = {
+        "words": lambda n: " ".join(rng.choice(words) for _ in range(n // 4)),
+        "han": lambda n: "".join(rng.choice(han) for _ in range(n)),
+        "base64": lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n)),
+        "acgt": lambda n: "".join(rng.choice("ACGT") for _ in range(n)),
+        "sentences": lambda n: "".join(rng.choice(han) + rng.choice(["", "", "", "。"]) for _ in range(n * 4 // 5)),
+    }
+    return [f(n) for f in make_text.values() for n in (300, 1000, 5000)]
+
+
+def test_each_text_without_marks_is_like_its_edit(make):
+    texts = unmarked()
+    got = {r.doc_id: r for r in fingerprint.edit_likeness(make(list(enumerate(texts)))).collect()}
+    for k, t in enumerate(texts):
+        half, after = len(t) // 2, texts[(k + 1) % len(texts)]
+        length = len(t) - half + min(half, len(after))
+        shared = (len(t) - half) * 2 / (len(t) + length)  # the sizes' mean is the estimate's denominator
+        assert abs(got[k].near_edited - shared) < 0.3 and got[k].near_edited > 0.2, (k, got[k].near_edited, shared)
+
+
+def test_an_insertion_changes_few_segments(make):
+    texts = [t for t in unmarked() if len(t) > 2000]
+    edited = [t[:1000] + "inserted7" + t[1000:] for t in texts]
+    for a, b in zip(vectors(make, texts), vectors(make, edited)):
+        assert a[0] > 40
+    pairs = make([(2 * k + j, t) for k, p in enumerate(zip(texts, edited)) for j, t in enumerate(p)])
+    near = {r.doc_id: r.near_next for r in fingerprint.edit_likeness(pairs).collect()}
+    assert all(near[2 * k] > 0.6 for k in range(len(texts))), near

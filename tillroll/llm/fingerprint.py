@@ -1,7 +1,9 @@
 """Document fingerprints by a homomorphic multiset hash (DataFrame functions only).
 
-A text is cut into paragraphs and these at clause ends (each segment keeps its closing
-mark, but not the white space around it).  Every segment hashes to a wide vector; a
+A text is cut into paragraphs, these at clause ends, and clauses from their start into
+segments of 16 to 48 characters at the first place that certain pairs of characters mark,
+or else at 48, so that texts without marks have common segments too.  Each segment keeps
+its closing mark, but not the white space around it.  Every segment hashes to a wide vector; a
 fingerprint is the sum of the vectors of all segments, each coordinate modulo a power of
 two, the number of segments, and counts of the text's white space.  So it does not depend
 on their order, equal texts have equal fingerprints, and a segment is inserted or deleted
@@ -38,9 +40,12 @@ MOD_EXACT, MOD_PACKED, MOD_COUNT = (1 << 32) - 1, (1 << 60) - 1, (1 << 32) - 1
 N_EXACT, N_PACKED = 2 * EXACT_HASHES, LANES * PACKED_HASHES
 N_SPACE = 3        # line feeds, spaces, other white space
 SPACE = r" \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-MARKS = ".!?,;:|"
+MARKS = ".!?,;:|\u2026\u3001\u3002\uff01\uff0c\uff0e\uff1a\uff1b\uff1f\uff61\uff64\u0589\u060c\u061b\u061f\u06d4\u0964\u0965\u1362\u17d4"
 # A line break with the white space around it, or the place after a mark with what white space follows.
 SEGMENT_END = rf"(?<![{SPACE}])[{SPACE}&&[^\n]]*+\n[{SPACE}]*+|(?<=[{MARKS}])(?![{MARKS}])[{SPACE}]*+"
+# Pairs of characters after which a clause may be cut.
+PAIR = r"[b-dg-lnr-tA-CEH-JM-RUX0479_&&[^i]][aegopuyDFGQTV-Z12358=]|[\u4e00-\u4fff\u6000-\u6fff\u3040-\u306f][\u5000-\u57ff\u7000-\u77ff\u3070-\u308f]"
+PIECES = rf"(?s)(.{{16,47}}?(?:(?<=[dgknosyDGT158][{SPACE}])|(?<={PAIR})|\z)|.{{1,48}})"
 MAX_RANGES = 4096
 
 
@@ -66,8 +71,9 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """``keys`` and ``vector`` (array of longs) of each row; rows with equal keys are summed up."""
     space = [F.regexp_count(text, F.lit(p)).cast("long") for p in ("\\n", " ", f"[{SPACE}&&[^ \\n]]")]
     # The counts go with the first segment.
-    seg = (texts.select(*keys, F.array(*space).alias("_space"), F.posexplode_outer(F.split(F.col(text), SEGMENT_END)))
-           .select(*keys, F.when(F.col("pos") == 0, F.col("_space")).alias("_space"),
+    seg = (texts.select(*keys, F.array(*space).alias("_space"), F.posexplode_outer(F.flatten(F.transform(
+        F.split(F.col(text), SEGMENT_END), lambda x: F.regexp_extract_all(x, F.lit(PIECES), F.lit(1))))))
+           .select(*keys, F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("_space")).alias("_space"),
                    F.regexp_replace("col", f"^[{SPACE}]++|(?<![{SPACE}])[{SPACE}]++$", "").alias("_seg")))
     has = F.length("_seg") > 0
     coords = [F.when(has, c).otherwise(0) for c in _coordinates("_seg")]
