@@ -1,8 +1,10 @@
 """Secret scan with a random forest that removes false positives (DataFrame functions and
 Spark ML only).
 
-Candidates are runs of key-like characters of at least MIN_LENGTH, with a digit, within a
-text's words.  Each has features of its shape (length, character classes and the transitions
+Candidates are runs of key-like characters of at least MIN_LENGTH with a digit or both
+cases within a text's words, and whole values: what is assigned (``=`` or ``:``) in a word that
+begins with a name, or follows a key word and such a sign, from MIN_VALUE characters on, without
+closing quotes and brackets.  Each has features of its shape (length, character classes and the transitions
 between them, distinct characters), the share of it that a dictionary's words cover, the
 path the text comes from, and its neighbouring words.  A random forest, trained on labelled
 findings, gives the probability that a candidate is a secret.
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import written
 
 MIN_LENGTH = 12
+MIN_VALUE = 6
 MAX_LABELLED = 20_000
 DEFAULT_DICTIONARY = "/opt/tokenizers/word_bpe_49k.json"
 DICTIONARY_LIMIT = 200_000
@@ -39,6 +42,11 @@ RUN = r"[A-Za-z0-9+/=_.@\-]{%d,}" % MIN_LENGTH
 # Words that name a secret, and places of made-up ones.
 KEY_WORDS = r"(?i)(passw(or)?d|pwd|token|secret|api_?key|access_?key|auth|bearer|credential)"
 SAMPLE_PATH = r"(?i)(test|example|sample|mock|fixture|doc)"
+# key=value in a word; a sign that a word ends with; a value's quotes, brackets and closing marks.
+ASSIGNED = r"""^[^\s=:]*[A-Za-z][\w.\-]*["'\])]*(?::=|=>|=|:(?!//))(.+)$"""
+SIGN = r"""(?:=|:|=>|:=)$"""
+KEY_END = KEY_WORDS + r"""[\w.\-]*["'\])]*(?:=|:|=>|:=)?$"""
+VALUE = r"""^["'`({\[<]*(.*?)(?:["'`]+[)}\]>,;.]*|[)}\]>,;.]+)?$"""
 FEATURES = ["f_length", "f_lower", "f_upper", "f_digit", "f_mark", "f_hex", "f_lower_digit", "f_digit_lower",
             "f_upper_digit", "f_digit_upper", "f_case", "f_distinct", "f_coverage", "f_path_depth", "f_path_sample",
             "f_path_digits", "f_key_word", "f_assigned", "f_quoted", "f_before", "f_after", "f_at", "f_dots"]
@@ -47,8 +55,17 @@ FEATURES = ["f_length", "f_lower", "f_upper", "f_digit", "f_mark", "f_hex", "f_l
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """One row per candidate: doc_id, path, start, candidate and the words around it."""
     words = F.split(F.col("_text"), r"(?<=\s)(?=\S)")  # each with the white space after it
+    mixed = lambda c: c.rlike("[0-9]") | (c.rlike("[a-z]") & c.rlike("[A-Z]"))
+    bare = lambda k: F.coalesce(F.regexp_replace(F.get(F.col("_w"), k), r"\s+$", ""), F.lit(""))
+
+    def valued(i: Column) -> Column:
+        """The word before is a key word with a sign, or a sign after a key word, or the key word itself."""
+        one, two = bare(i - 1), bare(i - 2)
+        return one.rlike(KEY_END) | (one.rlike("^" + SIGN) & two.rlike(KEY_END))
+
     found = F.filter(F.transform(F.col("_w"), lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                     lambda x: (F.length(x.w) >= MIN_LENGTH) & x.w.rlike(RUN) & x.w.rlike("[0-9]"))
+                     lambda x: (F.length(x.w) >= MIN_VALUE) & (
+                         (x.w.rlike(RUN) & mixed(x.w)) | F.rtrim(x.w).rlike(ASSIGNED) | valued(x.i)))
     near = lambda k: F.coalesce(F.trim(F.get(F.col("_w"), F.col("x.i") + k)), F.lit(""))
     path = F.col(path_col).cast("string") if path_col else F.lit("")
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(path, F.lit("")).alias("path"),
@@ -60,13 +77,21 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                 lambda n, w: n + F.char_length(w)).alias("_at"),
                     F.rtrim(F.col("x.w")).alias("word"), near(-2).alias("before2"), near(-1).alias("before"),
                     near(1).alias("after"))
-            .select("*", F.explode(F.regexp_extract_all("word", F.lit(f"({RUN})"), F.lit(1))).alias("_run")))
-    # In key=value the value is the candidate, unless nothing follows the sign.
-    value = F.regexp_extract("_run", r"^[A-Za-z_.\-]+=(.{8,})$", 1)
-    rows = rows.withColumn("candidate", F.when(value != "", value).otherwise(F.col("_run")))
+            .withColumn("_given", F.regexp_extract("word", ASSIGNED, 1)))
+    after_key = F.col("before").rlike(KEY_END) | (F.col("before").rlike("^" + SIGN) & F.col("before2").rlike(KEY_END))
+    # After a key word the word is the value, unless it names a key word itself.
+    named = F.col("word").rlike(KEY_WORDS + r"""[\w.\-]*["'\])]*[=:]""")
+    whole = (F.when((F.col("_given") != "") & (named | ~after_key), F.col("_given"))
+             .when(after_key, F.col("word")).otherwise(F.lit("")))
+    rows = rows.withColumn("_value", F.regexp_extract(whole, VALUE, 1))
+    # In key=value the value is the candidate, unless nothing follows the sign; a run within the value is the value's.
+    runs = F.filter(F.regexp_extract_all("word", F.lit(f"({RUN})"), F.lit(1)), mixed)
+    runs = F.transform(runs, lambda r: F.coalesce(F.nullif(F.regexp_extract(r, r"^[A-Za-z_.\-]+=(.{8,})$", 1), F.lit("")), r))
+    own = F.filter(runs, lambda r: mixed(r) & ~F.contains(F.col("_value"), r))
+    value = F.when(F.length("_value") >= MIN_VALUE, F.array("_value")).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("candidate", F.explode(F.concat(value, own)))
     start = F.col("_at") + F.instr("word", F.col("candidate")) - 1
-    return (rows.where(F.col("candidate").rlike("[0-9]"))
-            .select("doc_id", "path", start.cast("long").alias("start"), "candidate", "word", "before2", "before", "after"))
+    return rows.select("doc_id", "path", start.cast("long").alias("start"), "candidate", "word", "before2", "before", "after")
 
 
 def dictionary(spark: SparkSession, path: str = DEFAULT_DICTIONARY) -> DataFrame:
