@@ -11,6 +11,7 @@ PLANTED = {
     "password = pass$word#2024!x": "pass$word#2024!x",
     "secret: 'a*b%c!d:e'": "a*b%c!d:e",
     "see QwErTyUiOpAsDfGhJkLz there": "QwErTyUiOpAsDfGhJkLz",
+    "pwd: 7a!": "7a!",
     "key=0123456789abcdef0123": "0123456789abcdef0123",
 }
 
@@ -23,3 +24,8 @@ def test_secrets_of_all_forms_are_candidates(make):
         by_doc.setdefault(r.doc_id, []).append(r.candidate)
         assert texts[r.doc_id][r.start:r.start + len(r.candidate)] == r.candidate
     assert by_doc == {k: [v] for k, v in enumerate(PLANTED.values())}
+
+
+def test_short_texts(make):
+    found = secret_scan.candidates(make([(1, "pwd=a1b2c3"), (2, "pin"), (3, "token ="), (4, "")])).collect()
+    assert [(r.doc_id, r.start, r.candidate) for r in found] == [(1, 4, "a1b2c3")]

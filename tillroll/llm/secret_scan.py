@@ -3,7 +3,7 @@ Spark ML only).
 
 Candidates are runs of key-like characters of at least MIN_LENGTH with a digit or both
 cases within a text's words, and whole values: what is assigned (``=`` or ``:``) in a word that
-begins with a name, or follows a key word and such a sign, from MIN_VALUE characters on, without
+begins with a name, or follows a key word and such a sign, of any length, without
 closing quotes and brackets.  Each has features of its shape (length, character classes and the transitions
 between them, distinct characters), the share of it that a dictionary's words cover, the
 path the text comes from, and its neighbouring words.  A random forest, trained on labelled
@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import written
 
 MIN_LENGTH = 12
-MIN_VALUE = 6
 MAX_LABELLED = 20_000
 DEFAULT_DICTIONARY = "/opt/tokenizers/word_bpe_49k.json"
 DICTIONARY_LIMIT = 200_000
@@ -64,13 +63,13 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return one.rlike(KEY_END) | (one.rlike("^" + SIGN) & two.rlike(KEY_END))
 
     found = F.filter(F.transform(F.col("_w"), lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                     lambda x: (F.length(x.w) >= MIN_VALUE) & (
+                     lambda x: (F.length(x.w) > 0) & (
                          (x.w.rlike(RUN) & mixed(x.w)) | F.rtrim(x.w).rlike(ASSIGNED) | valued(x.i)))
     near = lambda k: F.coalesce(F.trim(F.get(F.col("_w"), F.col("x.i") + k)), F.lit(""))
     path = F.col(path_col).cast("string") if path_col else F.lit("")
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(path, F.lit("")).alias("path"),
                         F.col(text_col).cast("string").alias("_text"))
-            .where(F.length("_text") >= MIN_LENGTH).select("doc_id", "path", words.alias("_w"))
+            .where(F.length("_text") > 0).select("doc_id", "path", words.alias("_w"))
             .select("doc_id", "path", "_w", F.explode(found).alias("x"))
             .select("doc_id", "path",
                     F.aggregate(F.slice(F.col("_w"), F.lit(1), F.col("x.i")), F.lit(0).cast("long"),
@@ -88,7 +87,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = F.filter(F.regexp_extract_all("word", F.lit(f"({RUN})"), F.lit(1)), mixed)
     runs = F.transform(runs, lambda r: F.coalesce(F.nullif(F.regexp_extract(r, r"^[A-Za-z_.\-]+=(.{8,})$", 1), F.lit("")), r))
     own = F.filter(runs, lambda r: mixed(r) & ~F.contains(F.col("_value"), r))
-    value = F.when(F.length("_value") >= MIN_VALUE, F.array("_value")).otherwise(F.array().cast("array<string>"))
+    value = F.when((F.length("_value") > 0) & ~F.col("_value").rlike("^" + SIGN), F.array("_value")).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("candidate", F.explode(F.concat(value, own)))
     start = F.col("_at") + F.instr("word", F.col("candidate")) - 1
     return rows.select("doc_id", "path", start.cast("long").alias("start"), "candidate", "word", "before2", "before", "after")
