@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontaminate, fm_quality, line_dedup, ngram_join, secret_scan, sentencepiece_viterbi, suffix_dedup
+from tillroll.llm import (decontaminate, fm_quality, hard_negatives, line_dedup, ngram_join, secret_scan, sentencepiece_viterbi,
+                          suffix_dedup)
 from tillroll.llm.common import ship_package
 from tillroll.llm.fingerprint import edit_likeness
 from tillroll.llm.token_counts import token_counts
@@ -57,6 +58,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(_read(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_fm_quality": op2_fm_quality,
@@ -68,8 +73,10 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_fingerprints": op10_fingerprints,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op9_decontaminate": decontaminate.ORACLE_SQL,
+    "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
