@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import (conversation_repair, decontaminate, fm_quality, hard_negatives, line_dedup, ngram_join, secret_scan,
-                          sentencepiece_viterbi, suffix_dedup)
+from tillroll.llm import (conversation_repair, decontaminate, fm_quality, hard_negatives, language_id, line_dedup, ngram_join,
+                          secret_scan, sentencepiece_viterbi, suffix_dedup)
 from tillroll.llm.common import ship_package
 from tillroll.llm.fingerprint import edit_likeness
 from tillroll.llm.token_counts import token_counts
@@ -58,6 +58,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(_read(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(_read(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.damage_report(_read(spark, sf_dir, "conversations"))
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_fingerprints": op10_fingerprints,
+    "op11_language_id": op11_language_id,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_hard_negatives": op13_hard_negatives,
 }
