@@ -67,3 +67,40 @@ def test_an_insertion_changes_few_segments(make):
     pairs = make([(2 * k + j, t) for k, p in enumerate(zip(texts, edited)) for j, t in enumerate(p)])
     near = {r.doc_id: r.near_next for r in fingerprint.edit_likeness(pairs).collect()}
     assert all(near[2 * k] > 0.6 for k in range(len(texts))), near
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзиклмнопрстуфхцчшыэюя", "가나다라마바사아자차카타파하고노도로모보소오조초코토포호", "abcdefghij"])
+@pytest.mark.parametrize("gap", [" ", ""])
+def test_an_insertion_in_any_script_is_local(make, letters, gap):
+    rng = random.Random(3)
+    text = gap.join("".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(600))
+    edited = text[:900] + rng.choice(letters) + text[900:]
+    near = {r.doc_id: r.near_next for r in fingerprint.edit_likeness(make([(1, text), (2, edited)])).collect()}
+    assert near[1] > 0.9
+
+
+def test_long_texts_take_linear_time_and_counters_do_not_overflow(make):
+    import time
+    seconds = []
+    for n in (150_000, 600_000):
+        t0 = time.perf_counter()
+        (a,) = vectors(make, ["x " * n + "y" * n])
+        seconds.append(time.perf_counter() - t0)
+        assert a[0] == 2 * n - 2  # words, then runs of characters, three at a time
+        lanes = [v >> s & 0xFFFFFFFF for v in a[2 + fingerprint.N_EXACT:-fingerprint.N_SPACE] for s in (0, 32)]
+        assert max(lanes) <= a[0] and max(lanes) > n - 10
+    assert seconds[1] < 12 * max(seconds[0], 1)
+
+
+def test_edits_at_seams(make):
+    """Texts whose halves end at, before and after line feeds, marks and spaces."""
+    import hashlib
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("ab \n.") for _ in range(rng.randint(0, 14))) for _ in range(120)]
+    got = {r.doc_id: r for r in fingerprint.edit_likeness(make(list(enumerate(texts)))).collect()}
+    edited = [t[:len(t) - len(t) // 2] + texts[(k + 1) % len(texts)][:len(t) // 2] for k, t in enumerate(texts)]
+    plain = {r.doc_id: r.fingerprint for r in make(list(enumerate(edited))).transform(
+        lambda d: fingerprint.fingerprints(d, ["doc_id"], "text")).select("doc_id", fingerprint.as_text(F.col("vector")).alias("fingerprint")).collect()}
+    for k, t in enumerate(edited):
+        assert got[k].edited_fingerprint == plain[k]
+        assert got[k].edited_sha256 == hashlib.sha256(t.encode()).hexdigest()
