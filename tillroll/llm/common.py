@@ -64,29 +64,51 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _bit(key: str) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(BITMAP_BITS)) + 1
+def fresh(columns: list[str], *wanted: str) -> list[str]:
+    """The wanted names, with underscores in front until the columns have none of them (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def column(name: str) -> Column:
+    """The column of that very name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named by their places: ``mapInArrow`` does not take every name."""
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+
+def _bit(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
 
 
-def mark_probable(docs: DataFrame, ids: DataFrame, key: str = "_id") -> DataFrame:
-    """``docs`` with ``_hit``: false means that the key is surely not in ``ids``.
+def mark_probable(docs: DataFrame, ids: DataFrame, key: str = "_id", hit: str = "_hit", bits: int = BITMAP_BITS) -> DataFrame:
+    """``docs`` with the column ``hit``: false means that the key is surely not in ``ids``.
 
-    The ids go into a bitmap of a fixed number of bits, broadcast as at most
-    BITMAP_BITS / 32768 rows of 4 KB whatever the input; more ids only mean more rows
+    The ids (in a column of the key's name) go into a bitmap of a fixed number of bits, broadcast
+    as at most bits / 32768 rows of 4 KB whatever the input; more ids only mean more rows
     that hit by chance, which the exact join after it sorts out.  It keeps the texts of
-    rows that nothing concerns out of that join's shuffle.
+    rows that nothing concerns out of that join's shuffle.  All columns of ``docs`` are kept as
+    they are; ``hit`` must be a new name (``fresh``).
     """
-    maps = (ids.select(_bit(key).alias("_b"))
-            .groupBy(F.bitmap_bucket_number("_b").alias("_bn"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_b")).alias("_bm")))
-    at = F.bitmap_bit_position(_bit(key))
-    byte = F.conv(F.hex(F.substring(F.col("_bm"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    at_row, bucket, bitmap = fresh([*docs.columns, hit], "_bno", "_bn", "_bm")
+    maps = (ids.select(_bit(column(key), bits).alias(at_row))
+            .groupBy(F.bitmap_bucket_number(at_row).alias(bucket))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at_row)).alias(bitmap)))
+    at = F.bitmap_bit_position(_bit(column(key), bits))
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.pow(F.lit(2), F.pmod(at, F.lit(8))).cast("int")
-    hit = F.coalesce(byte.bitwiseAND(bit) != 0, F.lit(False))
-    cols = docs.columns
-    return (docs.withColumn("_bno", F.bitmap_bucket_number(_bit(key)))
-            .join(F.broadcast(maps), F.col("_bno") == F.col("_bn"), "left")
-            .select(*cols, hit.alias("_hit")))
+    found = F.coalesce(byte.bitwiseAND(bit) != 0, F.lit(False))
+    return (docs.withColumn(at_row, F.bitmap_bucket_number(_bit(column(key), bits)))
+            .join(F.broadcast(maps), F.col(at_row) == F.col(bucket), "left")
+            .select(*map(column, docs.columns), found.alias(hit)))
 
 
 # ---------------------------------------------------------------- vectorised hashing
@@ -103,6 +125,7 @@ def powers(base: int, n: int) -> np.ndarray:
 
 
 _POW = powers(MUL, _TABLE)
+_POW_OF_TABLES = powers(pow(MUL, _TABLE, 1 << 64), 1 << 15)  # enough for 2**31 bytes, more than a text has
 # Bytes of white space: 0x20 and 0x09-0x0D; A-Z map to a-z.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -135,7 +158,10 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     pos = np.flatnonzero(inside)
     word = np.cumsum(start[pos]) - 1
-    part = (_LOWER[data[pos]].astype(np.uint64) + _U(1)) * _POW[(pos - at[word]) & (_TABLE - 1)]
+    place = pos - at[word]
+    part = (_LOWER[data[pos]].astype(np.uint64) + _U(1)) * _POW[place & (_TABLE - 1)]
+    if place.max() >= _TABLE:
+        part *= _POW_OF_TABLES[place >> 16]
     first = np.searchsorted(pos, at)
     return mix(np.add.reduceat(part, first)), np.searchsorted(offsets, at, side="right") - 1
 

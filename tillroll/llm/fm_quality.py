@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import text_chunks, word_hashes, written
+from tillroll.llm.common import positional, text_chunks, word_hashes, written
 
 WORDS = 1 << 14
 RANK = 6
@@ -251,7 +251,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     docs = docs.drop(score_col)
     schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
     _, text, n_chars = _inputs(docs, id_col, text_col, chars_col)
-    rows = docs.select("*", text.alias("_fm_text"), n_chars.alias("_fm_chars"))
+    rows = positional(docs.select("*", text.alias("_fm_text"), n_chars.alias("_fm_chars")))
     at, names = len(docs.columns), schema.names
     return rows.mapInArrow(lambda it: _scored(it, state, at, names), schema)
 

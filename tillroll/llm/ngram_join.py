@@ -5,34 +5,33 @@ between white space; fewer words: the whole sequence as one).  Two documents lin
 100 * |intersection| >= percent * |union|, that is when their Jaccard distance, a metric, is
 at most r.  The classes are the connected components of the links.
 
-Sets of unrelated texts all are at distance 1, so pivots drawn from the whole table would
-separate nothing.  Regions are therefore formed where documents can be near at all:
-
 1. Documents with equal sets become one (their class is theirs).
-2. A set's signature is its |x| - ceil(percent/100 * |x|) + 1 first shingles, in one order
-   for all sets that has very frequent shingles last: linked sets share one at least.  The
-   documents with a shingle in their signature are a region, and its pivot is one of them.
-   A document is in as many regions as it could have links in: these are the copies of
-   boundary documents.
-3. Every document is first compared with the pivot that most of its regions share, its
-   Voronoi cell, and then with those pivots of its other regions that are in another class
-   by then; so in each region all documents are compared with its pivot, or in one class
-   with it.  Those linked to a pivot are its core.  A pair of others is compared only if it
-   may link: if its documents are in different classes so far, and by the triangle
-   inequality their distances to the pivot differ by at most r.  Regions with such pairs go
-   on recursively without the pivots they have used, up to PIVOTS new ones a round, those of
-   the smallest classes first; a region whose documents are all in one class is done.  No
-   region emits all its pairs.  To be compared, the texts of a cell meet its pivot's text
-   in one task, or in one task for each CELL_TEXTS of them.
-4. Distances to virtual pivots (the empty set, within each of a number of parts of all
-   shingles) are the numbers of a set's shingles in these parts.  They bound the distance
-   of a pair from below, exactly: first with CELLS parts for all documents, then, for pairs
-   that pass, with as many as a quarter of the set's size, which tells unrelated long texts
-   apart too.  Only pairs that pass both are compared by their sets.
-
-Every pair that can link is compared, or is in one class already: the classes are exact.
-What is frequent is found by counts within tasks; it only orders shingles, the same way for
-all documents, and so changes no result.
+2. Regions.  Unrelated texts all are at distance 1, so the first pivots are sets of one shingle: a
+   document is nearest to those that it contains, at 1 - 1/|x|, all alike.  It is copied to the
+   regions of the |x| - ceil(percent/100 * |x|) + 1 first of them, in one order for all documents
+   that has very frequent shingles last; documents that link share one of these at least.  Most
+   regions hold one document and are dropped at once.  Of the regions that two documents share only
+   the first counts, so a region all of whose documents also share the same region before it goes,
+   and in other regions pairs with the same region before it are left out: a passage that many
+   documents have is one region, not one for each of its shingles.
+3. Cells.  A region's first pivot is one of its documents.  Each document is compared with the
+   pivot that most of its regions share, its nearest by the number of shared shingles, and then with
+   those pivots of its other regions that are in another class by then.  Documents linked to a pivot are in
+   its class; they need not be compared with each other.
+4. Regions with several classes go on recursively.  While a region has more than SMALL documents
+   outside its largest class, about PIVOTS of them are the next pivots: they meet all documents of the
+   region and then leave it, and the classes that they join shrink what is left.  Small regions, and those that the
+   last pivots did not shrink by a fifth (SHRINK), end with all documents outside of the largest class as pivots.
+5. Windows.  A pivot and a document of a region are compared by their sets only if all that is
+   known of them leaves a link possible: other classes, sizes within the ratio, distances to the
+   region's first pivot that differ by at most r (triangle inequality), and the
+   distance to virtual pivots: the numbers of a set's shingles in each of 64 to |x| / 4 parts of all
+   shingles differ in sum by no more than the symmetric difference of the two sets.
+
+In 4 and 5 a task holds at most about PIVOT_BLOCK pivots of a region and streams about CHUNK documents past
+them, whatever the region's size; what it sends on are pairs within the windows.  Every pair that can link is
+compared, or is in one class already: the classes are exact.  What is frequent is found by counts
+within tasks; it only orders shingles, the same way for all documents, and so changes no result.
 
 Results for odd input: see ``common.keyed``; a document without words has an empty set and
 links with nothing, not even with another one; an empty table gives no rows.
@@ -44,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import NULL_ID, keyed, mark_probable, mix, public_id, shingle_sets, text_chunks, written
@@ -52,12 +51,14 @@ from tillroll.llm.common import NULL_ID, keyed, mark_probable, mix, public_id, s
 PERCENT = 75
 WIDTH = 5
 CELLS = 64
-PIVOTS = 128
+PIVOTS, SMALL, SHRINK = 16, 64, 0.8
+PIVOT_BLOCK, CHUNK = 64, 4096
 SALTS = 16
-CELL_TEXTS = 256
+CELL_BYTES = 1 << 24    # of texts that meet a pivot in one task
 FREQUENT = 50_000       # shingles put last, at most
-COUNTED_DOCS = 4096     # documents whose shingles a task counts at once
+COUNTED_SHINGLES = 1 << 21  # what a task counts at once
 FREQUENT_SHARE = 0.0025
+SHARED_BITS = 1 << 25   # of the bitmap of shared shingles: 4 MB
 _U = np.uint64
 
 
@@ -92,9 +93,10 @@ def least_difference(x: bytes, y: bytes) -> int:
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: size, two sums that identify the set, cells.  And shingles that many documents
     of the task have, as rows without cells: hash and count."""
-    names = ["_id", "n", "h1", "h2", "cells", "fine"]
-    kinds = [pa.int64()] * 4 + [pa.binary()] * 2
+    names = ["_id", "n", "h1", "h2", "fine"]
+    kinds = [pa.int64()] * 4 + [pa.binary()]
     held: list[np.ndarray] = []
+    total = 0
 
     def frequent() -> pa.RecordBatch:
         h, count = np.unique(np.concatenate(held), return_counts=True)
@@ -106,13 +108,13 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[tuple] = []
         for doc, s in _sets(batch):
-            cells = np.minimum(np.bincount((s >> _U(58)).astype(np.int64), minlength=CELLS), 65535).astype(np.uint16)
             out.append((doc, len(s), int(mix(s).sum(dtype=_U).astype(np.int64)),
-                        int(mix(s ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U).astype(np.int64)), cells.tobytes(), fine_cells(s)))
+                        int(mix(s ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U).astype(np.int64)), fine_cells(s)))
             held.append(s)
-            if len(held) >= COUNTED_DOCS:
+            total += len(s)
+            if total >= COUNTED_SHINGLES:
                 yield frequent()
-                held = []
+                held, total = [], 0
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
     if held:
@@ -141,31 +143,104 @@ def _signatures(batches: Iterator[pa.RecordBatch], frequent, percent: int) -> It
                                           pa.array(np.repeat(np.array(ids, np.int64), sizes))], names=["sig", "_id"])
 
 
-def _cell_array(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, CELLS).astype(np.int32)
+# ---------------------------------------------------------------- windows
 
+def folded(fine: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The fine cells added up to CELLS numbers each, and whether none of them was cut at 255."""
+    out, whole = np.zeros((len(fine), CELLS), np.int32), np.ones(len(fine), bool)
+    by_size: dict[int, list[int]] = {}
+    for k, x in enumerate(fine):
+        by_size.setdefault(len(x), []).append(k)
+    for size, at in by_size.items():
+        m = np.frombuffer(b"".join(fine[k] for k in at), np.uint8).reshape(len(at), CELLS, size // CELLS)
+        whole[at] = m.max((1, 2)) < 255
+        out[at] = m.sum(2, dtype=np.int32)
+    return out, whole
 
-def _may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """(a, b, n of a, n of b, cells of a, of b): the pairs whose distance bound does not exceed r.
 
-    With s = |x| + |y| and d = |x symmetric difference y| a link means
-    (100 + percent) * d <= (100 - percent) * s, and the cells' differences add up to d at most.
-    """
-    for b in batches:
-        if b.num_rows:
-            least = np.abs(_cell_array(b.column(4)) - _cell_array(b.column(5))).sum(1)
-            na, nb = (b.column(k).to_numpy() for k in (2, 3))
-            least = np.maximum(least, np.abs(na - nb))
-            b = b.filter(pa.array((100 + percent) * least <= (100 - percent) * (na + nb)))
-        yield b.select([0, 1])
+def sizes_may_link(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
 
 
-def _may_link_finely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """(a, b, n of a, n of b, fine cells of a, of b): as _may_link."""
+def differences_may_link(least: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """With s = |x| + |y| and d = |x symmetric difference y| a link means (100 + percent) * d <= (100 - percent) * s."""
+    return (100 + percent) * least <= (100 - percent) * (na + nb)
+
+
+def _pairs_may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, n of a, n of b, fine cells of a, of b): the pairs whose windows leave a link possible."""
     for b in batches:
-        total = b.column(2).to_numpy() + b.column(3).to_numpy()
-        least = np.array([least_difference(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())], np.int64)
-        yield b.filter(pa.array((100 + percent) * least <= (100 - percent) * total)).select([0, 1])
+        na, nb = (b.column(k).to_numpy() for k in (2, 3))
+        xs, ys = b.column(4).to_pylist(), b.column(5).to_pylist()
+        x, x_whole = folded(xs)
+        y, y_whole = folded(ys)
+        near = differences_may_link(np.where(x_whole & y_whole, np.abs(x - y).sum(1), 0), na, nb, percent) & sizes_may_link(na, nb, percent)
+        for k in np.flatnonzero(near).tolist():
+            near[k] = differences_may_link(least_difference(xs[k], ys[k]), na[k], nb[k], percent)
+        yield b.filter(pa.array(near)).select([0, 1])
+
+
+class _Members:
+    """Documents of a region: ids, classes, the region before, distances to the first pivot, sizes and cells."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        self.ids, self.classes = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+        before = rows.column(2)
+        self.has_before = ~before.is_null().to_numpy(zero_copy_only=False)
+        self.before = before.fill_null(0).to_numpy(zero_copy_only=False)
+        self.d = rows.column(3).cast(pa.float64()).to_numpy(zero_copy_only=False)  # NaN: not known
+        self.n = rows.column(4).to_numpy()
+        self.fine = rows.column(5).to_pylist()
+        self.chosen = rows.column(6).to_numpy(zero_copy_only=False)
+        self.cells, self.whole = folded(self.fine)
+
+
+def windows(p: _Members, x: _Members, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pivot, document) places of the pairs that may link."""
+    ok = p.classes[:, None] != x.classes
+    ok &= ~((p.before[:, None] == x.before) & p.has_before[:, None] & x.has_before)
+    ok &= ~x.chosen | (p.ids[:, None] < x.ids)     # two pivots meet twice
+    ok &= sizes_may_link(p.n[:, None], x.n, percent)
+    with np.errstate(invalid="ignore"):
+        ok &= ~(np.abs(p.d[:, None] - x.d) > 1 - percent / 100 + 1e-9)
+    i, j = np.nonzero(ok)
+    keep = np.zeros(len(i), bool)
+    for at in range(0, len(i), 8192):
+        a, b = i[at:at + 8192], j[at:at + 8192]
+        least = np.where(p.whole[a] & x.whole[b], np.abs(p.cells[a] - x.cells[b]).sum(1), 0)
+        keep[at:at + 8192] = differences_may_link(least, p.n[a], x.n[b], percent)
+    i, j = i[keep], j[keep]
+    keep = np.array([differences_may_link(least_difference(p.fine[a], x.fine[b]), p.n[a], x.n[b], percent)
+                     for a, b in zip(i.tolist(), j.tolist())], bool)
+    return i[keep], j[keep]
+
+
+def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (region, block, chunk), in these the pivots before the documents: pairs within the windows."""
+    place, held, pivots = None, [], None
+    for batch in batches:
+        where = np.stack([batch.column(k).to_numpy() for k in range(4)], 1)
+        edges = np.concatenate(([0], np.flatnonzero((where[1:] != where[:-1]).any(1)) + 1, [len(where)]))
+        out = [np.zeros((2, 0), np.int64)]
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if lo == hi:
+                continue
+            if tuple(where[lo, :3]) != place:
+                place, held, pivots = tuple(where[lo, :3]), [], None
+            rows = batch.slice(lo, hi - lo).select(list(range(4, 11)))
+            if where[lo, 3] == 0:
+                held.append(rows)
+                continue
+            if not held:
+                continue
+            if pivots is None:
+                pivots = _Members(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            for at in range(0, rows.num_rows, 1024):
+                x = _Members(rows.slice(at, 1024))
+                i, j = windows(pivots, x, percent)
+                out.append(np.stack([np.minimum(pivots.ids[i], x.ids[j]), np.maximum(pivots.ids[i], x.ids[j])]))
+        a, b = np.concatenate(out, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,10 +264,9 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Join:
     def __init__(self, rows: DataFrame, percent: int):
         self.rows, self.percent, self.spark = rows, percent, rows.sparkSession
-        made = written(self.spark, rows.mapInArrow(_summaries, "_id long, n long, h1 long, h2 long, cells binary, fine binary"), "summaries")
-        self.docs = made.where("cells IS NOT NULL").drop("fine")
-        self.fine = made.where("cells IS NOT NULL").select("_id", "n", "fine")
-        often = (made.where("cells IS NULL").groupBy("_id").agg(F.sum("n").alias("n"))
+        made = written(self.spark, rows.mapInArrow(_summaries, "_id long, n long, h1 long, h2 long, fine binary"), "summaries")
+        self.docs = made.where("fine IS NOT NULL")
+        often = (made.where("fine IS NULL").groupBy("_id").agg(F.sum("n").alias("n"))
                  .orderBy(F.desc("n"), "_id").limit(FREQUENT).select("_id").collect())
         self.frequent = self.spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in often], np.int64).astype(_U)))
 
@@ -205,96 +279,128 @@ class _Join:
         return salted.join(first, ["n", "h1", "h2", "salt"]).where("_id > kept").select("_id", "kept")
 
     def regions(self, copies: DataFrame) -> DataFrame:
-        """``sig``, ``_id``, ``pivot``, ``more`` (a third document) of regions with two documents or more,
-        without the pivots' own rows."""
+        """``sig``, ``_id``, ``pivot`` and ``before`` (the document's region before this) of regions that count."""
         marked = mark_probable(self.rows, copies.select("_id"))
         rest = marked.where("NOT _hit").drop("_hit").unionByName(
             marked.where("_hit").drop("_hit").join(copies.select("_id"), "_id", "left_anti"))
         frequent, percent = self.frequent, self.percent
         sigs = rest.mapInArrow(lambda it: _signatures(it, frequent, percent), "sig long, _id long")
-        over = "OVER (PARTITION BY sig ORDER BY _id)"
-        return sigs.select("sig", "_id", F.expr(f"first(_id) {over}").alias("pivot"),
-                           F.expr(f"lag(_id, 2) {over} IS NOT NULL OR lead(_id) {over} IS NOT NULL").alias("more")
-                           ).where("_id != pivot")
-
-    def may_link(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The distinct pairs (a, b) that the distance bounds let pass."""
-        of = lambda k: self.docs.select(F.col("_id").alias(k), F.col("n").alias(f"n{k}"), F.col("cells").alias(f"c{k}"))
+        shared = written(self.spark, sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig"), "shared")
+        rows = mark_probable(sigs, shared, "sig", bits=SHARED_BITS).where("_hit").drop("_hit").join(shared, "sig")
+        before = F.lag("sig").over(Window.partitionBy("_id").orderBy("sig"))  # a document's own rows
+        rows = written(self.spark, rows.withColumn("before", before), "shared-regions")
+        first = rows.groupBy("sig").agg(F.min("_id").alias("pivot"), F.min("before").alias("lo"), F.max("before").alias("hi"),
+                                        F.count("before").alias("some"), F.count(F.lit(1)).alias("c"))
+        first = first.where(~((F.col("some") == F.col("c")) & (F.col("lo") == F.col("hi")))).select("sig", "pivot")
+        return rows.join(first, "sig")
+
+    def may_link(self, pairs: DataFrame) -> DataFrame:
+        """The distinct pairs (a, b) that the windows let pass."""
+        of = lambda k: self.docs.select(F.col("_id").alias(k), F.col("n").alias(f"n{k}"), F.col("fine").alias(f"f{k}"))
         percent = self.percent
-        near = (pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
-                .mapInArrow(lambda it: _may_link(it, percent), "a long, b long"))
-        near = written(self.spark, near, f"{name}-coarse")
-
-        def fine(k: str) -> DataFrame:
-            some = mark_probable(self.fine, near.select(F.col(k).alias("_id"))).where("_hit")
-            return some.select(F.col("_id").alias(k), F.col("n").alias(f"n{k}"), F.col("fine").alias(f"f{k}"))
-        return (near.join(fine("a"), "a").join(fine("b"), "b").select("a", "b", "na", "nb", "fa", "fb")
-                .mapInArrow(lambda it: _may_link_finely(it, percent), "a long, b long"))
+        return (pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "fa", "fb")
+                .mapInArrow(lambda it: _pairs_may_link(it, percent), "a long, b long"))
 
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
         """Shared and united shingles of the pairs (a written table of distinct a, b)."""
-        sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m"))
-        part = F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / CELL_TEXTS)).cast("int").alias("part")
-        dealt = written(self.spark, pairs.join(sizes, "a").select("a", "b", part), f"{name}-dealt")
+        marked = lambda key: mark_probable(self.rows, pairs.select(F.col(key).alias("_id"))).where("_hit")
+        sizes = marked("b").select(F.col("_id").alias("b"), F.octet_length("_text").cast("long").alias("size"))
+        pairs = written(self.spark, pairs.join(sizes, "b"), f"{name}-sizes")
+        cells = pairs.groupBy("a").agg(F.sum("size").alias("m"))
+        part = F.pmod(F.xxhash64("b"), F.ceil((F.col("m") + 1) / CELL_BYTES)).cast("int").alias("part")
+        dealt = written(self.spark, pairs.join(cells, "a").select("a", "b", part), f"{name}-dealt")
 
         def with_text(rows: DataFrame, key: str) -> DataFrame:
-            ids = rows.select(F.col(key).alias("_id"))
-            texts = mark_probable(self.rows, ids).where("_hit").select(F.col("_id").alias(key), "_text")
-            return rows.join(texts, key)
+            return rows.join(marked(key).select(F.col("_id").alias(key), "_text"), key)
         others = with_text(dealt, "b").select("a", "part", "b", "_text")
         pivots = with_text(dealt.select("a", "part").distinct(), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "_text")
-        cells = others.unionByName(pivots).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-        return written(self.spark, cells.mapInArrow(_compared, "a long, b long, shared long, either long"), name)
+        met = others.unionByName(pivots).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+        return written(self.spark, met.mapInArrow(_compared, "a long, b long, shared long, either long"), name)
+
+    def links(self, distances: DataFrame) -> DataFrame:
+        return distances.where(F.col("shared") * 100 >= F.col("either") * self.percent).select("a", "b")
 
     def run(self) -> tuple[DataFrame, DataFrame]:
         """Copies (``_id``, ``kept``) and the class of each document in a link (``_id``, ``class``)."""
         copies = written(self.spark, self.copies(), "copies")
         regions = written(self.spark, self.regions(copies), "regions")
-        linked = F.col("shared") * 100 >= F.col("either") * self.percent
-
-        def classes_of(distances: DataFrame) -> DataFrame:
-            return components(distances.where(linked).select("a", "b"))
-
-        counted = regions.groupBy(F.col("pivot").alias("a"), F.col("_id").alias("b")).agg(F.count(F.lit(1)).alias("c"))
+        counted = (regions.where("_id != pivot").groupBy(F.col("pivot").alias("a"), F.col("_id").alias("b"))
+                   .agg(F.count(F.lit(1)).alias("c")))
         counted = written(self.spark, counted, "pivot-counts")
-        near = written(self.spark, self.may_link(counted.select("a", "b"), "pivots").join(counted, ["a", "b"]), "pivots")
+        near = written(self.spark, self.may_link(counted.select("a", "b")).join(counted, ["a", "b"]), "pivots")
         best = near.groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
         best = written(self.spark, best, "cells")
         distances = self.compare(best, "distances0")
-        classes = classes_of(distances)
+        classes = components(self.links(distances))
         of = lambda k: classes.select(F.col("_id").alias(k), F.col("class").alias(f"class{k}"))
         rest = (near.select("a", "b").join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
                 .where("coalesce(classa, a) != coalesce(classb, b)").select("a", "b"))
         rest = written(self.spark, rest, "other-pivots")
         if not rest.isEmpty():
-            distances = distances.unionByName(self.compare(rest, "distances1"))
-            classes = classes_of(distances)
-        # Distances to a region's own first pivot, where known.
+            more = self.compare(rest, "distances1")
+            distances = distances.unionByName(more)
+            classes = joined(classes, self.links(more))
+        # Distances to a region's first pivot, where known; the pivot's own is 0, and it has met all others.
         own = distances.select(F.col("a").alias("pivot"), F.col("b").alias("_id"), (1 - F.col("shared") / F.col("either")).alias("d"))
-        left = regions.where("more").join(own, ["pivot", "_id"], "left").select("sig", "_id", "d")
-        r = 1 - self.percent / 100 + 1e-9
+        left = regions.where("_id != pivot").join(own, ["pivot", "_id"], "left").select("sig", "_id", "before", "d")
+        left = left.withColumn("was", F.lit(None).cast("long"))
         k = 1
         while True:
             k += 1
-            open_ = left.join(classes, "_id", "left").select("sig", "_id", "d", F.coalesce("class", "_id").alias("class"))
-            several = open_.groupBy("sig").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("sig")
-            open_ = written(self.spark, open_.join(several, "sig"), f"open{k}")
-            if open_.isEmpty():
+            pairs, left = self.round(left, classes, k)
+            if pairs is None:
                 return copies, classes
-            sizes = open_.groupBy("sig", "class").agg(F.count(F.lit(1)).alias("size"))
-            ranked = written(self.spark, open_.join(sizes, ["sig", "class"]).withColumn(
-                "rank", F.expr("row_number() OVER (PARTITION BY sig ORDER BY size, class, _id)")), f"ranked{k}")
-            pivots = ranked.where(F.col("rank") <= PIVOTS).select(
-                "sig", F.col("_id").alias("p"), F.col("class").alias("pc"), F.col("d").alias("pd"), F.col("rank").alias("pr"))
-            pairs = (ranked.join(pivots, "sig").where("rank > pr AND class != pc")
-                     .where(F.col("d").isNull() | F.col("pd").isNull() | (F.abs(F.col("d") - F.col("pd")) <= r))
-                     .select(F.least("p", "_id").alias("a"), F.greatest("p", "_id").alias("b")).distinct())
-            pairs = pairs.join(distances.select("a", "b"), ["a", "b"], "left_anti")
-            near = written(self.spark, self.may_link(pairs, f"near{k}"), f"near{k}")
-            if not near.isEmpty():
-                distances = distances.unionByName(self.compare(near, f"distances{k}"))
-                classes = classes_of(distances)
-            left = ranked.where(F.col("rank") > PIVOTS).select("sig", "_id", "d")
+            if not pairs.isEmpty():
+                classes = joined(classes, self.links(self.compare(pairs, f"distances{k}")))
+
+    def round(self, left: DataFrame, classes: DataFrame, k: int) -> tuple[DataFrame | None, DataFrame]:
+        """The pairs that the next pivots of the open regions are to be compared with, and what is left after them.
+
+        ``left``: region, document, the document's region before, distance to the region's first pivot, and
+        the number outside of the largest class before the last pivots.
+        """
+        rows = left.join(classes, "_id", "left").withColumn("class", F.coalesce("class", "_id"))
+        sizes = written(self.spark, rows.groupBy("sig", "class").agg(F.count(F.lit(1)).alias("size")), f"classes{k}")
+        open_ = (sizes.groupBy("sig").agg(F.max(F.struct("size", "class")).alias("top"), F.sum("size").alias("m"), F.count(F.lit(1)).alias("c"))
+                 .where("c > 1").select("sig", F.col("top.class").alias("largest"), "m", (F.col("m") - F.col("top.size")).alias("outside")))
+        open_ = written(self.spark, open_, f"open{k}")
+        if open_.isEmpty():
+            return None, left
+        rows = rows.join(open_, "sig")
+        last = (F.col("outside") <= SMALL) | F.coalesce(F.col("outside") > SHRINK * F.col("was"), F.lit(False))
+        turn = F.pmod(F.xxhash64("_id", F.lit(k)), F.ceil(F.col("outside") / PIVOTS)) == 0
+        chosen = (F.col("class") != F.col("largest")) & (last | turn)
+        rows = rows.join(self.docs.select("_id", "n", "fine"), "_id").select(
+            "sig", "_id", "class", "before", "d", "n", "fine", chosen.alias("chosen"), last.alias("last"), "m", "outside")
+        rows = written(self.spark, rows, f"members{k}")
+        payload = ["_id", "class", "before", "d", "n", "fine", "chosen"]
+        # Pivots in blocks, documents in chunks; each block meets each chunk.
+        blocks = F.ceil(F.when(F.col("last"), F.col("outside")).otherwise(PIVOTS) / PIVOT_BLOCK).cast("int")
+        chunks = F.ceil(F.col("m") / CHUNK).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        pivots = rows.where("chosen").select("sig", F.pmod(F.xxhash64("_id", F.lit(-1)), blocks).cast("int").alias("block"), every(chunks).alias("chunk"),
+                                             F.lit(0).alias("kind"), *payload)
+        others = rows.select("sig", every(blocks).alias("block"), F.pmod(F.xxhash64("_id", F.lit(-2)), chunks).cast("int").alias("chunk"),
+                             F.lit(1).alias("kind"), *payload)
+        percent = self.percent
+        met = pivots.unionByName(others).repartition("sig", "block", "chunk").sortWithinPartitions("sig", "block", "chunk", "kind")
+        found = met.mapInArrow(lambda it: _met(it, percent), "a long, b long").distinct()
+        after = rows.where("NOT last AND NOT chosen").select("sig", "_id", "before", "d", F.col("outside").alias("was"))
+        return written(self.spark, found, f"near{k}"), after
+
+
+def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes (of documents in a link) with further links: only the classes that these touch are labelled anew."""
+    of = lambda k: classes.select(F.col("_id").alias(k), F.col("class").alias(f"class{k}"))
+    ends = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+            .select(F.coalesce("classa", "a").alias("a"), F.coalesce("classb", "b").alias("b")).where("a != b").distinct())
+    ends = written(links.sparkSession, ends, "class-links")
+    if ends.isEmpty():
+        return classes
+    roots = components(ends)
+    new = roots.join(classes.select("_id"), "_id", "left_anti").select("_id", F.col("_id").alias("class"))
+    every = classes.unionByName(new).join(roots.select(F.col("_id").alias("class"), F.col("class").alias("root")), "class", "left")
+    return written(links.sparkSession, every.select("_id", F.coalesce("root", "class").alias("class")), "classes")
 
 
 def components(links: DataFrame) -> DataFrame:

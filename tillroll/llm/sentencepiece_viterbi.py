@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.common import positional
+
 MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
@@ -307,7 +309,7 @@ def _with(docs: DataFrame, model_path: str, source: str, run, made: list[T.Struc
     data = _broadcast(docs, model_path)
     schema = T.StructType([*docs.schema.fields, *made])
     at, names = docs.columns.index(source), schema.names
-    return docs.mapInArrow(lambda it: run(it, data, at, names), schema)
+    return positional(docs).mapInArrow(lambda it: run(it, data, at, names), schema)
 
 
 def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, text_col: str = "text", ids_col: str = "token_ids",
