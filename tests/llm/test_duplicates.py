@@ -2,7 +2,7 @@
 
 import hashlib
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import pytest
 
@@ -114,45 +114,30 @@ def test_ngram_join_chains_and_frequent_shingles(make, monkeypatch):
     assert got_by_id(ngram_join.classes(make(rows))) == plain_classes(rows)
 
 
-def plain_lines(rows, min_words=line_dedup.MIN_WORDS, min_key=line_dedup.MIN_KEY_WORDS):
-    first, out = {}, {}
-    for i, t in in_order(rows):
-        seen, links = Counter(), []
-        lines = t.split("\n") if t else []
-        for n, x in enumerate(lines):
-            key = (x, seen[x])
-            seen[x] += 1
-            if key in first:
-                links.append((*first[key], n, len(x.split())))
-            else:
-                first[key] = (i, n)
-        by_doc = defaultdict(list)
-        for doc, theirs, own, words in links:
-            by_doc[doc].append((theirs, own, words))
-        drop = set()
-        for pairs in by_doc.values():
-            if max(p[2] for p in pairs) < min_key:
-                continue
-            pairs.sort(key=lambda p: p[1])
-            # The longest increasing subsequence, by the quadratic method.
-            best = [1] * len(pairs)
-            for b in range(len(pairs)):
-                for a in range(b):
-                    if pairs[a][0] < pairs[b][0]:
-                        best[b] = max(best[b], best[a] + 1)
-            drop_size = max(best)
-            if drop_size == len(pairs):  # all in order: the alignment has no choice
-                block = []
-                for p in [*pairs, (-9, -9, 0)]:
-                    if block and (p[0] != block[-1][0] + 1 or p[1] != block[-1][1] + 1):
-                        if sum(q[2] for q in block) >= min_words:
-                            drop.update(q[1] for q in block)
-                        block = []
-                    block.append(p)
-            else:
-                drop |= set(line_dedup.deletions([(0, *p) for p in pairs], min_words, min_key))
-        kept = "\n".join(x for k, x in enumerate(lines) if k not in drop)
-        out[i] = (len(lines), len(drop), hashlib.sha256(kept.encode()).hexdigest())
+def plain_lines(rows, size=lambda x: sum(line_dedup.line_sizes(x)), min_words=10):
+    """Lines in runs of ten words that an earlier document has as a run too, by comparing all pairs."""
+    docs, out = [(i, t.split("\n") if t else []) for i, t in in_order(rows)], {}
+    holders = defaultdict(list)  # of each line, in documents before
+    for i, own in docs:
+        sizes, gone = list(map(size, own)), set()
+        starts = defaultdict(list)
+        for a, x in enumerate(own):
+            for k, b in holders[x]:
+                starts[k].append((a, b))
+        for k, at in starts.items():
+            other, at = docs[k][1], set(at)
+            for a, b in at:
+                if (a - 1, b - 1) not in at:  # the first line of a run
+                    n = 0
+                    while (a + n, b + n) in at:
+                        n += 1
+                    assert own[a:a + n] == other[b:b + n]
+                    if sum(sizes[a:a + n]) >= min_words:
+                        gone |= set(range(a, a + n))
+        for b, x in enumerate(own):
+            holders[x].append((len(out), b))
+        kept = "\n".join(x for j, x in enumerate(own) if j not in gone)
+        out[i] = (len(own), len(gone), hashlib.sha256(kept.encode()).hexdigest())
     return out
 
 
@@ -163,9 +148,7 @@ def test_line_dedup(make, corpus):
 def test_line_dedup_alignment_keeps_order():
     # Lines 0..3 of the other document appear as 2, 0, 1, 3: the longest common order is 0, 1, 3.
     assert line_dedup.aligned([(2, 0), (0, 1), (1, 2), (3, 3)]) == [(0, 1), (1, 2), (3, 3)]
-    links = [(5, 2, 0, 20), (5, 0, 1, 6), (5, 1, 2, 6), (5, 3, 3, 4)]
-    assert line_dedup.deletions(links, 10, 3) == [1, 2]
-    assert line_dedup.deletions([], 10, 3) == []
+    assert line_dedup.aligned([]) == []
 
 
 def test_line_dedup_keeps_columns(make, corpus):

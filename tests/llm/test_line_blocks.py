@@ -4,6 +4,7 @@ import random
 from difflib import SequenceMatcher
 
 import numpy as np
+import pytest
 
 from tillroll.llm import line_dedup
 
@@ -98,3 +99,68 @@ def test_short_lines_and_scripts_without_spaces(make):
     got = left(make, rows)
     assert got == dict(rows) | {2: "head\ntail", 4: "a", 6: "b"}
     assert got == {i: t for i, t in common_blocks(rows, lambda x: sum(line_dedup.line_sizes(x))).items()}
+
+
+def test_patience_blocks():
+    a, b = list("abcdefgh"), list("xbcdeyfgh")
+    assert line_dedup.patience(list(map(ord, a)), list(map(ord, b))) == [(1, 1, 4), (5, 6, 3)]
+    assert line_dedup.patience([1, 1, 2], [1, 2, 2]) == [(0, 0, 1), (2, 2, 1)]
+    assert line_dedup.patience([], [1]) == []
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b = ([rng.randrange(8) for _ in range(rng.randint(0, 15))] for _ in range(2))
+        end = (0, 0)
+        for i, j, n in line_dedup.patience(a, b):
+            assert i >= end[0] and j >= end[1] and a[i:i + n] == b[j:j + n]
+            end = (i + n, j + n)
+        same = line_dedup.patience(a, a)
+        assert same == ([(0, 0, len(a))] if a else [])
+
+
+@pytest.mark.parametrize("rare", [1, 2, 6, 1000])
+def test_rare_and_frequent_lines_together_give_all_blocks(make, monkeypatch, rare):
+    """Whatever counts as rare, what goes is the same; with 1 there are no pairs, with 1000 no frequent lines."""
+    monkeypatch.setattr(line_dedup, "RARE", rare)
+    rows = scattered()
+    assert left(make, rows) == common_blocks(rows, words)
+
+
+def test_pairs_give_moved_and_repeated_blocks():
+    rng = random.Random(2)
+    for _ in range(300):
+        a, b = (np.array([rng.randrange(7) for _ in range(rng.randint(1, 14))], np.uint64) for _ in range(2))
+        size = np.array([int(x) % 4 for x in b])
+        want = set()
+        for j in range(len(b)):
+            for i in range(len(a)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                    n += 1
+                if size[j:j + n].sum() >= 5:
+                    want |= set(range(j, j + n))
+        got = {k for x, y in line_dedup.common_runs(a, b, size, 5) for k in range(x, y + 1)}
+        assert got == want
+
+
+def test_many_blank_lines_take_linear_time(make):
+    import time
+    seconds = []
+    for n in (20_000, 80_000):
+        text = "this line has more than ten words so that it is a block\n" + "\n" * n + "another line that has more than ten words of its own here"
+        t0 = time.perf_counter()
+        assert left(make, [(1, text), (2, "a\n" + text)]) == {1: text, 2: "a"}
+        seconds.append(time.perf_counter() - t0)
+    assert seconds[1] < 8 * max(seconds[0], 1)
+
+
+CLASHING = ["_hit", "_key", "_drop", "_n", "_bno", "_bn", "_bm", "_pipeline_key", "_fm_text", "_fm_chars", "_fm_quality_score", "_score",
+            "_line_dedup_n", "_line_dedup_key", "_line_dedup_drop", "a.b", "_Hit"]
+
+
+def test_internal_names_are_free(spark):
+    line = "this line has more than ten words so that it is a block of its own"
+    names = [c for c in CLASHING if c != "_Hit"]
+    docs = spark.createDataFrame([(k, f"{k}\n{line}", *(f"{c}{k}" for c in names)) for k in range(4)], ["doc_id", "text", *names])
+    out = line_dedup.dedup_lines(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [(k, f"0\n{line}" if k == 0 else str(k), *(f"{c}{k}" for c in names)) for k in range(4)]
