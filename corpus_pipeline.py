@@ -19,11 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontaminate, fm_quality, line_dedup, ngram_join, sentencepiece_viterbi
-from tillroll.llm.common import NULL_ID, mark_probable, ship_package, written
+from tillroll.llm.common import NULL_ID, column, fresh, mark_probable, ship_package, written
 from tillroll.session import scratch_path
 
-_SCORE = "_fm_quality_score"
-_KEY = "_pipeline_key"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,16 +31,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without those whose key is in ``ids``; only texts that may go are shuffled."""
-    ids = written(docs.sparkSession, ids.select(F.col(ids.columns[0]).alias(_KEY)).distinct(), "dropped")
-    rows = mark_probable(docs.withColumn(_KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))), ids, _KEY)
-    kept = rows.where("_hit").join(ids, _KEY, "left_anti")
-    return rows.where("NOT _hit").unionByName(kept).select(*docs.columns)
+    key, hit = fresh(docs.columns, "_key", "_hit")
+    ids = written(docs.sparkSession, ids.select(F.col(ids.columns[0]).alias(key)).distinct(), "dropped")
+    rows = mark_probable(docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))), ids, key, hit)
+    kept = rows.where(column(hit)).join(ids, key, "left_anti")
+    return rows.where(~column(hit)).unionByName(kept).select(*map(column, docs.columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = fm_quality.train(docs, _table(spark, sf_dir, "labels"))
-    scored = fm_quality.score(docs, model, score_col=_SCORE)
-    return scored.where(F.col(_SCORE) >= fm_quality.CUT).drop(_SCORE)
+    (score,) = fresh(docs.columns, "_score")
+    scored = fm_quality.score(docs, model, score_col=score)
+    return scored.where(column(score) >= fm_quality.CUT).drop(score)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
