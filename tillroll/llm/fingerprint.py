@@ -48,11 +48,12 @@ LOW = (1 << HALF) - 1
 BOTH_LANES = 1 | 1 << HALF
 N_EXACT, N_PACKED = 2 * EXACT_HASHES, HALF * SKETCH_HASHES
 N_SPACE = 3        # line feeds, spaces, other white space
-# White space but line feeds, as a list and as a class of a regular expression.
+# White space but line feeds, within Latin-1 (as a class of a regular expression, which one table decides) and beyond.
+LATIN = r" \t\x0b-\r\x1c-\x1f\x85\xa0"
+BEYOND = r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BLANKS = (" \t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
           + "\u2028\u2029\u202f\u205f\u3000")
-SPACE = r" \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-MARKS = ".!?,;:|\u2026\u3001\u3002\uff01\uff0c\uff0e\uff1a\uff1b\uff1f\uff61\uff64\u0589\u060c\u061b\u061f\u06d4\u0964\u0965\u1362\u17d4"
+MARKS = ".!?,;:|"
 SEGMENT = rf"[^\n{MARKS}]++[{MARKS}]*+|[{MARKS}]++"
 RUNS = rf"(?s)(?=(.{{1,{CHARS}}}))."   # from each character on
 MAX_RANGES = 4096
@@ -85,12 +86,14 @@ def _masks() -> Column:
 def _spaces(text: Column) -> Column:
     size = F.char_length(text)
     counts = [size - F.char_length(F.replace(text, F.lit(c))) for c in ("\n", " ")]
-    return F.array(*[c.cast("long") for c in counts], F.regexp_count(text, F.lit(f"[{SPACE}&&[^ \\n]]")).cast("long"))
+    others = F.regexp_count(text, F.lit(f"[{LATIN[1:]}]")) + F.when(
+        text.rlike("[\u1680-\u3000]"), F.regexp_count(text, F.lit(f"[{BEYOND}]"))).otherwise(0)
+    return F.array(*[c.cast("long") for c in (*counts, others)])
 
 
 def _tokens(segment: Column) -> Column:
     """Words, those over WORD characters as their runs of characters."""
-    return F.flatten(F.transform(F.split(segment, f"[{SPACE}]+"), lambda w: F.when(
+    return F.flatten(F.transform(F.split(segment, f"[{LATIN}]++"), lambda w: F.when(
         F.char_length(w) > WORD, F.regexp_extract_all(w, F.lit(RUNS), F.lit(1))).otherwise(F.array(w))))
 
 
@@ -155,31 +158,38 @@ def as_text(vector: Column) -> Column:
 
 
 def sketch(vector: Column) -> Column:
-    """What likeness needs of a vector: the number of shingles and the packed counters."""
-    return F.concat(F.slice(vector, 1, 1), F.slice(vector, 3 + N_EXACT, N_PACKED))
+    """The packed counters of a vector."""
+    return F.slice(vector, 3 + N_EXACT, N_PACKED)
 
 
-def _signed(sketch: Column) -> Column:
-    """The random +1/-1 sums: shingles without each hash bit less those with it."""
-    n = F.element_at(sketch, 1)
-    counters = F.flatten(F.transform(F.slice(sketch, 2, N_PACKED), lambda v: F.array(v.bitwiseAND(LOW), F.shiftrightunsigned(v, HALF))))
-    return F.transform(counters, lambda c: (n - 2 * c).cast("double"))
+def _difference(a: Column, b: Column, na: Column, nb: Column) -> Column:
+    """Estimated sum of squares of the difference of two multisets, by packed counters and numbers of shingles.
 
-
-def _square(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda s, v: s + v * v)
-
-
-def sketch_likeness(a: Column, b: Column) -> Column:
-    sa, sb = _signed(a), _signed(b)
-    diff = _square(F.zip_with(sa, sb, lambda x, y: x - y))
-    both = _square(sa) + _square(sb)
-    return F.when(a == b, F.lit(1.0)).when(both == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - diff / both)))
+    A counter's random sum is the number without its bit less that with it, n - 2c.  Lambdas see columns and
+    literals only: an expression in one would be evaluated for each element.
+    """
+    delta = (na - nb).cast("double")
+    apart = F.zip_with(a, b, lambda x, y: F.struct((x.bitwiseAND(LOW) - y.bitwiseAND(LOW)).alias("l"),
+                                                   (F.shiftrightunsigned(x, HALF) - F.shiftrightunsigned(y, HALF)).alias("h")))
+    # Sum of (delta - 2d)**2 over the counters' differences d, by the sums of d and of its square.
+    sums = F.aggregate(apart, F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("s")), lambda t, x: F.struct(
+        (t.d + x.l + x.h).alias("d"), (t.s + x.l.cast("double") * x.l + x.h.cast("double") * x.h).alias("s")))
+    return F.transform(F.array(sums), lambda t: 2 * N_PACKED * delta * delta - 4 * delta * t.d + 4 * t.s)[0]
+
+
+def sketch_likeness(a: Column, b: Column, na: Column, nb: Column) -> Column:
+    """Likeness by packed counters and numbers of shingles."""
+    none = F.array(*[F.lit(0).cast("long")] * N_PACKED)
+    zero = F.lit(0).cast("long")
+    parts = F.array(_difference(a, b, na, nb), _difference(a, none, na, zero), _difference(b, none, nb, zero))
+    of = F.transform(F.array(parts), lambda p: F.when(p[1] + p[2] == 0, F.lit(0.0)).otherwise(
+        F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - p[0] / (p[1] + p[2])))))[0]
+    return F.when((na == nb) & (a == b), F.lit(1.0)).otherwise(of)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """The estimated likeness of two texts, 0 to 1, from their fingerprint vectors."""
-    return F.when(a == b, F.lit(1.0)).otherwise(F.least(F.lit(1.0), sketch_likeness(sketch(a), sketch(b))))
+    return F.when(a == b, F.lit(1.0)).otherwise(sketch_likeness(sketch(a), sketch(b), F.element_at(a, 1), F.element_at(b, 1)))
 
 
 def with_next(rows: DataFrame, ranges: int) -> DataFrame:
@@ -249,12 +259,12 @@ def edit_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     made = written(spark, by_part.select("_id", known.alias("f"), own.alias("a"), other.alias("b")).select(
         "_id", F.col("f.next").alias("_next_id"), F.col("f.n_chars").alias("n_chars"), F.col("f.sha").alias("edited_sha256"),
         _masked(F.concat("a", "f.own")).alias("own"), _masked(F.concat("b", "f.edited")).alias("edited")), "fingerprints")
-    after = made.select(F.col("_id").alias("_next_id"), sketch(F.col("own")).alias("_after"))
+    after = made.select(F.col("_id").alias("_next_id"), sketch(F.col("own")).alias("_after"), F.element_at("own", 1).alias("_n_after"))
     return made.join(after, "_next_id").select(
         public_id(), "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("edited")).alias("near_edited"),
-        sketch_likeness(sketch(F.col("own")), F.col("_after")).alias("near_next"))
+        sketch_likeness(sketch(F.col("own")), F.col("_after"), F.element_at("own", 1), F.col("_n_after")).alias("near_next"))
 
 
 def _masked(vector: Column) -> Column:
