@@ -31,7 +31,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(_read(spark, sf_dir, "documents"), secret_scan.dictionary(spark))
+    docs, words = _read(spark, sf_dir, "documents"), secret_scan.dictionary(spark)
+    return secret_scan.scan(docs, words, secret_scan.planted_findings(docs, words))
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
