@@ -123,3 +123,34 @@ def test_token_counts_frame(make, corpus):
 
 def total_tokens(text):
     return len(encoder()[0].encode_ordinary(text))
+
+
+def test_unspaced_texts_and_a_small_byte_bound(monkeypatch):
+    """Whole texts as words: ids as the library's, and what is kept stays under the bound."""
+    import random
+    import sentencepiece
+    lib = sentencepiece.SentencePieceProcessor(model_file=sp.DEFAULT_MODEL)
+    monkeypatch.setattr(sp, "KEPT_BYTES", 20_000)
+    monkeypatch.setattr(sp, "LONG", 60)
+    with open(sp.DEFAULT_MODEL, "rb") as f:
+        model = sp.Model(f.read())
+    rng = random.Random(5)
+    for _ in range(40):
+        texts = ["".join(rng.choice("漢字仮名交abcé的一是不了在人有我😀ßtheing") for _ in range(rng.randint(0, 400))) for _ in range(6)]
+        texts += [" ".join("".join(rng.choice("aeioulnst") for _ in range(rng.randint(1, 9))) for _ in range(60))]
+        assert model.encode(texts) == [lib.encode(t) for t in texts]
+        kept = sum(len(w) * 4 + len(x) for d in (model.words, model.older) for w, x in d.items())
+        assert kept < 2 * 20_000 + 30_000 and all(len(w) <= 60 for d in (model.words, model.older) for w in d)
+
+
+def test_a_long_unspaced_text_takes_linear_time():
+    import time
+    with open(sp.DEFAULT_MODEL, "rb") as f:
+        model = sp.Model(f.read())
+    seconds = []
+    for n in (50_000, 200_000):
+        t0 = time.perf_counter()
+        (ids,) = model.encode(["internationalization" * (n // 20)])
+        seconds.append(time.perf_counter() - t0)
+        assert model.decode(ids) == "internationalization" * (n // 20) and not model.words
+    assert seconds[1] < 10 * seconds[0]

@@ -15,8 +15,9 @@ pieces that end there:
   of scores would not.
 
 Characters without a piece become byte pieces, or the unknown id in models without these.
-Long words are cut at ``SEGMENT`` characters only if they have characters outside of every
-piece; other words are handled whole, in time linear in their length.
+Words are handled whole, in time linear in their length.  A worker keeps the ids of words between
+batches in two generations of at most KEPT_BYTES each; words over LONG characters (whole texts, in
+scripts without spaces) are walked on their own and not kept.
 
 Results for odd input: a null text counts as empty and has no ids; a null id stays null;
 repeated rows give repeated rows; an empty table gives no rows; all further columns are
@@ -42,9 +43,10 @@ MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: kinds of pieces
-END = ""
-# What a worker keeps between batches: words in each of two generations, compared pairs, merged strings.
-KEPT_WORDS = 250_000
+# What a worker keeps between batches: words in each of two generations (bytes), compared pairs, merged strings.
+KEPT_BYTES = 40 << 20
+WORD_BYTES = 180        # of a kept word, besides its characters and ids
+LONG = 1024
 KEPT_PAIRS = 600_000
 KEPT_MERGES = 200_000
 
@@ -102,17 +104,21 @@ class Model:
         # Single characters without a piece are symbols too: they get ids past the pieces.
         self.symbols = {c: self.id_of.get(c, len(self.pieces) + k) for k, c in enumerate(sorted(self.chars))}
         self.text_of = dict(enumerate(self.pieces)) | {i: c for c, i in self.symbols.items()}
-        # The pieces as a trie: a node maps a character to the next node, END to its piece.
+        # The pieces as a trie: a node maps a character to [the next node, the piece that ends there or -1].
         self.trie: dict = {}
         for piece, i in self.id_of.items():
-            node = self.trie
+            node, at = self.trie, None
             for c in piece:
-                node = node.setdefault(c, {})
-            node[END] = i
+                at = node.setdefault(c, [{}, -1])
+                node = at[0]
+            if at:
+                at[1] = i
         self._merged: dict[str, tuple[str, ...]] = {}
         self._fits: dict[int, bool] = {}
+        self._alone: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.kept = 0
         self.bytes_of = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN
                          else p.replace(MARK, " ").encode() for p, k in zip(self.pieces, self.kinds)]
 
@@ -144,11 +150,17 @@ class Model:
         known = self._fits[left << 32 | right] = self.merges(pair[0] + pair[1]) == pair
         return known
 
+    def alone(self, piece: int) -> bool:
+        """Whether the merges make the piece of its own characters."""
+        if piece not in self._alone:
+            self._alone[piece] = len(self.merges(self.pieces[piece])) == 1
+        return self._alone[piece]
+
     # ------------------------------------------------------------- forward pass
 
     def encode_words(self, words: list[str]) -> None:
         """Puts the ids (as bytes) of sorted distinct words of known characters into ``self.words``."""
-        bpe, trie, symbols, scores, pairs = self.mode == BPE, self.trie, self.symbols, self.scores, self._fits
+        bpe, trie, symbols, scores, pairs, alone = self.mode == BPE, self.trie, self.symbols, self.scores, self._fits, self._alone
         last: list[int] = [-1]        # last[i]: last piece of the best segmentation of word[:i]
         size: list[int] = [0]         # its length
         total: list[float] = [0.0]    # the sum of scores
@@ -156,6 +168,9 @@ class Model:
         before = ""
         for word in words:
             n = len(word)
+            if n > LONG:
+                self.words[word] = self.encode_long(word)
+                continue
             k, most = 0, min(n, len(before))
             while k < most and word[k] == before[k]:
                 k += 1
@@ -164,12 +179,13 @@ class Model:
                 c = word[i - 1]
                 chosen, length, best, going = -1, 1, 0.0, []
                 for node, s in live[i - 1]:  # longest first
-                    node = node.get(c)
-                    if node is None:
+                    step = node.get(c)
+                    if step is None:
                         continue
-                    going.append((node, s))
-                    piece = node.get(END)
-                    if piece is None:
+                    node, piece = step
+                    if node:
+                        going.append((node, s))
+                    if piece < 0:
                         continue
                     if not bpe:
                         score = total[s] + scores[piece]
@@ -181,14 +197,17 @@ class Model:
                             if fits is None:
                                 fits = self.fits(last[s], piece)
                         else:
-                            fits = len(self.merges(self.pieces[piece])) == 1
+                            fits = alone.get(piece)
+                            if fits is None:
+                                fits = self.alone(piece)
                         if fits:
                             chosen, length = piece, i - s
                 if chosen < 0:
                     chosen, best = symbols[c], total[i - 1] - 1e9
                 last.append(chosen)
                 size.append(length)
-                total.append(best)
+                if not bpe:
+                    total.append(best)
                 going.append((trie, i))
                 live.append(going)
             before = word
@@ -198,7 +217,45 @@ class Model:
                 i -= size[i]
             self.words[word] = self.packed(out[::-1])
 
-    def packed(self, symbols: list[int]) -> bytes:
+    def encode_long(self, word: str) -> bytes:
+        """The ids of a word of any length: the same pass, which keeps two numbers a character (three for unigrams)
+        and the trie nodes of the place where it is."""
+        last, size, total = array("i", [-1]), array("i", [0]), array("d", [0.0])
+        live = [(self.trie, 0)]
+        for i, c in enumerate(word, 1):
+            chosen, length, best, going = -1, 1, 0.0, []
+            for node, s in live:
+                node, piece = node.get(c, (None, -1))
+                if node:
+                    going.append((node, s))
+                if piece < 0:
+                    continue
+                if self.mode != BPE:
+                    score = total[s] + self.scores[piece]
+                    if chosen < 0 or score > best:
+                        chosen, length, best = piece, i - s, score
+                elif chosen < 0:
+                    fits = (self._fits.get(last[s] << 32 | piece) if s else self._alone.get(piece))
+                    if fits is None:
+                        fits = self.fits(last[s], piece) if s else self.alone(piece)
+                    if fits:
+                        chosen, length = piece, i - s
+            if chosen < 0:
+                chosen, best = self.symbols[c], (total[i - 1] if self.mode != BPE else 0.0) - 1e9
+            last.append(chosen)
+            size.append(length)
+            if self.mode != BPE:
+                total.append(best)
+            going.append((self.trie, i))
+            live = going
+        out, i = array("i"), len(word)
+        while i:
+            out.append(last[i])
+            i -= size[i]
+        out.reverse()
+        return self.packed(out)
+
+    def packed(self, symbols: list[int] | array) -> bytes:
         """Ids as bytes, symbols without a piece by their bytes or as the unknown id."""
         if max(symbols) >= len(self.pieces):
             symbols = [j for i in symbols for j in ([i] if i < len(self.pieces) else self.fallback(self.text_of[i]))]
@@ -228,12 +285,13 @@ class Model:
     def encode_packed(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
         cut = [self.cut(t) for t in texts]
-        if len(self.words) > KEPT_WORDS:  # words in use move on to the new generation
-            self.older, self.words = self.words, {}
+        if self.kept > KEPT_BYTES:  # words in use move on to the new generation
+            self.older, self.words, self.kept = self.words, {}, 0
         words, older = self.words, self.older
-        new = []
+        new, seen = [], 0
         for w in set().union(*cut):
             if w not in words:
+                seen += 1
                 if w in older:
                     words[w] = older[w]
                 elif w[0] != MARK and w[0] not in self.chars:
@@ -242,7 +300,11 @@ class Model:
                     new.append(w)
         new.sort()
         self.encode_words(new)
-        return [b"".join(map(words.__getitem__, ws)) for ws in cut]
+        out = [b"".join(map(words.__getitem__, ws)) for ws in cut]
+        for w in [w for w in new if len(w) > LONG]:
+            del words[w]
+        self.kept += seen * WORD_BYTES + sum(4 * len(w) for w in new if len(w) <= LONG)
+        return out
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [array("i", x).tolist() for x in self.encode_packed(texts)]
@@ -253,7 +315,7 @@ class Model:
 
 
 _MODELS: dict[int, Model] = {}
-_ROWS = 512
+_BATCH_BYTES = 3 << 20  # of texts that are encoded or decoded together
 
 
 def _model(data: bytes) -> Model:
@@ -263,11 +325,20 @@ def _model(data: bytes) -> Model:
     return _MODELS[key]
 
 
+def _parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of about _BATCH_BYTES of a column, a row at least."""
+    at = 0
+    size = batch.column(column).nbytes / max(1, batch.num_rows)
+    rows = max(1, int(_BATCH_BYTES / max(size, 1)))
+    while at < batch.num_rows:
+        yield batch.slice(at, rows)
+        at += rows
+
+
 def _encode(batches: Iterator[pa.RecordBatch], data, text: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     model = _model(data.value)
     for whole in batches:
-        for at in range(0, whole.num_rows, _ROWS):
-            b = whole.slice(at, _ROWS)
+        for b in _parts(whole, text):
             ids = model.encode_packed([t or "" for t in b.column(text).to_pylist()])
             lengths = np.cumsum([0, *(len(x) // 4 for x in ids)])
             flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
@@ -278,8 +349,7 @@ def _encode(batches: Iterator[pa.RecordBatch], data, text: int, names: list[str]
 def _decode(batches: Iterator[pa.RecordBatch], data, ids: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     model = _model(data.value)
     for whole in batches:
-        for at in range(0, whole.num_rows, _ROWS):
-            b = whole.slice(at, _ROWS)
+        for b in _parts(whole, ids):
             texts = [model.decode(x or []) for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=names)
 
