@@ -18,17 +18,19 @@ at most r.  The classes are the connected components of the links.
    pivot that most of its regions share, its nearest by the number of shared shingles, and then with
    those pivots of its other regions that are in another class by then.  Documents linked to a pivot are in
    its class; they need not be compared with each other.
-4. Regions with several classes go on recursively.  While a region has more than SMALL documents
-   outside its largest class, about PIVOTS of them are the next pivots: they meet all documents of the
-   region and then leave it, and the classes that they join shrink what is left.  Small regions, and those that the
-   last pivots did not shrink by a fifth (SHRINK), end with all documents outside of the largest class as pivots.
+4. Regions with several classes go on in rounds.  In each about PIVOTS documents outside of a region's
+   largest class are its next pivots; they look at all documents of the region, and of every other class
+   the nearest document within the window is compared with the pivot: one link joins two classes,
+   however large.  When a round no longer joins a fifth of the open classes (SHRINK), a last one takes all documents
+   outside of the largest class as pivots and compares whatever is within the windows.
 5. Windows.  A pivot and a document of a region are compared by their sets only if all that is
    known of them leaves a link possible: other classes, sizes within the ratio, distances to the
    region's first pivot that differ by at most r (triangle inequality), and the
-   distance to virtual pivots: the numbers of a set's shingles in each of 64 to |x| / 4 parts of all
-   shingles differ in sum by no more than the symmetric difference of the two sets.
+   distance to virtual pivots: the numbers of a set's shingles in each of CELLS parts of all
+   shingles differ in sum by no more than the symmetric difference of the two sets.  Pairs that pass
+   are tried again with as many parts as a quarter of the set's size, which tells unrelated long texts apart too.
 
-In 4 and 5 a task holds at most about PIVOT_BLOCK pivots of a region and streams about CHUNK documents past
+In 4 and 5 a task holds about PIVOT_BLOCK pivots of a region and streams about CHUNK documents past
 them, whatever the region's size; what it sends on are pairs within the windows.  Every pair that can link is
 compared, or is in one class already: the classes are exact.  What is frequent is found by counts
 within tasks; it only orders shingles, the same way for all documents, and so changes no result.
@@ -50,8 +52,8 @@ from tillroll.llm.common import NULL_ID, keyed, mark_probable, mix, public_id, s
 
 PERCENT = 75
 WIDTH = 5
-CELLS = 64
-PIVOTS, SMALL, SHRINK = 16, 64, 0.8
+CELLS, FEWEST = 128, 64
+PIVOTS, SHRINK = 16, 0.8
 PIVOT_BLOCK, CHUNK = 64, 4096
 SALTS = 16
 CELL_BYTES = 1 << 24    # of texts that meet a pivot in one task
@@ -71,12 +73,18 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 
 def fine_cells(s: np.ndarray) -> bytes:
     """Numbers of shingles (255 at most) in as many equal parts as the next power of two to a quarter
-    of the set's size, CELLS at least."""
-    bits = max(CELLS.bit_length() - 1, (max(len(s), 1) // 4).bit_length())
+    of the set's size, FEWEST at least."""
+    bits = max(FEWEST.bit_length() - 1, (max(len(s), 1) // 4).bit_length())
     count = np.bincount((s >> _U(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(count, 255).astype(np.uint8).tobytes()
 
 
+def coarse_cells(s: np.ndarray) -> bytes:
+    """Numbers of shingles (255 at most) in CELLS equal parts."""
+    count = np.bincount((s >> _U(64 - (CELLS.bit_length() - 1))).astype(np.int64), minlength=CELLS)
+    return np.minimum(count, 255).astype(np.uint8).tobytes()
+
+
 def least_difference(x: bytes, y: bytes) -> int:
     """A lower bound of two sets' symmetric difference from their fine cells."""
     a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
@@ -93,8 +101,8 @@ def least_difference(x: bytes, y: bytes) -> int:
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: size, two sums that identify the set, cells.  And shingles that many documents
     of the task have, as rows without cells: hash and count."""
-    names = ["_id", "n", "h1", "h2", "fine"]
-    kinds = [pa.int64()] * 4 + [pa.binary()]
+    names = ["_id", "n", "h1", "h2", "cells", "fine"]
+    kinds = [pa.int64()] * 4 + [pa.binary()] * 2
     held: list[np.ndarray] = []
     total = 0
 
@@ -109,7 +117,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for doc, s in _sets(batch):
             out.append((doc, len(s), int(mix(s).sum(dtype=_U).astype(np.int64)),
-                        int(mix(s ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U).astype(np.int64)), fine_cells(s)))
+                        int(mix(s ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U).astype(np.int64)), coarse_cells(s), fine_cells(s)))
             held.append(s)
             total += len(s)
             if total >= COUNTED_SHINGLES:
@@ -145,19 +153,6 @@ def _signatures(batches: Iterator[pa.RecordBatch], frequent, percent: int) -> It
 
 # ---------------------------------------------------------------- windows
 
-def folded(fine: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The fine cells added up to CELLS numbers each, and whether none of them was cut at 255."""
-    out, whole = np.zeros((len(fine), CELLS), np.int32), np.ones(len(fine), bool)
-    by_size: dict[int, list[int]] = {}
-    for k, x in enumerate(fine):
-        by_size.setdefault(len(x), []).append(k)
-    for size, at in by_size.items():
-        m = np.frombuffer(b"".join(fine[k] for k in at), np.uint8).reshape(len(at), CELLS, size // CELLS)
-        whole[at] = m.max((1, 2)) < 255
-        out[at] = m.sum(2, dtype=np.int32)
-    return out, whole
-
-
 def sizes_may_link(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
 
@@ -167,17 +162,24 @@ def differences_may_link(least: np.ndarray, na: np.ndarray, nb: np.ndarray, perc
     return (100 + percent) * least <= (100 - percent) * (na + nb)
 
 
-def _pairs_may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """(a, b, n of a, n of b, fine cells of a, of b): the pairs whose windows leave a link possible."""
+def _cell_array(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+
+
+def _may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, n of a, n of b, cells of a, of b): the pairs whose windows leave a link possible."""
+    for b in batches:
+        na, nb = (b.column(k).to_numpy() for k in (2, 3))
+        least = np.abs(_cell_array(b.column(4)) - _cell_array(b.column(5))).sum(1)
+        yield b.filter(pa.array(differences_may_link(least, na, nb, percent) & sizes_may_link(na, nb, percent))).select([0, 1])
+
+
+def _may_link_finely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, n of a, n of b, fine cells of a, of b): as _may_link."""
     for b in batches:
         na, nb = (b.column(k).to_numpy() for k in (2, 3))
-        xs, ys = b.column(4).to_pylist(), b.column(5).to_pylist()
-        x, x_whole = folded(xs)
-        y, y_whole = folded(ys)
-        near = differences_may_link(np.where(x_whole & y_whole, np.abs(x - y).sum(1), 0), na, nb, percent) & sizes_may_link(na, nb, percent)
-        for k in np.flatnonzero(near).tolist():
-            near[k] = differences_may_link(least_difference(xs[k], ys[k]), na[k], nb[k], percent)
-        yield b.filter(pa.array(near)).select([0, 1])
+        least = np.array([least_difference(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())], np.int64)
+        yield b.filter(pa.array(differences_may_link(least, na, nb, percent))).select([0, 1])
 
 
 class _Members:
@@ -190,13 +192,12 @@ class _Members:
         self.before = before.fill_null(0).to_numpy(zero_copy_only=False)
         self.d = rows.column(3).cast(pa.float64()).to_numpy(zero_copy_only=False)  # NaN: not known
         self.n = rows.column(4).to_numpy()
-        self.fine = rows.column(5).to_pylist()
+        self.cells = _cell_array(rows.column(5))
         self.chosen = rows.column(6).to_numpy(zero_copy_only=False)
-        self.cells, self.whole = folded(self.fine)
 
 
-def windows(p: _Members, x: _Members, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pivot, document) places of the pairs that may link."""
+def windows(p: _Members, x: _Members, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pivot, document) places of the pairs that may link, and their least differences."""
     ok = p.classes[:, None] != x.classes
     ok &= ~((p.before[:, None] == x.before) & p.has_before[:, None] & x.has_before)
     ok &= ~x.chosen | (p.ids[:, None] < x.ids)     # two pivots meet twice
@@ -204,19 +205,25 @@ def windows(p: _Members, x: _Members, percent: int) -> tuple[np.ndarray, np.ndar
     with np.errstate(invalid="ignore"):
         ok &= ~(np.abs(p.d[:, None] - x.d) > 1 - percent / 100 + 1e-9)
     i, j = np.nonzero(ok)
-    keep = np.zeros(len(i), bool)
+    least = np.zeros(len(i), np.int64)
     for at in range(0, len(i), 8192):
-        a, b = i[at:at + 8192], j[at:at + 8192]
-        least = np.where(p.whole[a] & x.whole[b], np.abs(p.cells[a] - x.cells[b]).sum(1), 0)
-        keep[at:at + 8192] = differences_may_link(least, p.n[a], x.n[b], percent)
-    i, j = i[keep], j[keep]
-    keep = np.array([differences_may_link(least_difference(p.fine[a], x.fine[b]), p.n[a], x.n[b], percent)
-                     for a, b in zip(i.tolist(), j.tolist())], bool)
-    return i[keep], j[keep]
+        least[at:at + 8192] = np.abs(p.cells[i[at:at + 8192]] - x.cells[j[at:at + 8192]]).sum(1)
+    keep = differences_may_link(least, p.n[i], x.n[j], percent)
+    return i[keep], j[keep], least[keep]
+
 
+def nearest(p: _Members, x: _Members, i: np.ndarray, j: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each pivot's pairs with a class the one of the least difference."""
+    order = np.lexsort((x.ids[j], least, x.classes[j], i))
+    i, j = i[order], j[order]
+    first = np.ones(len(i), bool)
+    first[1:] = (i[1:] != i[:-1]) | (x.classes[j[1:]] != x.classes[j[:-1]])
+    return i[first], j[first]
 
-def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (region, block, chunk), in these the pivots before the documents: pairs within the windows."""
+
+def _met(batches: Iterator[pa.RecordBatch], percent: int, every: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (region, block, chunk), in these the pivots before the documents: pairs within the windows,
+    ``every`` one or the nearest of each class."""
     place, held, pivots = None, [], None
     for batch in batches:
         where = np.stack([batch.column(k).to_numpy() for k in range(4)], 1)
@@ -237,7 +244,9 @@ def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordB
                 pivots = _Members(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
             for at in range(0, rows.num_rows, 1024):
                 x = _Members(rows.slice(at, 1024))
-                i, j = windows(pivots, x, percent)
+                i, j, least = windows(pivots, x, percent)
+                if not every:
+                    i, j = nearest(pivots, x, i, j, least)
                 out.append(np.stack([np.minimum(pivots.ids[i], x.ids[j]), np.maximum(pivots.ids[i], x.ids[j])]))
         a, b = np.concatenate(out, 1)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -264,7 +273,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Join:
     def __init__(self, rows: DataFrame, percent: int):
         self.rows, self.percent, self.spark = rows, percent, rows.sparkSession
-        made = written(self.spark, rows.mapInArrow(_summaries, "_id long, n long, h1 long, h2 long, fine binary"), "summaries")
+        made = written(self.spark, rows.mapInArrow(_summaries, "_id long, n long, h1 long, h2 long, cells binary, fine binary"),
+                       "summaries")
         self.docs = made.where("fine IS NOT NULL")
         often = (made.where("fine IS NULL").groupBy("_id").agg(F.sum("n").alias("n"))
                  .orderBy(F.desc("n"), "_id").limit(FREQUENT).select("_id").collect())
@@ -294,12 +304,22 @@ class _Join:
         first = first.where(~((F.col("some") == F.col("c")) & (F.col("lo") == F.col("hi")))).select("sig", "pivot")
         return rows.join(first, "sig")
 
-    def may_link(self, pairs: DataFrame) -> DataFrame:
-        """The distinct pairs (a, b) that the windows let pass."""
-        of = lambda k: self.docs.select(F.col("_id").alias(k), F.col("n").alias(f"n{k}"), F.col("fine").alias(f"f{k}"))
+    def with_summary(self, pairs: DataFrame, column: str) -> DataFrame:
+        """(a, b, their sizes, their ``column``)."""
+        def of(k: str) -> DataFrame:
+            some = mark_probable(self.docs.select("_id", "n", column), pairs.select(F.col(k).alias("_id"))).where("_hit")
+            return some.select(F.col("_id").alias(k), F.col("n").alias(f"n{k}"), F.col(column).alias(f"c{k}"))
+        return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
+
+    def may_link(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The distinct pairs (a, b; a written table) that the windows let pass."""
         percent = self.percent
-        return (pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "fa", "fb")
-                .mapInArrow(lambda it: _pairs_may_link(it, percent), "a long, b long"))
+        near = self.with_summary(pairs, "cells").mapInArrow(lambda it: _may_link(it, percent), "a long, b long")
+        return self.may_link_finely(written(self.spark, near, f"{name}-coarse"))
+
+    def may_link_finely(self, near: DataFrame) -> DataFrame:
+        percent = self.percent
+        return self.with_summary(near, "fine").mapInArrow(lambda it: _may_link_finely(it, percent), "a long, b long")
 
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
         """Shared and united shingles of the pairs (a written table of distinct a, b)."""
@@ -327,7 +347,7 @@ class _Join:
         counted = (regions.where("_id != pivot").groupBy(F.col("pivot").alias("a"), F.col("_id").alias("b"))
                    .agg(F.count(F.lit(1)).alias("c")))
         counted = written(self.spark, counted, "pivot-counts")
-        near = written(self.spark, self.may_link(counted.select("a", "b")).join(counted, ["a", "b"]), "pivots")
+        near = written(self.spark, self.may_link(counted.select("a", "b"), "pivots").join(counted, ["a", "b"]), "pivots")
         best = near.groupBy("b").agg(F.max(F.struct("c", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
         best = written(self.spark, best, "cells")
         distances = self.compare(best, "distances0")
@@ -343,50 +363,52 @@ class _Join:
         # Distances to a region's first pivot, where known; the pivot's own is 0, and it has met all others.
         own = distances.select(F.col("a").alias("pivot"), F.col("b").alias("_id"), (1 - F.col("shared") / F.col("either")).alias("d"))
         left = regions.where("_id != pivot").join(own, ["pivot", "_id"], "left").select("sig", "_id", "before", "d")
-        left = left.withColumn("was", F.lit(None).cast("long"))
-        k = 1
+        left = written(self.spark, left, "left")
+        k, was, every = 1, 0, False
         while True:
             k += 1
-            pairs, left = self.round(left, classes, k)
-            if pairs is None:
+            open_, now = self.open(left, classes, k)
+            if not now:
                 return copies, classes
+            every = bool(was) and now > SHRINK * was
+            pairs = self.round(left, classes, open_, k, every)
             if not pairs.isEmpty():
                 classes = joined(classes, self.links(self.compare(pairs, f"distances{k}")))
+            if every:
+                return copies, classes
+            was = now
 
-    def round(self, left: DataFrame, classes: DataFrame, k: int) -> tuple[DataFrame | None, DataFrame]:
-        """The pairs that the next pivots of the open regions are to be compared with, and what is left after them.
-
-        ``left``: region, document, the document's region before, distance to the region's first pivot, and
-        the number outside of the largest class before the last pivots.
-        """
+    def open(self, left: DataFrame, classes: DataFrame, k: int) -> tuple[DataFrame, int]:
+        """The regions with several classes, and the number of these: ``sig``, ``largest`` class, ``m`` documents,
+        ``outside`` of the largest class.  ``left``: region, document, the document's region before, distance to
+        the region's first pivot."""
         rows = left.join(classes, "_id", "left").withColumn("class", F.coalesce("class", "_id"))
-        sizes = written(self.spark, rows.groupBy("sig", "class").agg(F.count(F.lit(1)).alias("size")), f"classes{k}")
+        sizes = rows.groupBy("sig", "class").agg(F.count(F.lit(1)).alias("size"))
         open_ = (sizes.groupBy("sig").agg(F.max(F.struct("size", "class")).alias("top"), F.sum("size").alias("m"), F.count(F.lit(1)).alias("c"))
-                 .where("c > 1").select("sig", F.col("top.class").alias("largest"), "m", (F.col("m") - F.col("top.size")).alias("outside")))
+                 .where("c > 1").select("sig", F.col("top.class").alias("largest"), "m", (F.col("m") - F.col("top.size")).alias("outside"), "c"))
         open_ = written(self.spark, open_, f"open{k}")
-        if open_.isEmpty():
-            return None, left
-        rows = rows.join(open_, "sig")
-        last = (F.col("outside") <= SMALL) | F.coalesce(F.col("outside") > SHRINK * F.col("was"), F.lit(False))
-        turn = F.pmod(F.xxhash64("_id", F.lit(k)), F.ceil(F.col("outside") / PIVOTS)) == 0
-        chosen = (F.col("class") != F.col("largest")) & (last | turn)
-        rows = rows.join(self.docs.select("_id", "n", "fine"), "_id").select(
-            "sig", "_id", "class", "before", "d", "n", "fine", chosen.alias("chosen"), last.alias("last"), "m", "outside")
-        rows = written(self.spark, rows, f"members{k}")
-        payload = ["_id", "class", "before", "d", "n", "fine", "chosen"]
+        return open_, open_.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+
+    def round(self, left: DataFrame, classes: DataFrame, open_: DataFrame, k: int, every: bool) -> DataFrame:
+        """The pairs that the next pivots of the open regions are to be compared with."""
+        rows = left.join(open_, "sig").join(classes, "_id", "left").withColumn("class", F.coalesce("class", "_id"))
+        turn = F.lit(True) if every else F.pmod(F.xxhash64("_id", F.lit(k)), F.ceil(F.col("outside") / PIVOTS)) == 0
+        rows = rows.withColumn("chosen", (F.col("class") != F.col("largest")) & turn)
+        rows = written(self.spark, rows.join(self.docs.select("_id", "n", "cells"), "_id").select(
+            "sig", "_id", "class", "before", "d", "n", "cells", "chosen", "m", "outside"), f"members{k}")
+        payload = ["_id", "class", "before", "d", "n", "cells", "chosen"]
         # Pivots in blocks, documents in chunks; each block meets each chunk.
-        blocks = F.ceil(F.when(F.col("last"), F.col("outside")).otherwise(PIVOTS) / PIVOT_BLOCK).cast("int")
+        blocks = F.ceil((F.col("outside") if every else F.lit(PIVOTS)) / PIVOT_BLOCK).cast("int")
         chunks = F.ceil(F.col("m") / CHUNK).cast("int")
-        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-        pivots = rows.where("chosen").select("sig", F.pmod(F.xxhash64("_id", F.lit(-1)), blocks).cast("int").alias("block"), every(chunks).alias("chunk"),
+        each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        pivots = rows.where("chosen").select("sig", F.pmod(F.xxhash64("_id", F.lit(-1)), blocks).cast("int").alias("block"), each(chunks).alias("chunk"),
                                              F.lit(0).alias("kind"), *payload)
-        others = rows.select("sig", every(blocks).alias("block"), F.pmod(F.xxhash64("_id", F.lit(-2)), chunks).cast("int").alias("chunk"),
+        others = rows.select("sig", each(blocks).alias("block"), F.pmod(F.xxhash64("_id", F.lit(-2)), chunks).cast("int").alias("chunk"),
                              F.lit(1).alias("kind"), *payload)
         percent = self.percent
         met = pivots.unionByName(others).repartition("sig", "block", "chunk").sortWithinPartitions("sig", "block", "chunk", "kind")
-        found = met.mapInArrow(lambda it: _met(it, percent), "a long, b long").distinct()
-        after = rows.where("NOT last AND NOT chosen").select("sig", "_id", "before", "d", F.col("outside").alias("was"))
-        return written(self.spark, found, f"near{k}"), after
+        found = met.mapInArrow(lambda it: _met(it, percent, every), "a long, b long").distinct()
+        return written(self.spark, self.may_link_finely(written(self.spark, found, f"near{k}-coarse")), f"near{k}")
 
 
 def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
