@@ -28,9 +28,10 @@ def groups(seed):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed, pivots, shrink, block, chunk", [(0, 2, 0.8, 3, 7), (4, 8, 0.99, 64, 4096), (1000, 16, 0.0, 8, 16)])
-def test_regions_go_on_in_rounds(make, monkeypatch, seed, pivots, shrink, block, chunk):
-    for name, value in {"SHRINK": shrink, "PIVOTS": pivots, "PIVOT_BLOCK": block, "CHUNK": chunk, "CELL_BYTES": 2000}.items():
+@pytest.mark.parametrize("seed, few, small, pivots, shrink, block, chunk", [
+    (0, 1, 0, 2, 0.8, 3, 7), (4, 6, 3, 8, 0.99, 64, 4096), (1000, 3, 5, 16, 0.0, 8, 16)])
+def test_regions_go_on_in_rounds(make, monkeypatch, seed, few, small, pivots, shrink, block, chunk):
+    for name, value in {"FEW": few, "SMALL": small, "SHRINK": shrink, "PIVOTS": pivots, "PIVOT_BLOCK": block, "CHUNK": chunk, "CELL_BYTES": 2000}.items():
         monkeypatch.setattr(ngram_join, name, value)
     rows = groups(seed)
     got = got_by_id(ngram_join.classes(make(rows)))

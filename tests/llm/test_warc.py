@@ -87,3 +87,12 @@ def test_files_of_other_writers(tmp_path, form):
             got = list(warc.read_records(f, len(data), lambda r: r["record_id"] != "urn:x:2", payload))
         assert [r["record_id"] for r in got] == ["urn:x:0", "urn:x:1", "urn:x:3", "urn:x:4"]
         assert [r.get("payload") for r in got] == [b"body %d" % k if payload else None for k in (0, 1, 3, 4)]
+
+
+@pytest.mark.parametrize("prefix", ["", "file:", "file://"])
+def test_local_paths_with_spaces_and_signs(prefix, tmp_path):
+    system, path = warc._open(f"{prefix}{tmp_path}/a b%20c?d")
+    system.create_dir(path)
+    with system.open_output_stream(f"{path}/x", compression=None) as out:
+        out.write(b"1")
+    assert (tmp_path / "a b%20c?d" / "x").read_bytes() == b"1"

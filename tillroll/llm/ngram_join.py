@@ -18,8 +18,10 @@ at most r.  The classes are the connected components of the links.
    pivot that most of its regions share, its nearest by the number of shared shingles, and then with
    those pivots of its other regions that are in another class by then.  Documents linked to a pivot are in
    its class; they need not be compared with each other.
-4. Regions with several classes go on in rounds.  In each about PIVOTS documents outside of a region's
-   largest class are its next pivots; they look at all documents of the region, and of every other class
+4. Regions with several classes go on.  With at most FEW documents their pairs are tried at once; with at most
+   SMALL documents outside of the largest class all of these are pivots and look at the whole region.  Larger
+   regions go on in rounds: about PIVOTS documents outside of the largest class
+   look at all documents of the region, and of every other class
    the nearest document within the window is compared with the pivot: one link joins two classes,
    however large.  When a round no longer joins a fifth of the open classes (SHRINK), a last one takes all documents
    outside of the largest class as pivots and compares whatever is within the windows.
@@ -53,7 +55,7 @@ from tillroll.llm.common import NULL_ID, keyed, mark_probable, mix, public_id, s
 PERCENT = 75
 WIDTH = 5
 CELLS, FEWEST = 128, 64
-PIVOTS, SHRINK = 16, 0.8
+FEW, SMALL, PIVOTS, SHRINK = 6, 64, 16, 0.8
 PIVOT_BLOCK, CHUNK = 64, 4096
 SALTS = 16
 CELL_BYTES = 1 << 24    # of texts that meet a pivot in one task
@@ -221,9 +223,9 @@ def nearest(p: _Members, x: _Members, i: np.ndarray, j: np.ndarray, least: np.nd
     return i[first], j[first]
 
 
-def _met(batches: Iterator[pa.RecordBatch], percent: int, every: bool) -> Iterator[pa.RecordBatch]:
+def _met(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (region, block, chunk), in these the pivots before the documents: pairs within the windows,
-    ``every`` one or the nearest of each class."""
+    ``every`` one (last column) or the nearest of each class."""
     place, held, pivots = None, [], None
     for batch in batches:
         where = np.stack([batch.column(k).to_numpy() for k in range(4)], 1)
@@ -245,7 +247,7 @@ def _met(batches: Iterator[pa.RecordBatch], percent: int, every: bool) -> Iterat
             for at in range(0, rows.num_rows, 1024):
                 x = _Members(rows.slice(at, 1024))
                 i, j, least = windows(pivots, x, percent)
-                if not every:
+                if not batch.column(11)[lo].as_py():
                     i, j = nearest(pivots, x, i, j, least)
                 out.append(np.stack([np.minimum(pivots.ids[i], x.ids[j]), np.maximum(pivots.ids[i], x.ids[j])]))
         a, b = np.concatenate(out, 1)
@@ -364,51 +366,66 @@ class _Join:
         own = distances.select(F.col("a").alias("pivot"), F.col("b").alias("_id"), (1 - F.col("shared") / F.col("either")).alias("d"))
         left = regions.where("_id != pivot").join(own, ["pivot", "_id"], "left").select("sig", "_id", "before", "d")
         left = written(self.spark, left, "left")
-        k, was, every = 1, 0, False
+        k, was = 1, 0
         while True:
             k += 1
-            open_, now = self.open(left, classes, k)
+            open_ = self.open(left, classes, k)
+            now, large = open_.agg(F.count(F.lit(1)), F.sum(F.when(F.col("outside") > SMALL, F.col("c")))).first()
             if not now:
                 return copies, classes
-            every = bool(was) and now > SHRINK * was
-            pairs = self.round(left, classes, open_, k, every)
+            last = not large or (bool(was) and large > SHRINK * was)
+            pairs = self.round(left, classes, open_, k, last)
             if not pairs.isEmpty():
                 classes = joined(classes, self.links(self.compare(pairs, f"distances{k}")))
-            if every:
+            if last:
                 return copies, classes
-            was = now
+            left = written(self.spark, left.join(open_.where(F.col("outside") > SMALL).select("sig"), "sig"), f"left{k}")
+            was = large
 
-    def open(self, left: DataFrame, classes: DataFrame, k: int) -> tuple[DataFrame, int]:
-        """The regions with several classes, and the number of these: ``sig``, ``largest`` class, ``m`` documents,
-        ``outside`` of the largest class.  ``left``: region, document, the document's region before, distance to
-        the region's first pivot."""
+    def open(self, left: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+        """The regions with several classes: ``sig``, ``largest`` class, ``m`` documents, ``outside`` of the largest class,
+        ``c`` classes.  ``left``: region, document, the document's region before, distance to the region's first pivot."""
         rows = left.join(classes, "_id", "left").withColumn("class", F.coalesce("class", "_id"))
         sizes = rows.groupBy("sig", "class").agg(F.count(F.lit(1)).alias("size"))
         open_ = (sizes.groupBy("sig").agg(F.max(F.struct("size", "class")).alias("top"), F.sum("size").alias("m"), F.count(F.lit(1)).alias("c"))
                  .where("c > 1").select("sig", F.col("top.class").alias("largest"), "m", (F.col("m") - F.col("top.size")).alias("outside"), "c"))
-        open_ = written(self.spark, open_, f"open{k}")
-        return open_, open_.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+        return written(self.spark, open_, f"open{k}")
 
-    def round(self, left: DataFrame, classes: DataFrame, open_: DataFrame, k: int, every: bool) -> DataFrame:
+    def round(self, left: DataFrame, classes: DataFrame, open_: DataFrame, k: int, last: bool) -> DataFrame:
         """The pairs that the next pivots of the open regions are to be compared with."""
         rows = left.join(open_, "sig").join(classes, "_id", "left").withColumn("class", F.coalesce("class", "_id"))
-        turn = F.lit(True) if every else F.pmod(F.xxhash64("_id", F.lit(k)), F.ceil(F.col("outside") / PIVOTS)) == 0
-        rows = rows.withColumn("chosen", (F.col("class") != F.col("largest")) & turn)
-        rows = written(self.spark, rows.join(self.docs.select("_id", "n", "cells"), "_id").select(
-            "sig", "_id", "class", "before", "d", "n", "cells", "chosen", "m", "outside"), f"members{k}")
-        payload = ["_id", "class", "before", "d", "n", "cells", "chosen"]
-        # Pivots in blocks, documents in chunks; each block meets each chunk.
-        blocks = F.ceil((F.col("outside") if every else F.lit(PIVOTS)) / PIVOT_BLOCK).cast("int")
-        chunks = F.ceil(F.col("m") / CHUNK).cast("int")
-        each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-        pivots = rows.where("chosen").select("sig", F.pmod(F.xxhash64("_id", F.lit(-1)), blocks).cast("int").alias("block"), each(chunks).alias("chunk"),
-                                             F.lit(0).alias("kind"), *payload)
-        others = rows.select("sig", each(blocks).alias("block"), F.pmod(F.xxhash64("_id", F.lit(-2)), chunks).cast("int").alias("chunk"),
-                             F.lit(1).alias("kind"), *payload)
+        every = F.lit(last) | (F.col("outside") <= SMALL)
+        turn = every | (F.pmod(F.xxhash64("_id", F.lit(k)), F.ceil(F.col("outside") / PIVOTS)) == 0)
+        rows = rows.withColumn("chosen", (F.col("class") != F.col("largest")) & turn).withColumn("every", every)
+        rows = written(self.spark, rows.join(self.docs.select("_id", "n"), "_id").select(
+            "sig", "_id", "class", "before", "d", "n", "chosen", "every", "m", "outside"), f"members{k}")
         percent = self.percent
-        met = pivots.unionByName(others).repartition("sig", "block", "chunk").sortWithinPartitions("sig", "block", "chunk", "kind")
-        found = met.mapInArrow(lambda it: _met(it, percent, every), "a long, b long").distinct()
-        return written(self.spark, self.may_link_finely(written(self.spark, found, f"near{k}-coarse")), f"near{k}")
+
+        # A few documents: their pairs within the windows but for the cells, once each, whatever the regions they share.
+        few = rows.where(F.col("m") <= FEW).groupBy("sig").agg(F.collect_list(F.struct("_id", "class", "before", "d", "n")).alias("x"))
+        tried = few.select(F.explode(F.expr(f"""flatten(transform(x, (p, i) -> transform(filter(slice(x, i + 2, {FEW}), q ->
+            p.class != q.class AND coalesce(p.before != q.before, true) AND 100 * least(p.n, q.n) >= {percent} * greatest(p.n, q.n)
+            AND coalesce(abs(p.d - q.d) <= {1 - percent / 100 + 1e-9}D, true)),
+            q -> struct(least(p._id, q._id) AS a, greatest(p._id, q._id) AS b))))""")).alias("p")).select("p.a", "p.b").distinct()
+        tried = written(self.spark, tried, f"tried{k}")
+        near = self.with_summary(tried, "cells").mapInArrow(lambda it: _may_link(it, percent), "a long, b long")
+
+        # Pivots in blocks, documents in chunks; each block meets each chunk.
+        more = rows.where(F.col("m") > FEW)
+        if not more.isEmpty():
+            more = written(self.spark, more.join(self.docs.select("_id", "cells"), "_id"), f"looking{k}")
+            payload = ["_id", "class", "before", "d", "n", "cells", "chosen", "every"]
+            blocks = F.ceil(F.when(F.col("every"), F.col("outside")).otherwise(PIVOTS) / PIVOT_BLOCK).cast("int")
+            chunks = F.ceil(F.col("m") / CHUNK).cast("int")
+            each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+            pivots = more.where("chosen").select("sig", F.pmod(F.xxhash64("_id", F.lit(-1)), blocks).cast("int").alias("block"), each(chunks).alias("chunk"),
+                                                 F.lit(0).alias("kind"), *payload)
+            others = more.select("sig", each(blocks).alias("block"), F.pmod(F.xxhash64("_id", F.lit(-2)), chunks).cast("int").alias("chunk"),
+                                 F.lit(1).alias("kind"), *payload)
+            met = pivots.unionByName(others).repartition("sig", "block", "chunk").sortWithinPartitions("sig", "block", "chunk", "kind")
+            near = near.unionByName(met.mapInArrow(lambda it: _met(it, percent), "a long, b long"))
+        near = written(self.spark, near.distinct(), f"near{k}-coarse")
+        return written(self.spark, self.may_link_finely(near), f"near{k}")
 
 
 def joined(classes: DataFrame, links: DataFrame) -> DataFrame:

@@ -62,10 +62,12 @@ BATCH_BYTES = 8 << 20
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and inner path of a path or URI (local, hdfs, s3, gs)."""
-    if "://" not in path and path.startswith("file:"):
-        path = path[5:]
-    return pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
+    """The file system and inner path of a path or URI (local, hdfs, s3, gs); local paths are taken as they are."""
+    if path.startswith("file:"):
+        path = path[5:] if not path.startswith("file://") else path[7:]
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    return pafs.FileSystem.from_uri(path)
 
 
 # ------------------------------------------------------------------------ writing
