@@ -2,6 +2,9 @@
 
 from tillroll import operators as ops
 from tillroll.schema import RAW_SCHEMA
+from tillroll.sources.fixtures import raw_transactions
+
+from conftest import SF_SMALL
 
 RAW = [
     # InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country
@@ -83,3 +86,22 @@ def test_table_sees_appended_files(spark, tmp_path):
     assert table(spark, str(tmp_path), "part").count() == 10
     spark.range(25).write.mode("append").parquet(path)
     assert table(spark, str(tmp_path), "part").count() == 35
+
+
+def test_latest_values_sort_no_lines(spark):
+    """The aggregate over the lines is by hash; only its few rows are sorted."""
+    plan = ops.load_products(raw_transactions(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan
+    lines = plan[plan.rindex("Exchange hashpartitioning(StockCode"):] if "Exchange hashpartitioning(StockCode" in plan else plan
+    assert "SortAggregate" not in lines.split("Exchange", 2)[1]
+
+
+def test_flags_tell_the_lines_of_both_jobs(spark):
+    raw = raw_transactions(spark, SF_SMALL)
+    flagged = ops.flagged_lines(raw)
+    assert flagged.where("_clean").count() == ops.clean_transactions(raw).count()
+    table = ops.raw_purchase_table(raw)
+    assert sorted(map(tuple, ops.customers_of(table).collect())) == sorted(map(tuple, ops.load_customers(raw).collect()))
+    as_rows = lambda df: sorted((r["InvoiceNo"], tuple(r["items"]), round(r["pricePerPurchase"], 6), r["quantityPerPurchase"])
+                                for r in df.collect())
+    assert as_rows(ops.purchases_of(table)) == as_rows(ops.purchase_table(ops.clean_transactions(raw)))

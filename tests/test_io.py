@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll import operators as ops
 from tillroll.schema import CLEAN_SCHEMA, CUSTOMERS_SCHEMA, RAW_COLUMNS
 from tillroll.sources import (
-    read_delimited, read_delimited_with_schema, replace_table, write_delimited, write_jdbc,
+    read_delimited, read_delimited_with_schema, read_table, replace_table, write_delimited, write_jdbc,
     write_partitioned_recommendations,
 )
 from tillroll.sources.fixtures import raw_transactions
@@ -77,3 +77,33 @@ def test_partitioned_recommendations(spark):
     write_partitioned_recommendations(gen, path)
     write_partitioned_recommendations(seg, path)  # dynamic overwrite keeps segment=gen
     assert {d for d in os.listdir(path) if d.startswith("segment=")} == {"segment=1", "segment=gen"}
+
+
+def test_replace_is_seen_whole_or_not_at_all(spark, monkeypatch):
+    """A failure while the new version is written, or before it is committed, leaves the old table."""
+    import pytest
+
+    from tillroll.sources import delimited
+    base = fresh_dir()
+    path = os.path.join(base, "customers")
+    rows = lambda n: spark.createDataFrame([(f"c{k}", str(n)) for k in range(3)], CUSTOMERS_SCHEMA)
+    read = lambda: sorted(map(tuple, read_table(spark, path, CUSTOMERS_SCHEMA).collect()))
+    want = lambda n: [(f"c{k}", str(n)) for k in range(3)]
+    write_delimited(rows(0), path)
+    assert read() == want(0)
+    replace_table(spark, rows(1), path, os.path.join(base, "v1"), CUSTOMERS_SCHEMA)
+    assert read() == want(1)
+    broken = rows(2).withColumn("segment", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception):
+        replace_table(spark, broken, path, os.path.join(base, "v2"), CUSTOMERS_SCHEMA)
+    assert read() == want(1)
+    with monkeypatch.context() as m:
+        m.setattr(delimited, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            replace_table(spark, rows(3), path, os.path.join(base, "v3"), CUSTOMERS_SCHEMA)
+    assert read() == want(1)
+    old = read_table(spark, path, CUSTOMERS_SCHEMA)
+    replace_table(spark, rows(4), path, os.path.join(base, "v4"), CUSTOMERS_SCHEMA)
+    assert read() == want(4) and sorted(map(tuple, old.collect())) == want(1)  # those who read on are not disturbed
+    write_delimited(rows(5), path)
+    assert read() == want(5)

@@ -1,5 +1,7 @@
 """Chained pipeline (C7) and lineage independence of mined rules."""
 
+import sys
+
 from tillroll import operators as ops
 from tillroll.plans.pipeline import GENERAL_LABEL, SEGMENT_LABELS, pipeline_recommendations, run_pipeline
 from tillroll.sources.fixtures import raw_transactions, transactions
@@ -47,3 +49,18 @@ def test_rules_survive_cache_loss(spark):
     assert "FileScan" not in plan  # read from the checkpoint, not recomputed from the tables
     after = sorted(map(tuple, rs.rules.select("antecedent", "consequent", "confidence").collect()))
     assert before == after and len(after) > 0
+
+
+def test_pipeline_reads_the_raw_lines_once(spark, monkeypatch):
+    """Whatever the pipeline writes or returns, one plan scans the line table, once."""
+    from tillroll.plans import pipeline, strategies
+    plans, real = [], strategies.cut_lineage
+
+    def seen(s, df, name, *a):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(s, df, name, *a)
+    for mod in (pipeline, sys.modules["tillroll.operators.baskets"], sys.modules["tillroll.operators.segment_recs"]):
+        monkeypatch.setattr(mod, "cut_lineage", seen)
+    out = pipeline_recommendations(raw_transactions(spark, SF_SMALL), min_support=0.02, min_confidence=0.15)
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert sum("l_partkey" in p for p in plans) == 1 and len(plans) > 4

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import sys
 from collections import Counter, defaultdict
 
 import pytest
@@ -182,3 +183,88 @@ def test_recommend_looks_antecedents_up_once(spark):
         assert counts[r["_item"]] == min(counts[x] for x in r["_ante"])
     plan = ops.recommend(b, rules)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 1 and "SortMergeJoin [_item" not in plan
+
+
+def plain_pairs(baskets, min_support, min_confidence):
+    least = math.ceil(min_support * len(baskets))
+    one, two = Counter(x for b in baskets for x in b), Counter(p for b in baskets for p in itertools.combinations(sorted(b), 2))
+    return {(a, c, n / one[a]) for (x, y), n in two.items() if n >= least
+            for a, c in ((x, y), (y, x)) if n / one[a] >= min_confidence}
+
+
+def test_pairs_of_a_very_large_purchase(spark):
+    """2,000 items in one purchase: its pairs are dealt in blocks, and no itemset is grown."""
+    import random
+    rng = random.Random(1)
+    every = [f"i{k:04}" for k in range(2000)]
+    baskets = [every] + [rng.sample(every[:300], rng.randint(0, 30)) for _ in range(60)]
+    df = spark.createDataFrame([(b,) for b in baskets], "items array<string>")
+    got = {tuple(r) for r in ops.mine_pair_rules(df, 2 / 61, 0.3).collect()}
+    assert got == plain_pairs(baskets, 2 / 61, 0.3) and len(got) > 1000
+
+
+@pytest.mark.parametrize("block", [1, 3, 128])
+def test_pairs_of_all_labels_in_one_count(spark, monkeypatch, block):
+    import random
+
+    mod = sys.modules["tillroll.operators.baskets"]
+    monkeypatch.setattr(mod, "PAIR_BLOCK", block)
+    rng = random.Random(block)
+    rows = [(rng.choice("xyz"), rng.sample("abcdefghij", rng.randint(0, 8))) for _ in range(200)]
+    df = spark.createDataFrame(rows, "kind string, items array<string>")
+    got = {tuple(r) for r in ops.pair_rules(df, 0.1, 0.3, label_col="kind").collect()}
+    want = {(k, *p) for k in "xyz" for p in plain_pairs([b for x, b in rows if x == k], 0.1, 0.3)}
+    assert got == want and want
+
+
+def test_pair_rules_grow_no_itemsets(spark, monkeypatch):
+    mod = sys.modules["tillroll.operators.baskets"]
+    monkeypatch.setattr(mod, "fit_rules", None)  # FPGrowth would fail
+    tx = transactions(spark, SF_SMALL)
+    assert ops.general_recommendations(tx, 0.02, 0.15).count() > 0
+    res = ops.recommendations_by_segment(tx, ["1", "2"], general=True, min_support=0.02, min_confidence=0.15)
+    assert all(res[k].count() > 0 for k in ("gen", "1", "2"))
+
+
+def test_items_with_a_comma_stay_whole(spark):
+    rules = spark.createDataFrame([("A", "x, large", 0.9), ("A", "y", 0.5), ("B", "z", 0.4)], "_item string, _cons string, confidence double")
+    gen = spark.createDataFrame([("A", "x, large", 0.8), ("A", "w", 0.7), ("C", "q,r", 0.4)], "_item string, _cons string, confidence double")
+    lists = lambda r: ops.frequently_bought(r, as_array=True)
+    got = {r["StockCode"]: r["recs"] for r in ops.merge_recommendations(lists(rules), lists(gen), as_array=True).collect()}
+    assert got == {"A": ["x, large", "y", "w"], "B": ["z"], "C": ["q,r"]}
+    text = {r["StockCode"]: r["recs"] for r in ops.merge_recommendations(lists(rules), lists(gen)).collect()}
+    assert text == {"A": "x, large,y,w", "B": "z", "C": "q,r"}
+    assert {r["StockCode"]: r["recs"] for r in ops.merge_recommendations(ops.frequently_bought(rules), lists(gen)).collect()}["B"] == "z"
+
+
+def test_recommend_descends_the_tree_without_arrays(spark, monkeypatch):
+    """Rows of the levels are a number and a node; broadcast or shuffled, null and empty baskets included."""
+    mod = sys.modules["tillroll.operators.recommend"]
+    b = [("1", ["A", "B", "C"]), ("2", ["B", "A"]), ("3", []), ("4", None), ("5", ["C", None, "D"]), ("6", ["D", "C", "B", "A", "E"])]
+    df = spark.createDataFrame(b, "InvoiceNo string, items array<string>")
+    r = [(["A"], ["E"], 0.5), (["A", "B"], ["D"], 0.6), (["A", "B", "C"], ["F"], 0.7), (["C", "D"], ["A"], 0.4), (["B", "C"], ["F"], 0.9)]
+    rules = spark.createDataFrame(r, "antecedent array<string>, consequent array<string>, confidence double")
+    seen, real = [], mod.cut_lineage
+    monkeypatch.setattr(mod, "cut_lineage", lambda s, d, name, *a: seen.append((name, d.columns)) or real(s, d, name, *a))
+    want = {}
+    for key, items in b:
+        best = {}
+        for ante, cons, conf in r:
+            if items and set(ante) <= set(items) and cons[0] not in items:
+                best[cons[0]] = max(best.get(cons[0], 0), conf)
+        want[key] = [c for c, _ in sorted(best.items(), key=lambda x: (-x[1], x[0]))]
+    for most in (0, 1 << 20):
+        got = {x["InvoiceNo"]: x["recs"] for x in ops.recommend(df, rules, ["InvoiceNo"], keep_empty=True, max_broadcast_bytes=most).collect()}
+        assert got == want
+        some = {x["InvoiceNo"]: x["recs"] for x in ops.recommend(df, rules, ["InvoiceNo"], max_broadcast_bytes=most).collect()}
+        assert some == {k: v for k, v in want.items() if v}
+    levels = [c for name, c in seen if name.startswith("antecedent-level")]
+    assert levels and all(c == ["_basket", "_node"] for c in levels)
+
+
+def test_broadcast_check_moves_one_row_a_task(spark):
+    from tillroll.plans.strategies import broadcast_if_bounded, cut_lineage, row_bytes
+    df = cut_lineage(spark, spark.range(0, 1000, 1, 4).selectExpr("id", "cast(id as string) AS t"), "checked")
+    assert broadcast_if_bounded(df)[1] and not broadcast_if_bounded(df, 1000)[1]
+    plan = df.agg(F.sum(row_bytes(df.schema)))._jdf.queryExecution().executedPlan().toString()
+    assert "GlobalLimit" not in plan and "partial_sum" in plan

@@ -5,8 +5,9 @@ conditional transactions hashed to ``num_partitions`` groups, one FP-tree
 per group).  Its frequent-item list is bounded by the support threshold:
 at most (average basket size / min_support) items can be frequent.  The
 itemsets are not: up to all subsets of the frequent items may pass, so
-full rule tables are written in parallel and only pairs are used where
-one-item rules are enough (``mine_pair_rules``).
+full rule tables are written in parallel.  Where one-item rules are
+enough no itemset is grown at all: ``pair_rules`` counts pairs of
+frequent items (Apriori to level two), for all labels in one aggregate.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.plans.strategies import cut_lineage
+from tillroll.plans.strategies import broadcast_if_bounded, cut_lineage
 from tillroll.schema import BASKET_KEY, ITEMS, RECS, STOCK_CODE
 from tillroll.session import checkpoint_root
 
 # Default thresholds of the recommendation jobs.
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.2
+# Frequent items of a purchase whose pairs one row gives.
+PAIR_BLOCK = 128
 
 
 def baskets(tx: DataFrame, item_col: str = STOCK_CODE, key_cols=BASKET_KEY) -> DataFrame:
@@ -94,23 +97,56 @@ def _fitted(basket_df: DataFrame, min_support: float, min_confidence: float, ite
             items.unpersist()
 
 
-def mine_pair_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-                    items_col: str = ITEMS, num_partitions: int | None = None, stored: bool = False) -> DataFrame:
-    """Rules with one item on either side, (_item, _cons, confidence), from itemsets of one and two.
+def pair_rules(purchases: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+               items_col: str = ITEMS, label_col: str | None = None) -> DataFrame:
+    """Rules with one item on either side, (_item, _cons, confidence), and their label first if there are labels.
 
-    The itemsets of these sizes are written once; the rules are a join of
-    pairs with single items, so no rule of a larger set is ever derived.
+    Counts are keyed by (label, item) and (label, a, b), so any number of labels (a purchase's
+    rows, one a label) is one job; support is relative to the label's own purchases.  First
+    the frequent items, then only pairs of these, counted map-side.  The items that a label keeps are
+    bounded by its threshold.  A purchase of more than PAIR_BLOCK frequent items is dealt in pairs of blocks
+    to all tasks, so none makes all pairs of a large purchase.  ``purchases`` is read twice: a
+    written table, or derived from one.
     """
-    spark = basket_df.sparkSession
-    with _fitted(basket_df, min_support, min_confidence, items_col, num_partitions, stored) as model:
-        sets = cut_lineage(spark, model.freqItemsets.where(F.size("items") <= 2), "item-pairs")
-    single = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("_item"), F.col("freq").alias("_n"))
-    pairs = sets.where(F.size("items") == 2).select("freq", F.explode(F.array(
-        F.struct(F.col("items")[0].alias("a"), F.col("items")[1].alias("c")),
-        F.struct(F.col("items")[1].alias("a"), F.col("items")[0].alias("c")))).alias("p"))
-    rules = pairs.select(F.col("p.a").alias("_item"), F.col("p.c").alias("_cons"), "freq").join(single, "_item")
-    return (rules.select("_item", "_cons", (F.col("freq").cast("double") / F.col("_n").cast("double")).alias("confidence"))
-            .where(F.col("confidence") >= min_confidence))
+    spark = purchases.sparkSession
+    label = F.col(label_col) if label_col else F.lit("")
+    rows = purchases.select(label.alias("_label"), F.col(items_col).alias("_items"))
+    total = rows.groupBy("_label").agg(F.ceil(F.lit(min_support) * F.count(F.lit(1))).alias("_least"))
+    total = cut_lineage(spark, total, "label-thresholds")
+    single = (rows.select("_label", F.explode("_items").alias("_item")).groupBy("_label", "_item").agg(F.count(F.lit(1)).alias("_n"))
+              .join(total, "_label").where(F.col("_n") >= F.col("_least")).select("_label", "_item", "_n"))
+    single = cut_lineage(spark, single, "frequent-items")
+    lists, _ = broadcast_if_bounded(cut_lineage(
+        spark, single.groupBy("_label").agg(F.collect_set("_item").alias("_frequent")), "frequent-lists"))
+    kept = rows.join(lists, "_label").select("_label", F.array_sort(F.array_intersect("_items", "_frequent")).alias("_items"))
+    size = F.size("_items")
+    small = kept.where((size > 1) & (size <= PAIR_BLOCK)).select("_label", F.col("_items").alias("_a"), F.lit(None).cast("array<string>").alias("_b"))
+    blocks = F.expr(f"""flatten(transform(sequence(0, (size(_items) - 1) div {PAIR_BLOCK}), i -> transform(
+        sequence(i, (size(_items) - 1) div {PAIR_BLOCK}), j -> struct(
+            slice(_items, i * {PAIR_BLOCK} + 1, {PAIR_BLOCK}) AS a,
+            IF(i = j, CAST(NULL AS array<string>), slice(_items, j * {PAIR_BLOCK} + 1, {PAIR_BLOCK})) AS b))))""")
+    large = (kept.where(size > PAIR_BLOCK).select("_label", F.explode(blocks).alias("p")).select("_label", F.col("p.a").alias("_a"), F.col("p.b").alias("_b"))
+             .repartition(F.xxhash64("_a", "_b")))
+    # Within a block each item with those after it, between blocks each with each; items are sorted.
+    pairs = F.expr("""flatten(transform(_a, (x, i) -> transform(
+        coalesce(_b, slice(_a, i + 2, size(_a))), y -> struct(x AS a, y AS c))))""")
+    counts = (small.unionByName(large).select("_label", F.explode(pairs).alias("p"))
+              .groupBy("_label", F.col("p.a").alias("_a"), F.col("p.c").alias("_c")).agg(F.count(F.lit(1)).alias("_both")))
+    counts = cut_lineage(spark, counts.join(total, "_label").where(F.col("_both") >= F.col("_least")).drop("_least"), "pair-counts")
+    both = counts.select("_label", "_both", F.explode(F.array(F.struct(F.col("_a").alias("a"), F.col("_c").alias("c")),
+                                                              F.struct(F.col("_c").alias("a"), F.col("_a").alias("c")))).alias("p"))
+    rules = both.select("_label", F.col("p.a").alias("_item"), F.col("p.c").alias("_cons"), "_both").join(single, ["_label", "_item"])
+    confidence = F.col("_both").cast("double") / F.col("_n").cast("double")
+    keep = ([F.col("_label").alias(label_col)] if label_col else []) + [F.col("_item"), F.col("_cons"), confidence.alias("confidence")]
+    return rules.select(*keep).where(F.col("confidence") >= min_confidence)
+
+
+def mine_pair_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+                    items_col: str = ITEMS, stored: bool = False) -> DataFrame:
+    """``pair_rules`` of unlabelled baskets, which are written first unless they are ``stored``."""
+    if not stored:
+        basket_df = cut_lineage(basket_df.sparkSession, basket_df.select(items_col), "baskets")
+    return pair_rules(basket_df, min_support, min_confidence, items_col)
 
 
 def mine_rules(basket_df: DataFrame, min_support: float = MIN_SUPPORT,

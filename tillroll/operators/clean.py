@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import digits_only, has_digit, non_blank
@@ -37,6 +37,21 @@ def _typed(raw: DataFrame) -> DataFrame:
     )
 
 
+def _clean_line() -> Column:
+    """Whether a typed line is a valid purchase line."""
+    return (
+        non_blank(STOCK_CODE) & non_blank(INVOICE_DATE) & non_blank(CUSTOMER_ID)
+        & digits_only(CUSTOMER_ID) & digits_only(INVOICE_NO)
+        & (F.col(QUANTITY) > 0) & (F.col(UNIT_PRICE) > 0)
+        & has_digit(STOCK_CODE)
+    )
+
+
+def _loadable_line() -> Column:
+    """Whether the initial load accepts a typed line."""
+    return non_blank(STOCK_CODE) & (F.col(UNIT_PRICE) > 0) & non_blank(CUSTOMER_ID)
+
+
 def clean_transactions(raw: DataFrame) -> DataFrame:
     """Keep valid purchase lines.
 
@@ -48,14 +63,14 @@ def clean_transactions(raw: DataFrame) -> DataFrame:
     One projection and one filter: Catalyst fuses them into the scan's
     codegen stage and pushes the not-null parts to the source.
     """
-    typed = _typed(raw)
-    keep = (
-        non_blank(STOCK_CODE) & non_blank(INVOICE_DATE) & non_blank(CUSTOMER_ID)
-        & digits_only(CUSTOMER_ID) & digits_only(INVOICE_NO)
-        & (F.col(QUANTITY) > 0) & (F.col(UNIT_PRICE) > 0)
-        & has_digit(STOCK_CODE)
-    )
-    return typed.filter(keep)
+    return _typed(raw).filter(_clean_line())
+
+
+def flagged_lines(raw: DataFrame, clean_col: str = "_clean", loadable_col: str = "_loadable") -> DataFrame:
+    """The typed lines that cleaning or the initial load keeps, each told by a flag, from one scan."""
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    lines = _typed(raw).select("*", flag(_clean_line()).alias(clean_col), flag(_loadable_line()).alias(loadable_col))
+    return lines.where(F.col(clean_col) | F.col(loadable_col))
 
 
 def _loadable(raw: DataFrame, pattern: str, default_ts: str) -> DataFrame:
@@ -66,7 +81,7 @@ def _loadable(raw: DataFrame, pattern: str, default_ts: str) -> DataFrame:
     24-hour clock (the original 12-hour ``hh`` with no am/pm field lost
     afternoon times); unparsable or missing dates take ``default_ts``.
     """
-    typed = _typed(raw).filter(non_blank(STOCK_CODE) & (F.col(UNIT_PRICE) > 0) & non_blank(CUSTOMER_ID))
+    typed = _typed(raw).filter(_loadable_line())
     ts = F.coalesce(
         F.try_to_timestamp(F.col(INVOICE_DATE), F.lit(pattern)),
         F.lit(default_ts).cast("timestamp"),
@@ -78,12 +93,13 @@ def load_products(raw: DataFrame, pattern: str = DATE_PATTERN,
                   default_ts: str = DEFAULT_TIMESTAMP) -> DataFrame:
     """Products: StockCode with its latest Description and latest UnitPrice.
 
-    One aggregation per StockCode computes both: ``max(struct(ts, value))``
-    picks the value of the latest line (ties: the greatest value).  The
-    aggregate buffer is one struct per key, combined map-side, so a product
+    Two levels: first the latest timestamp of each distinct (StockCode, Description,
+    UnitPrice), a hash aggregate over the lines with a fixed-width buffer, combined
+    map-side; then ``max(struct(ts, value))`` over these few rows picks the value of the latest
+    line (ties: the greatest value).  No lines are sorted, and a product
     with a huge number of lines never gathers them in one place.
     """
-    rows = _loadable(raw, pattern, default_ts)
+    rows = _loadable(raw, pattern, default_ts).groupBy(STOCK_CODE, DESCRIPTION, UNIT_PRICE).agg(F.max("_ts").alias("_ts"))
     return (rows.groupBy(STOCK_CODE)
             .agg(F.max(F.struct(F.col("_ts"), F.col(DESCRIPTION))).getField(DESCRIPTION).alias(DESCRIPTION),
                  F.max(F.struct(F.col("_ts"), F.col(UNIT_PRICE))).getField(UNIT_PRICE).alias(UNIT_PRICE)))
@@ -97,5 +113,9 @@ def load_customers(raw: DataFrame, pattern: str = DATE_PATTERN,
     The initial segment is the text "null" as originally written; pass
     ``unsegmented=None`` for a real NULL.
     """
-    rows = _loadable(raw, pattern, default_ts).select(CUSTOMER_ID).distinct()
-    return rows.withColumn(SEGMENT, F.lit(unsegmented).cast("string"))
+    return initial_customers(_loadable(raw, pattern, default_ts), unsegmented)
+
+
+def initial_customers(rows: DataFrame, unsegmented: str | None = UNSEGMENTED) -> DataFrame:
+    """The distinct customers of ``rows``, each with the initial segment."""
+    return rows.select(CUSTOMER_ID).distinct().withColumn(SEGMENT, F.lit(unsegmented).cast("string"))

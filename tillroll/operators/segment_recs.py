@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT, baskets, mine_pair_rules
+from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT, baskets, mine_pair_rules, pair_rules
 from tillroll.operators.recommend import frequently_bought, merge_recommendations
 from tillroll.operators.segments import purchase_table, segment_customers, update_segments
 from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import (
-    BASKET_KEY, ITEMS, COUNTRY, CUSTOMER_ID, DESCRIPTION, INVOICE_DATE, INVOICE_NO, QUANTITY, SEGMENT,
+    ITEMS, RECS, COUNTRY, CUSTOMER_ID, DESCRIPTION, INVOICE_DATE, INVOICE_NO, QUANTITY, SEGMENT,
     STOCK_CODE, UNIT_PRICE,
 )
 
@@ -32,14 +29,12 @@ def segment_transactions(tx: DataFrame, segments: DataFrame, segment: str) -> Da
 
 def general_recommendations(tx: DataFrame, min_support: float = MIN_SUPPORT,
                             min_confidence: float = MIN_CONFIDENCE,
-                            num_partitions: int | None = None,
                             basket_df: DataFrame | None = None) -> DataFrame:
     """(StockCode, recs) mined from all transactions.
 
     ``basket_df`` reuses baskets already built from ``tx``.
     """
-    b = cut_lineage(tx.sparkSession, basket_df if basket_df is not None else baskets(tx), "baskets")
-    return frequently_bought(mine_pair_rules(b, min_support, min_confidence, num_partitions=num_partitions, stored=True))
+    return frequently_bought(mine_pair_rules(basket_df if basket_df is not None else baskets(tx), min_support, min_confidence))
 
 
 def segment_baskets(basket_df: DataFrame, segments: DataFrame) -> DataFrame:
@@ -56,7 +51,6 @@ def segment_baskets(basket_df: DataFrame, segments: DataFrame) -> DataFrame:
 def segment_recommendations(tx: DataFrame, segments: DataFrame, segment: str,
                             min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                             fill: DataFrame | None = None,
-                            num_partitions: int | None = None,
                             basket_df: DataFrame | None = None) -> DataFrame:
     """(StockCode, recs) mined from one segment's purchases, optionally filled
     with general recommendations (R10, R11).
@@ -69,66 +63,55 @@ def segment_recommendations(tx: DataFrame, segments: DataFrame, segment: str,
     b = basket_df if basket_df is not None else baskets(tx)
     seg = segments.filter(F.col(SEGMENT) == F.lit(segment)).select(CUSTOMER_ID)
     seg_b = b.join(seg, CUSTOMER_ID, "left_semi")
-    seg_b = cut_lineage(tx.sparkSession, seg_b, "segment-baskets")
-    recs = frequently_bought(mine_pair_rules(seg_b, min_support, min_confidence, num_partitions=num_partitions, stored=True))
-    if fill is not None:
-        recs = merge_recommendations(recs, fill)
-    return recs
+    rules = mine_pair_rules(seg_b, min_support, min_confidence)
+    if fill is None:
+        return frequently_bought(rules)
+    return merge_recommendations(frequently_bought(rules, as_array=True), fill)
 
 
 def recommendations_by_segment(tx: DataFrame, labels, segments: DataFrame | None = None,
                                previous: DataFrame | None = None,
                                general: bool = False, fill: DataFrame | None = None,
                                min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-                               num_partitions: int | None = None,
-                               general_label: str = "gen") -> dict[str, DataFrame]:
+                               general_label: str = "gen", as_array: bool = False,
+                               purchases: DataFrame | None = None) -> dict[str, DataFrame]:
     """Recommendations for several segments from one pass over the lines.
 
     One aggregation builds the purchase table (item set and features per
     purchase), written below ``spark.checkpoint.dir``: the only stored copy
-    of the item sets, durable, and read by every step.  Unless ``segments``
+    of the item sets, durable, and read by every step (``purchases`` gives it where it is there already).  Unless ``segments``
     is given, the customers are segmented from it.  With ``previous`` (the
     earlier customer table) the new segments update it first and the updated
     table assigns the purchases to segments; this small table is written too.
     With ``general`` all purchases also give the general recommendations,
     which fill the segment lists unless ``fill`` is given.
+    A purchase then counts under its customer's label and the general one, and the pairs of
+    all labels are counted in one aggregate (``pair_rules``).
     Returns {label: (StockCode, recs)} plus "segments" (and "customers")
-    when computed here.  Nothing stays cached; ``clear_scratch`` deletes the
+    when computed here; lists are arrays until the end, and with ``as_array`` in the result.  Nothing
+    stays cached; ``clear_scratch`` deletes the
     written tables once the results are stored.
     """
     spark = tx.sparkSession
-    purchases = cut_lineage(spark, purchase_table(tx), "purchases")
+    if purchases is None:
+        purchases = cut_lineage(spark, purchase_table(tx), "purchases")
     out: dict[str, DataFrame] = {}
-    pool = ThreadPoolExecutor(max_workers=len(labels) + 1)
-    try:
-        # Decorated here so the pool threads carry this thread's Spark local
-        # properties (job group, scheduler pool, description): cancelling the
-        # caller's job group also cancels the minings.
-        @inheritable_thread_target(spark)
-        def mine(b: DataFrame):
-            return mine_pair_rules(b, min_support, min_confidence, num_partitions=num_partitions, stored=True)
-
-        futures = {}
-        if general:
-            # Needs only the purchases: runs while the customers are segmented.
-            futures[general_label] = pool.submit(mine, purchases)
-        if segments is None:
-            segments = out["segments"] = cut_lineage(spark, segment_customers(tx, purchases=purchases), "segments")
-        if previous is not None:
-            segments = out["customers"] = cut_lineage(spark, update_segments(previous, segments), "customers")
-        # The minings are independent Spark jobs: submitted together they
-        # share the cluster instead of queueing their small stages.
-        for label in labels:
-            members = segments.filter(F.col(SEGMENT) == F.lit(label)).select(CUSTOMER_ID)
-            futures[label] = pool.submit(mine, purchases.select(*BASKET_KEY, ITEMS).join(members, CUSTOMER_ID, "left_semi"))
-        mined = {label: f.result() for label, f in futures.items()}
-    finally:
-        pool.shutdown(wait=True)
+    if segments is None:
+        segments = out["segments"] = cut_lineage(spark, segment_customers(tx, purchases=purchases), "segments")
+    if previous is not None:
+        segments = out["customers"] = cut_lineage(spark, update_segments(previous, segments), "customers")
+    members = segments.filter(F.col(SEGMENT).isin(list(labels))).select(CUSTOMER_ID, F.col(SEGMENT).alias("_label"))
+    labelled = purchases.select(CUSTOMER_ID, ITEMS).join(members.distinct(), CUSTOMER_ID).select("_label", ITEMS)
+    if general:
+        labelled = labelled.unionByName(purchases.select(F.lit(general_label).alias("_label"), ITEMS))
+    lists = cut_lineage(spark, frequently_bought(pair_rules(labelled, min_support, min_confidence, label_col="_label"),
+                                                 as_array=True, label_col="_label"), "recommendations")
+    of = lambda label: lists.where(F.col("_label") == F.lit(label)).drop("_label")
+    as_text = lambda df: df if as_array else df.select(STOCK_CODE, F.array_join(RECS, ",").alias(RECS))
     if general:
-        out[general_label] = frequently_bought(mined[general_label])
+        out[general_label] = as_text(of(general_label))
         if fill is None:
-            fill = out[general_label]
+            fill = of(general_label)
     for label in labels:
-        recs = frequently_bought(mined[label])
-        out[label] = merge_recommendations(recs, fill) if fill is not None else recs
+        out[label] = merge_recommendations(of(label), fill, as_array) if fill is not None else as_text(of(label))
     return out

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.columns import (
     euclidean_distance, keep_old_segment, min_max_scale, segment_label,
 )
+from tillroll.operators.clean import flagged_lines, initial_customers
 from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import (
     AVG_PRICE_PER_PURCHASE, AVG_PRODUCTS_PER_PURCHASE, AVG_QUANTITY_PER_PURCHASE,
@@ -56,6 +57,32 @@ def purchase_table(tx: DataFrame, item_col: str = STOCK_CODE) -> DataFrame:
                       F.size(ITEMS).cast("long").alias(PRODUCTS_PER_PURCHASE), QUANTITY_PER_PURCHASE)
 
 
+def raw_purchase_table(raw: DataFrame, item_col: str = STOCK_CODE) -> DataFrame:
+    """``purchase_table`` of the cleaned lines and the initial load's customers, from one scan of the raw lines.
+
+    Conditional aggregates: only clean lines add to a purchase's items and features; ``_clean`` and
+    ``_loadable`` tell whether it has such lines.  ``purchases_of`` and ``customers_of`` split a written copy.
+    """
+    clean = lambda c: F.when(F.col("_clean"), c)
+    agg = flagged_lines(raw).groupBy(*BASKET_KEY).agg(
+        F.array_sort(F.collect_set(clean(F.col(item_col)))).alias(ITEMS),
+        F.sum(clean(F.col(UNIT_PRICE) * F.col(QUANTITY))).alias(PRICE_PER_PURCHASE),
+        F.sum(clean(F.col(QUANTITY))).cast("long").alias(QUANTITY_PER_PURCHASE),
+        F.max("_clean").alias("_clean"), F.max("_loadable").alias("_loadable"))
+    return agg.select(*BASKET_KEY, ITEMS, PRICE_PER_PURCHASE,
+                      F.size(ITEMS).cast("long").alias(PRODUCTS_PER_PURCHASE), QUANTITY_PER_PURCHASE, "_clean", "_loadable")
+
+
+def purchases_of(table: DataFrame) -> DataFrame:
+    """The purchases with clean lines of a ``raw_purchase_table``."""
+    return table.where("_clean").drop("_clean", "_loadable")
+
+
+def customers_of(table: DataFrame) -> DataFrame:
+    """The initial load's customers of a ``raw_purchase_table``."""
+    return initial_customers(table.where("_loadable"))
+
+
 def customer_aggregates(tx: DataFrame, purchases: DataFrame | None = None) -> DataFrame:
     """Per customer: number of purchases and the three purchase averages (A2).
 

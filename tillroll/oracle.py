@@ -224,12 +224,14 @@ def build() -> dict[str, str]:
     SELECT DISTINCT c.CustomerID, coalesce(s.segment, c.segment) AS segment
     FROM cust c LEFT JOIN seg s ON c.CustomerID = s.CustomerID"""
     q["replace_own_input"] = q["update_segments"]
+    features = " UNION ALL ".join(
+        f"SELECT 'features' AS output, CustomerID AS key, round(CAST({p}{c} AS DOUBLE), 6) AS num, '{p}{c}' AS txt FROM sc"
+        for c in CUSTOMER_FEATURES for p in (SCALED_PREFIX, ""))
     q["segmentation_job"] = f"""WITH {raw}, ld AS ({loadable_sql('raw')}),
       cust AS (SELECT DISTINCT CustomerID, 'null' AS segment FROM ld),
       ct AS ({clean_sql('raw')}),
       {segment_ctes('ct')}
-    SELECT 'features' AS output, CustomerID AS key, round(scaled_avgPricePerPurchasePerCustomer, 6) AS num,
-           CAST(NULL AS VARCHAR) AS txt FROM sc
+    {features}
     UNION ALL SELECT 'similarity', CustomerID, round(similarity, 6), NULL FROM sim
     UNION ALL SELECT 'stats', segment, CAST(count(*) AS DOUBLE), NULL FROM seg GROUP BY segment
     UNION ALL SELECT 'segments', CustomerID, NULL, segment FROM seg

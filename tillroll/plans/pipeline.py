@@ -1,9 +1,10 @@
 """The chained recommendation pipeline (C7): clean -> segment -> general
 recommendations -> per-segment recommendations filled with the general ones.
 
-The cleaned lines are read once, by the purchase aggregation; what that gives
-is written below ``spark.checkpoint.dir`` and feeds segmentation and all
-minings.  Segment labels are the fixed outcomes of the segment rule, so no
+The raw lines are read once, by the purchase aggregation, whose conditional parts serve
+cleaning and the initial load; what it gives
+is written below ``spark.checkpoint.dir`` and feeds customers, segmentation and the
+pair counts of all labels.  Segment labels are the fixed outcomes of the segment rule, so no
 data is collected to decide what to run.
 """
 
@@ -13,8 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.baskets import MIN_CONFIDENCE, MIN_SUPPORT
-from tillroll.operators.clean import clean_transactions, load_customers
+from tillroll.operators.clean import clean_transactions
 from tillroll.operators.segment_recs import recommendations_by_segment
+from tillroll.operators.segments import customers_of, purchases_of, raw_purchase_table
+from tillroll.plans.strategies import cut_lineage
 from tillroll.schema import RECS, SEGMENT, STOCK_CODE
 
 # The labels the segment rule produces, and the label used here
@@ -33,11 +36,12 @@ def run_pipeline(raw: DataFrame, customers: DataFrame | None = None,
     customers, gen, and one entry per segment label.
     """
     clean = clean_transactions(raw)
+    table = cut_lineage(raw.sparkSession, raw_purchase_table(raw), "purchases")
     if customers is None:
-        customers = load_customers(raw)
+        customers = customers_of(table)
     out = recommendations_by_segment(clean, SEGMENT_LABELS, previous=customers, general=True,
                                      min_support=min_support, min_confidence=min_confidence,
-                                     general_label=GENERAL_LABEL)
+                                     general_label=GENERAL_LABEL, purchases=purchases_of(table))
     out["clean"] = clean
     return out
 

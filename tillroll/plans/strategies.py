@@ -40,16 +40,13 @@ def row_bytes(schema: T.StructType) -> Column:
 def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Broadcast ``df`` only when its rows add up to at most ``max_bytes``, by their estimated width.
 
-    The check reads at most as many rows as could fit (each has 8 bytes at least), so it
-    stops early on a large table.  Beyond the bound the plain DataFrame is returned and
+    The check is a sum over the table, added up within tasks first, so that only one row a task moves.
+    Beyond the bound the plain DataFrame is returned and
     Spark shuffles both sides (AQE may still split skewed partitions).  ``df`` should be
     cheap to read twice: a written table, or derived from one.
     """
-    most = max_bytes // 8 + 1
-    rows, total = df.limit(most).agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))).first()
-    if rows < most and total <= max_bytes:
-        return F.broadcast(df), True
-    return df, False
+    total = df.agg(F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))).first()[0]
+    return (F.broadcast(df), True) if total <= max_bytes else (df, False)
 
 
 def cut_lineage(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:

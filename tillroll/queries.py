@@ -182,8 +182,11 @@ def q_segmentation_job(spark, sf_dir):
 
     def rows(df, output, key, num, txt):
         return df.select(F.lit(output).alias("output"), F.col(key).alias("key"), num.alias("num"), txt.alias("txt"))
-    price = _r6(F.col(SCALED_PREFIX + AVG_PRICE_PER_PURCHASE))
-    return (rows(run.features, "features", CUSTOMER_ID, price, text)
+    # Every feature column, one row each, named in ``txt``.
+    names = [p + c for c in CUSTOMER_FEATURES for p in (SCALED_PREFIX, "")]
+    features = run.features.select(CUSTOMER_ID, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), _r6(F.col(c).cast("double")).alias("value")) for c in names])).alias("f"))
+    return (rows(features, "features", CUSTOMER_ID, F.col("f.value"), F.col("f.name"))
             .unionByName(rows(run.similarity, "similarity", CUSTOMER_ID, _r6(F.col(SIMILARITY)), text))
             .unionByName(rows(run.stats, "stats", SEGMENT, F.col(NO_OF_CUSTOMERS).cast("double"), text))
             .unionByName(rows(run.segments, "segments", CUSTOMER_ID, none, F.col(SEGMENT)))

@@ -3,6 +3,7 @@
 from tillroll.sources.delimited import (  # noqa: F401
     read_delimited,
     read_delimited_with_schema,
+    read_table,
     replace_table,
     write_delimited,
     write_jdbc,

@@ -9,6 +9,8 @@ for small results only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -77,18 +79,63 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     df.write.mode(mode).jdbc(url, table, properties=properties or {})
 
 
+_POINTER = "_current"
+
+
+def _file_context(spark: SparkSession, path: str):
+    """Hadoop's file context of a path's store, and functions that make its paths and options."""
+    jvm = spark._jvm
+    to_path = jvm.org.apache.hadoop.fs.Path
+    return jvm.org.apache.hadoop.fs.FileContext.getFileContext(to_path(path).toUri(), spark._jsc.hadoopConfiguration()), to_path
+
+
+def _commit(spark: SparkSession, path: str, version: str) -> None:
+    """Makes ``version`` the table at ``path``: one rename of a small pointer file."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    context, to_path = _file_context(spark, path)
+    fs.mkdirs(to_path(path))
+    new = to_path(f"{path}/{_POINTER}-{uuid.uuid4().hex}")
+    out = fs.create(new, True)
+    try:
+        out.write(bytearray(version.encode()))
+    finally:
+        out.close()
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(new, to_path(f"{path}/{_POINTER}"), over)
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder that holds the table at ``path``: the last committed version, or ``path`` itself."""
+    jvm = spark._jvm
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{path}/{_POINTER}")
+    fs = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(pointer):
+        return path
+    stream = fs.open(pointer)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType, sep: str = TAB) -> DataFrame:
+    """The delimited table at ``path``, whichever version of it is committed."""
+    return read_delimited_with_schema(spark, current_version(spark, path), schema, sep=sep)
+
+
 def replace_table(spark: SparkSession, df: DataFrame, path: str, staging_path: str,
                   schema: T.StructType, sep: str = TAB) -> DataFrame:
     """Replace the delimited table at ``path`` with ``df`` although ``df`` may
-    be computed from that same table.
+    be computed from that same table (S7).
 
-    Spark cannot overwrite a path it is still reading, so ``df`` is first
-    written to ``staging_path`` (fully materialised), then re-read from there
-    and written over ``path``.  Returns the table as read back from ``path``.
-    The staging copy stays for the caller to delete, as the only whole copy
-    while ``path`` is being written.
+    ``df`` is written to ``staging_path`` as a new version, a folder that must not be there yet, and
+    committed by one rename of a pointer file in ``path`` that names it.  Readers follow the pointer
+    (``read_table``), so they see the old version or the new one, whole: a failure before the rename
+    leaves the old table as it was.  Returns the new version.  Earlier versions stay for those
+    who still read them, and for the caller to delete; writing ``path`` anew drops the pointer.
     """
-    write_delimited(df, staging_path, sep=sep)
-    staged = read_delimited_with_schema(spark, staging_path, schema, sep=sep)
-    write_delimited(staged, path, sep=sep)
-    return read_delimited_with_schema(spark, path, schema, sep=sep)
+    write_delimited(df, staging_path, sep=sep, mode="error")
+    _commit(spark, path, staging_path)
+    return read_table(spark, path, schema, sep=sep)
