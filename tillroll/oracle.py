@@ -8,6 +8,8 @@ itemset counts by self-join or power set, relational division by
 
 from __future__ import annotations
 
+from tillroll.schema import CUSTOMER_FEATURES, SCALED_PREFIX
+
 SUPPORT = 0.01
 CONFIDENCE = 0.2
 BRAND_SUPPORT = 0.02
