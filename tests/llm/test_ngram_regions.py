@@ -77,3 +77,22 @@ def test_windows_never_close_on_a_link():
                 if 4 * both >= 3 * (len(sets[i]) + len(sets[j]) - both):
                     assert (i, j) in near
         assert len(near) < len(ids) ** 2 / 4
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch, most):
+    monkeypatch.setattr(ngram_join, "TASK_LINKS", most)
+    rng = random.Random(most)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(k, k + 1) for k in range(400, 460)]
+    edges = [(a, b) for a, b in edges if a != b]
+    parent = {x: x for e in edges for x in e}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for a, b in edges:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    got = {r[0]: r[1] for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()}
+    assert got == {x: root(x) for x in parent}

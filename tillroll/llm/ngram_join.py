@@ -47,6 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,6 +59,7 @@ CELLS, FEWEST = 128, 64
 FEW, SMALL, PIVOTS, SHRINK = 6, 64, 16, 0.8
 PIVOT_BLOCK, CHUNK = 64, 4096
 SALTS = 16
+TASK_LINKS = 1_000_000
 CELL_BYTES = 1 << 24    # of texts that meet a pivot in one task
 FREQUENT = 50_000       # shingles put last, at most
 COUNTED_SHINGLES = 1 << 21  # what a task counts at once
@@ -67,6 +69,7 @@ _U = np.uint64
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    """(id, set) of each row (id, text)."""
     ids = batch.column(0).to_pylist()
     for at, data, offsets in text_chunks(batch.column(1)):
         for k, s in enumerate(shingle_sets(data, offsets, WIDTH)):
@@ -103,8 +106,8 @@ def least_difference(x: bytes, y: bytes) -> int:
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: size, two sums that identify the set, cells.  And shingles that many documents
     of the task have, as rows without cells: hash and count."""
-    names = ["_id", "n", "h1", "h2", "cells", "fine"]
-    kinds = [pa.int64()] * 4 + [pa.binary()] * 2
+    names = ["_id", "n", "h1", "h2", "bytes", "cells", "fine"]
+    kinds = [pa.int64()] * 5 + [pa.binary()] * 2
     held: list[np.ndarray] = []
     total = 0
 
@@ -117,9 +120,10 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         out: list[tuple] = []
-        for doc, s in _sets(batch):
+        lengths = pc.binary_length(batch.column(1)).to_pylist()
+        for length, (doc, s) in zip(lengths, _sets(batch)):
             out.append((doc, len(s), int(mix(s).sum(dtype=_U).astype(np.int64)),
-                        int(mix(s ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U).astype(np.int64)), coarse_cells(s), fine_cells(s)))
+                        int(mix(s ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U).astype(np.int64)), length, coarse_cells(s), fine_cells(s)))
             held.append(s)
             total += len(s)
             if total >= COUNTED_SHINGLES:
@@ -275,7 +279,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Join:
     def __init__(self, rows: DataFrame, percent: int):
         self.rows, self.percent, self.spark = rows, percent, rows.sparkSession
-        made = written(self.spark, rows.mapInArrow(_summaries, "_id long, n long, h1 long, h2 long, cells binary, fine binary"),
+        made = written(self.spark, rows.mapInArrow(_summaries, "_id long, n long, h1 long, h2 long, bytes long, cells binary, fine binary"),
                        "summaries")
         self.docs = made.where("fine IS NOT NULL")
         often = (made.where("fine IS NULL").groupBy("_id").agg(F.sum("n").alias("n"))
@@ -306,11 +310,15 @@ class _Join:
         first = first.where(~((F.col("some") == F.col("c")) & (F.col("lo") == F.col("hi")))).select("sig", "pivot")
         return rows.join(first, "sig")
 
+    def concerned(self, table: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The rows of ``table`` that may be of a document in ``pairs``, by one bitmap."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("_id"))
+        return mark_probable(table, ids).where("_hit").drop("_hit")
+
     def with_summary(self, pairs: DataFrame, column: str) -> DataFrame:
         """(a, b, their sizes, their ``column``)."""
-        def of(k: str) -> DataFrame:
-            some = mark_probable(self.docs.select("_id", "n", column), pairs.select(F.col(k).alias("_id"))).where("_hit")
-            return some.select(F.col("_id").alias(k), F.col("n").alias(f"n{k}"), F.col(column).alias(f"c{k}"))
+        some = self.concerned(self.docs.select("_id", "n", column), pairs)
+        of = lambda k: some.select(F.col("_id").alias(k), F.col("n").alias(f"n{k}"), F.col(column).alias(f"c{k}"))
         return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "na", "nb", "ca", "cb")
 
     def may_link(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -325,18 +333,17 @@ class _Join:
 
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
         """Shared and united shingles of the pairs (a written table of distinct a, b)."""
-        marked = lambda key: mark_probable(self.rows, pairs.select(F.col(key).alias("_id"))).where("_hit")
-        sizes = marked("b").select(F.col("_id").alias("b"), F.octet_length("_text").cast("long").alias("size"))
-        pairs = written(self.spark, pairs.join(sizes, "b"), f"{name}-sizes")
-        cells = pairs.groupBy("a").agg(F.sum("size").alias("m"))
+        pairs = pairs.join(self.docs.select(F.col("_id").alias("b"), "bytes"), "b")
+        pairs = written(self.spark, pairs, f"{name}-sizes")
+        cells = pairs.groupBy("a").agg(F.sum("bytes").alias("m"))
         part = F.pmod(F.xxhash64("b"), F.ceil((F.col("m") + 1) / CELL_BYTES)).cast("int").alias("part")
         dealt = written(self.spark, pairs.join(cells, "a").select("a", "b", part), f"{name}-dealt")
-
-        def with_text(rows: DataFrame, key: str) -> DataFrame:
-            return rows.join(marked(key).select(F.col("_id").alias(key), "_text"), key)
-        others = with_text(dealt, "b").select("a", "part", "b", "_text")
-        pivots = with_text(dealt.select("a", "part").distinct(), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "_text")
-        met = others.unionByName(pivots).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+        # Whose text goes where: each document's to its pivot's cell, a pivot's to each part of its cell.
+        none = F.lit(None).cast("long")
+        wanted = dealt.select(F.col("b").alias("_id"), "a", "part", "b").unionByName(
+            dealt.select("a", "part").distinct().select(F.col("a").alias("_id"), "a", "part", none.alias("b")))
+        met = wanted.join(self.concerned(self.rows, pairs), "_id").select("a", "part", "b", "_text")
+        met = met.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
         return written(self.spark, met.mapInArrow(_compared, "a long, b long, shared long, either long"), name)
 
     def links(self, distances: DataFrame) -> DataFrame:
@@ -442,16 +449,49 @@ def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
     return written(links.sparkSession, every.select("_id", F.coalesce("root", "class").alias("class")), "classes")
 
 
+def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b) links of a task: each end and the smallest id that the task's links lead to."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while parent[top] != top:
+            top = parent[top]
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parent.setdefault(a, a)
+            parent.setdefault(b, b)
+            x, y = root(a), root(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    ids = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([root(x) for x in ids], pa.int64())], names=["_id", "class"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """The smallest id reachable by links: ``_id``, ``class``, for every id in a link.
 
+    At most TASK_LINKS links (16 MB) are one task's; more are followed in rounds.
+    """
+    links = written(links.sparkSession, links.select("a", "b"), "links")
+    if links.count() <= TASK_LINKS:
+        return written(links.sparkSession, links.coalesce(1).mapInArrow(_roots, "_id long, class long"), "labels")
+    return _components_in_rounds(links)
+
+
+def _components_in_rounds(links: DataFrame) -> DataFrame:
+    """The smallest id reachable by links: ``_id``, ``class``, for every id in a link.
+
     Each round a node takes the smallest label among its own, its neighbours' and its
     label's label, so the labels of a path meet in a number of rounds that grows with the
     logarithm of its length.
     """
     spark = links.sparkSession
     ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    ends = written(spark, ends, "links")
+    ends = written(spark, ends, "ends")
     labels = written(spark, ends.groupBy(F.col("a").alias("_id")).agg(F.min("b").alias("m"))
                      .select("_id", F.least("_id", "m").alias("class")), "labels0")
     k = 0

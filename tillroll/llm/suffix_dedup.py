@@ -19,7 +19,7 @@ significant first, and a suffix that is alone in its bucket goes no further:
    Buckets of more than ``bucket_limit`` regions are not held in one task: their windows
    become rows, whose first ones are found by an aggregate and joined back.
 
-Digits are 64-bit hashes; windows taken for equal agree in two independent ones.
+Digits are 64-bit hashes; windows taken for equal agree in two of one polynomial family, at their anchor and as a whole.
 
 Results for odd input: see ``common.keyed``; texts shorter than THRESHOLD bytes lose
 nothing; overlapping repeats count; an empty table gives no rows.
