@@ -189,15 +189,15 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[
     return out
 
 
-def text_chunks(column, max_bytes: int = 1 << 20):
+def text_chunks(column, max_bytes: int = 1 << 19):
     """(first row, bytes, offsets) of runs of rows of an Arrow string column without nulls."""
     import pyarrow as pa
 
     if len(column) == 0:
         return
-    column = column.cast(pa.large_string())
+    kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     _, off, buf = column.buffers()
-    off = np.frombuffer(off, np.int64)[column.offset:column.offset + len(column) + 1]
+    off = np.frombuffer(off, kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(buf, np.uint8) if buf is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):

@@ -43,12 +43,11 @@ MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: kinds of pieces
-# What a worker keeps between batches: words in each of two generations (bytes), compared pairs, merged strings.
-KEPT_BYTES = 28 << 20
+# What a worker keeps between batches: words in each of two generations (bytes), compared pairs.
+KEPT_BYTES = 24 << 20
 WORD_BYTES = 180        # of a kept word, besides its characters and ids
 LONG = 1024
 KEPT_PAIRS = 400_000
-KEPT_MERGES = 160_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -113,7 +112,6 @@ class Model:
                 node = at[0]
             if at:
                 at[1] = i
-        self._merged: dict[str, tuple[str, ...]] = {}
         self._fits: dict[int, bool] = {}
         self._alone: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
@@ -126,21 +124,17 @@ class Model:
 
     def merges(self, word: str) -> tuple[str, ...]:
         """The result of the merge algorithm on a short string: best score, then leftmost."""
-        if word not in self._merged:
-            parts = list(word)
-            while len(parts) > 1:
-                best, at = None, -1
-                for i in range(len(parts) - 1):
-                    k = self.id_of.get(parts[i] + parts[i + 1])
-                    if k is not None and (best is None or self.scores[k] > best):
-                        best, at = self.scores[k], i
-                if at < 0:
-                    break
-                parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            if len(self._merged) > KEPT_MERGES:
-                self._merged.clear()
-            self._merged[word] = tuple(parts)
-        return self._merged[word]
+        parts = list(word)
+        while len(parts) > 1:
+            best, at = None, -1
+            for i in range(len(parts) - 1):
+                k = self.id_of.get(parts[i] + parts[i + 1])
+                if k is not None and (best is None or self.scores[k] > best):
+                    best, at = self.scores[k], i
+            if at < 0:
+                break
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return tuple(parts)
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the merges leave two pieces, put together, as these two."""
