@@ -41,10 +41,16 @@ def public_id(name: str = "doc_id") -> Column:
 
 
 _SHIPPED: set[str] = set()
+# Bytes of an Arrow batch, which a task holds a few times over; Spark's default is 64 MB.
+BATCH_BYTES = 16 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Gives the executors this package, once an application, where it is not installed on them."""
+    """Gives the executors this package, once an application, where it is not installed on them, and
+    the session smaller Arrow batches, where it has Spark's default."""
+    if spark.conf.get(_BATCH_SETTING, "") in ("67108864b", "67108864", "64m", "64MB"):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

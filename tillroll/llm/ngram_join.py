@@ -60,6 +60,7 @@ FEW, SMALL, PIVOTS, SHRINK = 6, 64, 16, 0.8
 PIVOT_BLOCK, CHUNK = 64, 4096
 SALTS = 16
 TASK_LINKS = 1_000_000
+ROWS_AT_ONCE = 100_000    # that a task sends on together
 CELL_BYTES = 1 << 24    # of texts that meet a pivot in one task
 FREQUENT = 50_000       # shingles put last, at most
 COUNTED_SHINGLES = 1 << 21  # what a task counts at once
@@ -118,6 +119,9 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(h[most].astype(np.int64)), pa.array(count[most]),
                                            *(pa.nulls(n, t) for t in kinds[2:])], names=names)
 
+    def summary(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+
     for batch in batches:
         out: list[tuple] = []
         lengths = pc.binary_length(batch.column(1)).to_pylist()
@@ -129,8 +133,11 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if total >= COUNTED_SHINGLES:
                 yield frequent()
                 held, total = [], 0
+            if len(out) >= 1000:
+                yield summary(out)
+                out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
+            yield summary(out)
     if held:
         yield frequent()
 
@@ -147,14 +154,21 @@ def signature(s: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
 
 def _signatures(batches: Iterator[pa.RecordBatch], frequent, percent: int) -> Iterator[pa.RecordBatch]:
     often = frequent.value
+    sigs, ids, total = [np.zeros(0, _U)], [], 0
+
+    def made() -> pa.RecordBatch:
+        own = np.repeat(np.array(ids, np.int64), np.array(list(map(len, sigs[1:])), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).astype(np.int64)), pa.array(own)], names=["sig", "_id"])
+
     for batch in batches:
-        sigs, ids, sizes = [np.zeros(0, _U)], [], []
         for doc, s in _sets(batch):
             sigs.append(signature(s, often, percent))
             ids.append(doc)
-            sizes.append(len(sigs[-1]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).astype(np.int64)),
-                                          pa.array(np.repeat(np.array(ids, np.int64), sizes))], names=["sig", "_id"])
+            total += len(sigs[-1])
+            if total >= ROWS_AT_ONCE:
+                yield made()
+                sigs, ids, total = sigs[:1], [], 0
+    yield made()
 
 
 # ---------------------------------------------------------------- windows
