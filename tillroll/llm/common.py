@@ -48,8 +48,8 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def ship_package(spark: SparkSession) -> None:
     """Gives the executors this package, once an application, where it is not installed on them, and
-    the session smaller Arrow batches, where it has Spark's default."""
-    if spark.conf.get(_BATCH_SETTING, None) in ("67108864b", "67108864", "64m", "64MB"):
+    the session smaller Arrow batches, where it sets none."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:  # the session has Spark's default
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
