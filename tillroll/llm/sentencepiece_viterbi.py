@@ -44,10 +44,10 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: kinds of pieces
 # What a worker keeps between batches: words in each of two generations (bytes), compared pairs.
-KEPT_BYTES = 24 << 20
+KEPT_BYTES = 12 << 20
 WORD_BYTES = 180        # of a kept word, besides its characters and ids
 LONG = 1024
-KEPT_PAIRS = 400_000
+KEPT_PAIRS = 200_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
