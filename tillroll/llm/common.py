@@ -10,6 +10,8 @@ their names, cannot clash.
 
 from __future__ import annotations
 
+import ctypes
+import os
 import tempfile
 import zipfile
 from pathlib import Path
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from tillroll.session import scratch_path
 
 NULL_ID = -(1 << 63)
+# The C library's call, where it has one (glibc).
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
 # Bits of the bitmap filter: 2**23 bits travel as at most 256 rows of 4 KB (1 MB).
 BITMAP_BITS = 1 << 23
 
@@ -63,6 +67,16 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(path))
 
 
+def let_go() -> None:
+    """Gives memory that this Python worker has freed back to the system.  Arrow's pool and the C library
+    would keep it, and Spark keeps its workers for the stages that follow."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: survives lost executors, read many times."""
     path = scratch_path(spark, name)
