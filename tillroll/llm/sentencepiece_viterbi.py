@@ -14,10 +14,6 @@ pieces that end there:
   piece.  So the same forward pass gives the ids of the merge algorithm, where a plain sum
   of scores would not.
 
-Words of at most SHORT characters, which are nearly all, have BPE merges made outright: all
-such words of a batch together, one numpy step a length, each step the best merge of every
-word that has as many symbols left.
-
 Characters without a piece become byte pieces, or the unknown id in models without these.
 Words are handled whole, in time linear in their length.  A worker keeps the ids of words between
 the batches of a task in two generations of at most KEPT_BYTES each, and gives their memory back
@@ -43,19 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import MUL, let_go, positional
+from tillroll.llm.common import let_go, positional
 
 MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNIGRAM, BPE = 1, 2
-NO_RANK = (1 << 31) - 1
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # fixed values: kinds of pieces
 # What a worker keeps between the batches of a task: words in each of two generations (bytes), compared pairs.
 KEPT_BYTES = 12 << 20
 WORD_BYTES = 180        # of a kept word, besides its characters and ids
 LONG = 1024
-SHORT = 64
-MERGED_CHARS = 1 << 19  # of short words that are merged together
 KEPT_PAIRS = 200_000
 
 
@@ -84,10 +77,6 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += n
 
 
-def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (keys.view(np.uint64) * np.uint64(MUL) >> np.uint64(64 - bits)).astype(np.int64)
-
-
 class Model:
     """Pieces, scores and kinds of a model file, and the forward pass over its pieces."""
 
@@ -153,107 +142,6 @@ class Model:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return tuple(parts)
 
-    @cached_property
-    def symbol_at(self) -> np.ndarray:
-        """The symbols of code points."""
-        out = np.full(max(map(ord, self.symbols), default=0) + 1, -1, np.int32)
-        out[[ord(c) for c in self.symbols]] = list(self.symbols.values())
-        return out
-
-    @cached_property
-    def rank(self) -> np.ndarray:
-        """Places of pieces by score, best first, equal ones alike; last (at -1, too) what is no piece."""
-        out = np.full(len(self.text_of) + 1, NO_RANK, np.int32)
-        out[:len(self.scores)] = np.unique(-np.array(self.scores), return_inverse=True)[1]
-        return out
-
-    @cached_property
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, int]:
-        """Pairs of symbols that make a piece, and these pieces, hashed into slots (empty: -1); and the bits of a slot."""
-        left, right, made = [], [], []
-        symbol_of = self.symbols | self.id_of
-        for piece, i in self.id_of.items():
-            for k in range(1, len(piece)):
-                a, b = symbol_of.get(piece[:k]), symbol_of.get(piece[k:])
-                if a is not None and b is not None:
-                    left.append(a)
-                    right.append(b)
-                    made.append(i)
-        keys = np.array(left, np.int64) << 32 | np.array(right, np.int64)
-        made = np.array(made, np.int32)
-        bits = max(4, (2 * len(keys)).bit_length())
-        slots, values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
-        at = _slot(keys, bits)
-        while len(keys):
-            free = slots[at] < 0
-            slots[at[free]] = keys[free]  # of several for a slot, one
-            values[at[slots[at] == keys]] = made[slots[at] == keys]
-            rest = slots[at] != keys
-            keys, made, at = keys[rest], made[rest], (at[rest] + 1) & ((1 << bits) - 1)
-        return slots, values, bits
-
-    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The pieces that pairs of symbols make, -1 where none."""
-        slots, values, bits = self.pairs
-        keys = left.astype(np.int64) << 32 | right
-        at = _slot(keys, bits)
-        found = slots[at]
-        out = np.where(found == keys, values[at], np.int32(-1))
-        missed = np.flatnonzero((found != keys) & (found >= 0))
-        while len(missed):
-            at[missed] = (at[missed] + 1) & ((1 << bits) - 1)
-            found = slots[at[missed]]
-            hit = found == keys[missed]
-            out[missed[hit]] = values[at[missed[hit]]]
-            missed = missed[~hit & (found >= 0)]
-        return out
-
-    def merge_words(self, words: list[str]) -> None:
-        """Puts the ids (as bytes) of distinct words of known characters into ``self.words``: the merge
-        algorithm, best score first, then leftmost.  A step makes one merge in each word of n symbols, and
-        those words then are among the ones of n - 1."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(sizes)
-        text = self.symbol_at[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
-        by_size = np.argsort(sizes, kind="stable")
-        first = np.searchsorted(sizes[by_size], np.arange(SHORT + 2))
-        word = np.zeros(0, np.int64)
-        for n in range(int(sizes.max()), 0, -1):
-            if len(word):
-                # The best merge of each word: two symbols become one, and so two other pairs change.
-                rows = np.arange(len(word))
-                sym[rows, at] = made[rows, at]
-                gone = np.ones(sym.shape, bool)
-                gone[rows, at + 1] = False
-                sym = sym[gone].reshape(len(word), n)
-                gone = np.ones(made.shape, bool)
-                gone[rows, at] = False
-                made = made[gone].reshape(len(word), n - 1)
-                for which, k in ((at > 0, at - 1), (at < n - 1, at)):
-                    r, k = rows[which], k[which]
-                    made[r, k] = self.joined(sym[r, k], sym[r, k + 1])
-            else:
-                sym, made = np.zeros((0, n), np.int32), np.zeros((0, n - 1), np.int32)
-            own = by_size[first[n]:first[n + 1]]
-            if len(own):
-                added = text[(ends[own] - n)[:, None] + np.arange(n)]
-                word, sym = np.concatenate([word, own]), np.concatenate([sym, added])
-                made = np.concatenate([made, self.joined(added[:, :-1].ravel(), added[:, 1:].ravel()).reshape(len(own), n - 1)])
-            if n == 1:
-                done = np.ones(len(word), bool)
-            else:
-                ranks = self.rank[made]
-                at = ranks.argmin(axis=1)
-                done = ranks[np.arange(len(word)), at] == NO_RANK
-            ids = sym[done]
-            unpaired = ids.max(axis=1, initial=-1) >= len(self.pieces)
-            data, names = ids.tobytes(), [words[w] for w in word[done].tolist()]
-            self.words.update(zip(names, [data[k:k + 4 * n] for k in range(0, len(data), 4 * n)]))
-            for k in np.flatnonzero(unpaired).tolist():
-                self.words[names[k]] = self.packed(ids[k].tolist())
-            if n > 1:
-                word, sym, made, at = word[~done], sym[~done], made[~done], at[~done]
-
     def fits(self, left: int, right: int) -> bool:
         """Whether the merges leave two pieces, put together, as these two."""
         if len(self._fits) > KEPT_PAIRS:
@@ -271,17 +159,7 @@ class Model:
     # ------------------------------------------------------------- forward pass
 
     def encode_words(self, words: list[str]) -> None:
-        """Puts the ids (as bytes) of distinct words of known characters into ``self.words``."""
-        short = [w for w in words if len(w) <= SHORT] if self.mode == BPE else []
-        step = max(1, MERGED_CHARS * len(short) // max(1, sum(map(len, short))))
-        for k in range(0, len(short), step):
-            self.merge_words(short[k:k + step])
-        rest = sorted(w for w in words if len(w) > SHORT) if self.mode == BPE else sorted(words)
-        if rest:
-            self.walk_words(rest)
-
-    def walk_words(self, words: list[str]) -> None:
-        """The same for sorted words, by the forward pass."""
+        """Puts the ids (as bytes) of sorted distinct words of known characters into ``self.words``."""
         bpe, trie, symbols, scores, pairs, alone = self.mode == BPE, self.trie, self.symbols, self.scores, self._fits, self._alone
         last: list[int] = [-1]        # last[i]: last piece of the best segmentation of word[:i]
         size: list[int] = [0]         # its length
@@ -391,7 +269,7 @@ class Model:
     @cached_property
     def kind_at(self) -> np.ndarray:
         """Kinds of code points, the last for all above: marks, known characters, unknown ones."""
-        out = np.full(max(len(self.symbol_at), ord(MARK) + 1) + 1, 2, np.int8)
+        out = np.full(max(map(ord, self.chars | {MARK})) + 2, 2, np.int8)
         out[[ord(c) for c in self.chars]] = 1
         out[ord(MARK)] = 0
         return out
@@ -434,6 +312,7 @@ class Model:
                     words[w] = array("i", [j for c in w for j in self.fallback(c)]).tobytes()
                 else:
                     new.append(w)
+        new.sort()
         self.encode_words(new)
         ids = [words[w] for w in distinct]
         for w in [w for w in new if len(w) > LONG]:
@@ -446,8 +325,9 @@ class Model:
         return lists.take(coded.indices).flatten(), ends[first]
 
     def forget(self) -> None:
-        """Drops the kept words."""
+        """Drops the kept words and compared pairs."""
         self.words, self.older, self.kept = {}, {}, 0
+        self._fits.clear()
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         flat, ends = self.encode_flat(texts)
